@@ -150,9 +150,10 @@ cte(
 def _found(name: str, wanted: str) -> None:
     cte(
         name,
-        f"""SELECT w.id, coalesce(a.lat, c.lat) AS found_latitude, coalesce(a.lon, c.lon) AS found_longitude,
+        f"""SELECT w.id, copies, coalesce(a.lat, c.lat) AS found_latitude, coalesce(a.lon, c.lon) AS found_longitude,
   CASE WHEN a.lat IS NOT NULL THEN 'address' WHEN c.lat IS NOT NULL THEN 'city' END AS found_level
- FROM {wanted} w LEFT JOIN by_address a ON address_key = a.key LEFT JOIN by_city c ON city_key = c.key""",
+ FROM (SELECT id, address_key, city_key, count(*) AS copies FROM {wanted} GROUP BY ALL) w
+ LEFT JOIN by_address a ON address_key = a.key LEFT JOIN by_city c ON city_key = c.key""",
         wanted,
         "by_address",
         "by_city",
@@ -257,9 +258,9 @@ cte(
   n % 11 <> 0 AS silver_ok, n % 13 <> 0 AS gold_ok, records AS bronze_records,
   CASE WHEN n % 11 = 0 THEN 0 ELSE records - (CASE WHEN n % 5 = 0 THEN 1 ELSE 0 END) END AS silver_records,
   CASE WHEN n % 13 = 0 THEN 0 ELSE 7 END AS gold_tables,
-  CAST(ceil(records / 2.0) AS DOUBLE) * 0.5 AS bronze_time,
-  CASE WHEN n % 11 = 0 THEN 0.0 ELSE CAST(records AS DOUBLE) * 0.25 END AS silver_time,
-  CASE WHEN n % 13 = 0 THEN 0.0 ELSE CAST(records AS DOUBLE) * 0.5 END AS gold_time,
+  CAST(ceil(records / 2.0) AS DOUBLE) / 2 AS bronze_time,
+  CAST(CASE WHEN n % 11 = 0 THEN 0 ELSE records * 0.25 END AS DOUBLE) AS silver_time,
+  CAST(CASE WHEN n % 13 = 0 THEN 0 ELSE records * 0.5 END AS DOUBLE) AS gold_time,
   8 - n % 3 AS bronze_passed, n % 3 AS bronze_failed,
   CASE WHEN n % 11 = 0 THEN 0 ELSE 5 END AS silver_rules,
   CASE WHEN n % 11 = 0 THEN 0 ELSE 5 - n % 2 END AS silver_passed,
@@ -384,7 +385,7 @@ check(
  WHERE CAST(execution_timestamp AS TIMESTAMP) >= TIMESTAMP '2001-08-01 12:00:00' - INTERVAL 30 DAY""",
     "run_flat",
 )
-_rate = "CASE WHEN {0}_rules = 0 THEN 0.0 ELSE CAST({0}_passed AS DOUBLE) / {0}_rules * 100 END"
+_rate = "coalesce(CAST({0}_passed AS DOUBLE) / nullif({0}_rules, 0) * 100, CAST(0 AS DOUBLE))"
 check(
     "run_report",
     f"""SELECT execution_date, status, true AS bronze_ok, silver_ok, gold_ok,
@@ -394,7 +395,7 @@ check(
   gold_time AS gold_aggregation_time, total_time AS total_pipeline_time,
   bronze_failed = 0 AS bronze_success, silver_rules > 0 AND silver_failed = 0 AS silver_success,
   gold_ok AS gold_success, CAST(bronze_passed AS DOUBLE) / 8 * 100 AS bronze_success_rate,
-  {_rate.format('silver')} AS silver_success_rate, CASE WHEN gold_ok THEN 100.0 ELSE 0.0 END AS gold_success_rate
+  {_rate.format('silver')} AS silver_success_rate, CAST(CASE WHEN gold_ok THEN 100 ELSE 0 END AS DOUBLE) AS gold_success_rate
  FROM run_flat""",
     "run_flat",
 )
@@ -405,7 +406,7 @@ check(
   CAST(bronze_failed AS BIGINT) AS failed, CAST(8 AS BIGINT) AS total FROM run_flat
  UNION ALL SELECT execution_date, 'silver', silver_rules > 0 AND silver_failed = 0, {_rate.format('silver')},
   silver_passed, silver_failed, silver_rules FROM run_flat
- UNION ALL SELECT execution_date, 'gold', gold_ok, CASE WHEN gold_ok THEN 100.0 ELSE 0.0 END,
+ UNION ALL SELECT execution_date, 'gold', gold_ok, CAST(CASE WHEN gold_ok THEN 100 ELSE 0 END AS DOUBLE),
   gold_tables, 0, gold_tables FROM run_flat""",
     "run_flat",
 )
@@ -630,8 +631,8 @@ check(
    (SELECT count(*) FROM cleaned WHERE has_coordinates) AS before_with,
    (SELECT count(*) FROM cleaned WHERE NOT has_coordinates) AS before_missing,
    (SELECT count(*) FROM filled WHERE has_coordinates) AS after_with,
-   (SELECT count(*) FROM found) AS attempted,
-   (SELECT count(found_level) FROM found) AS successful)""",
+   (SELECT CAST(sum(copies) AS BIGINT) FROM found) AS attempted,
+   (SELECT CAST(sum(copies) AS BIGINT) FROM found WHERE found_level IS NOT NULL) AS successful)""",
     "cleaned",
     "filled",
     "found",

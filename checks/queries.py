@@ -14,7 +14,7 @@ from sitewright.plans.daily import expected_totals
 from sitewright.plans.report import build_gold, read_all_gold
 from sitewright.schema import GOLD_SCHEMAS
 from sitewright.sources import landing, tables
-from sitewright.sources.files import fresh_path
+from sitewright.sources.files import fresh_path, staged
 from sitewright.streaming.incremental import incremental_silver
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,9 +42,15 @@ def map_rows(spark, sf_dir):
     return select.map_rows(silver(spark, sf_dir))
 
 
+# Low enough that some keys count as hot in the given tables, and some do not.
+HOT = {"hot_rows": 8}
+
+
 def lookup(spark, sf_dir, max_records=None):
-    rows = cleaned(spark, sf_dir)
-    return rows, locate.lookup_coordinates(rows, *standin.gazetteers(rows), max_records=max_records)
+    # Tables, as in a run: the lookup reads each more than once.
+    rows = staged(cleaned(spark, sf_dir), "cleaned")
+    points = [staged(table, "gazetteer") for table in standin.gazetteers(rows)]
+    return rows, locate.lookup_coordinates(rows, *points, max_records=max_records, **HOT)
 
 
 # ---- sources and sinks ------------------------------------------------------
@@ -162,7 +168,7 @@ def load_gold_or_empty(spark, sf_dir):
 def export_filtered_csv(spark, sf_dir):
     rows = select.selected_rows(map_rows(spark, sf_dir), country="Brazil").select(*gold.REPORT_COLUMNS)
     path = tables.export_csv(rows, fresh_path(spark, "export"))
-    return spark.read.option("header", True).schema(GOLD_SCHEMAS["breweries"]).csv(path)
+    return spark.read.option("header", True).option("escape", "\"").schema(GOLD_SCHEMAS["breweries"]).csv(path)
 
 
 # ---- run history ------------------------------------------------------------

@@ -7,7 +7,14 @@ from sitewright.functions import points
 from sitewright.functions.numbers import percent, rows_where
 from sitewright.functions.text import joined
 from sitewright.operators.clean import complete_flag
-from sitewright.operators.parts import first_by, merge_parts, split_left_join
+from sitewright.operators.parts import (
+    HOT_ROWS,
+    few_left_join,
+    first_by,
+    merge_parts,
+    split_left_join,
+    spread_left_join,
+)
 from sitewright.operators.select import missing_coordinates
 from sitewright.schema import country_boxes
 
@@ -88,54 +95,67 @@ def lookup_capped(df: DataFrame, max_records: int | None = None) -> DataFrame:
     return rows.orderBy("id", *[c for c in df.columns if c != "id"]).limit(max_records)
 
 
+# A cap of up to this many looked-up rows bounds them enough to broadcast.
+FEW_LOOKUPS = 100_000
+
+
+def _few(max_records: int | None) -> bool:
+    return bool(max_records) and max_records <= FEW_LOOKUPS
+
+
 def lookup_coordinates(
-    df: DataFrame, by_address: DataFrame, by_city: DataFrame, max_records: int | None = None
+    df: DataFrame,
+    by_address: DataFrame,
+    by_city: DataFrame,
+    max_records: int | None = None,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Looked-up points of the rows that have none: id, point and the level that matched.
+    """Looked-up points of the rows that have none: id, point, level that matched, row count.
 
-    Both gazetteers hold (key, latitude, longitude), unique by key. Addresses
-    and cities repeat, some very often, so both joins split their hot keys.
+    Both gazetteers hold (key, latitude, longitude), unique by key. Rows that
+    are looked up alike are looked up once, with their number in `copies`.
+    Addresses and cities repeat, some very often, so both joins spread their
+    hot keys; a small cap broadcasts instead and only scans the gazetteers.
     """
-    rows = lookup_capped(df, max_records).select(
-        "id", address_key().alias("address_key"), city_key().alias("city_key")
+    addressed = df.select(
+        "id", "latitude", "longitude", address_key().alias("address_key"), city_key().alias("city_key")
     )
-
-    def gazetteer(table: DataFrame, level: str) -> DataFrame:
-        return table.select(
-            F.col("key").alias(f"{level}_key"),
+    wanted = lookup_capped(addressed, max_records)
+    found = wanted.groupBy("id", "address_key", "city_key").agg(F.count(F.lit(1)).alias("copies"))
+    for table, level in ((by_address, "address"), (by_city, "city")):
+        key = f"{level}_key"
+        points_of = table.select(
+            F.col("key").alias(key),
             F.col("latitude").alias(f"{level}_lat"),
             F.col("longitude").alias(f"{level}_lon"),
-        )
-
-    found = rows
-    for table, level in ((by_address, "address"), (by_city, "city")):
-        found = split_left_join(found, gazetteer(table, level), f"{level}_key")
-    on_address = F.col("address_lat").isNotNull() & F.col("address_lon").isNotNull()
-    on_city = F.col("city_lat").isNotNull() & F.col("city_lon").isNotNull()
+        ).dropna()
+        if _few(max_records):
+            found = few_left_join(found, points_of, key)
+        else:
+            found = spread_left_join(found, points_of, key, hot_rows, keys_from=wanted)
+    on_address, on_city = F.col("address_lat").isNotNull(), F.col("city_lat").isNotNull()
     return found.select(
         "id",
-        F.when(on_address, F.col("address_lat")).when(on_city, F.col("city_lat")).alias("found_latitude"),
-        F.when(on_address, F.col("address_lon")).when(on_city, F.col("city_lon")).alias("found_longitude"),
+        F.coalesce("address_lat", "city_lat").alias("found_latitude"),
+        F.coalesce("address_lon", "city_lon").alias("found_longitude"),
         F.when(on_address, F.lit("address")).when(on_city, F.lit("city")).alias("found_level"),
+        "copies",
     )
 
 
 def one_hit_per_id(found: DataFrame) -> DataFrame:
     """The hits, one per id: an address match before a city match, then the lowest point."""
-    hits = found.where(F.col("found_level").isNotNull())
+    hits = found.where(F.col("found_level").isNotNull()).drop("copies")
     return first_by(hits, ["id"], F.col("found_level"), F.col("found_latitude"), F.col("found_longitude"))
 
 
-# A cap up to this many looked-up rows bounds the hits enough to broadcast them.
-FEW_HITS = 100_000
-
-
 def apply_lookup(
     df: DataFrame,
     found: DataFrame,
     max_records: int | None = None,
     recompute_complete: bool = False,
     keep_level: bool = False,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Rows with the point found for their id, where there is one.
 
@@ -146,10 +166,10 @@ def apply_lookup(
     `keep_level` adds geocoded_source, the level that matched.
     """
     hits = one_hit_per_id(found)
-    if max_records and max_records <= FEW_HITS:
+    if _few(max_records):
         joined_rows = df.join(F.broadcast(hits), "id", "left")
     else:
-        joined_rows = split_left_join(df, hits, "id")
+        joined_rows = split_left_join(df, hits, "id", hot_rows)
     hit = F.col("found_level").isNotNull()
     updated = joined_rows.withColumns(
         {
@@ -179,7 +199,10 @@ def lookup_coverage(before: DataFrame, after: DataFrame, found: DataFrame) -> Da
         before.agg(total.alias("total_records"), rows_where(points.present()).alias("before_with")),
         after.agg(total.alias("after_total"), rows_where(points.present()).alias("after_with")),
         found.agg(
-            total.alias("attempted"), F.count("found_level").alias("successful")
+            F.coalesce(F.sum("copies"), F.lit(0)).alias("attempted"),
+            F.coalesce(
+                F.sum(F.when(F.col("found_level").isNotNull(), F.col("copies"))), F.lit(0)
+            ).alias("successful"),
         ),
     )
     counts = parts.withColumns(

@@ -45,37 +45,81 @@ def first_by(df: DataFrame, keys: list[str], *order: Column) -> DataFrame:
     )
 
 
-# A key is hot when it holds more than one row in this many; so few keys can be.
-HOT_SHARE = 512
+# A key with this many rows is hot, if it is among so many most frequent ones.
+HOT_ROWS = 100_000
+HOT_KEYS = 2_000
 
 
-def hot_keys(df: DataFrame, key: str, share: int = HOT_SHARE) -> list:
-    """The keys that hold more than 1/share of the rows: fewer than `share` values.
+def frequent(df: DataFrame, key: str, rows: int = HOT_ROWS, most: int = HOT_KEYS) -> DataFrame:
+    """The most frequent keys: never more than `most`, each with at least `rows` rows.
 
-    One pass with a mergeable frequency sketch: no shuffle of the keys, one
-    small row back. The sketch may name a key that is just under the limit,
-    which costs nothing; it does not miss one well above it.
+    The count combines before its shuffle, and only keys over the limit get
+    past it, so the result is bounded whatever the table's size. Any key with
+    more than one row in `most` is in it.
     """
-    items = F.approx_top_k(F.col(key), share, 20 * share)
-    row = df.where(F.col(key).isNotNull()).agg(F.count(F.lit(1)).alias("n"), items.alias("top")).first()
-    return [item["item"] for item in row["top"] or [] if item["count"] * share > row["n"]]
+    counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    top = counts.where(F.col("_n") >= rows).orderBy(F.desc("_n"), key).limit(most)
+    return top.select(key)
 
 
-def split_left_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """Left equi-join on `key` in which no key can fill a task.
+def split_left_join(
+    left: DataFrame, right: DataFrame, key: str, hot_rows: int = HOT_ROWS
+) -> DataFrame:
+    """Left equi-join on `key` in which no key can fill a task, even with equal rows.
 
     `right` must be unique on `key`. Hot keys meet their right rows, one each
-    and fewer than HOT_SHARE in all, by broadcast and are not shuffled; rows
-    without a key are not joined; all others join by shuffle. The three
-    cases split the rows, so the result is the plain left join.
+    and at most HOT_KEYS in all, by broadcast and are not shuffled; rows
+    without a key are not joined; all others join by shuffle. The three cases
+    split the rows, so the result is the plain left join. Each case reads
+    `left`, so it should be a table; without hot keys there is only one to read.
     """
-    hot = hot_keys(left, key)
+    hot = [row[0] for row in frequent(left, key, hot_rows).collect()]
     is_hot = F.col(key).isin(hot)
-    shuffled = left.where(F.col(key).isNotNull() & ~is_hot if hot else F.col(key).isNotNull())
-    result = shuffled.join(right, key, "left").unionByName(
-        left.where(F.col(key).isNull()), allowMissingColumns=True
-    )
+    present = F.col(key).isNotNull()
+    result = left.where(present & ~is_hot if hot else present).join(right, key, "left")
+    result = result.unionByName(left.where(F.col(key).isNull()), allowMissingColumns=True)
     if hot:
         few = F.broadcast(right.where(is_hot))
         result = result.unionByName(left.where(is_hot).join(few, key, "left"))
     return result
+
+
+def spread_left_join(
+    left: DataFrame,
+    right: DataFrame,
+    key: str,
+    hot_rows: int = HOT_ROWS,
+    spread: int = 64,
+    keys_from: DataFrame | None = None,
+) -> DataFrame:
+    """Left equi-join on `key` in which no key can fill a task, for a `left` without equal rows.
+
+    `right` must be unique on `key`. The right row of a hot key is copied into
+    `spread` slots and its left rows are dealt over them by their own hash;
+    rows without a key are dealt likewise. All others stay in one slot, so the
+    result is the plain left join. At most HOT_KEYS right rows are copied.
+    `keys_from` is a cheaper table than `left` to count its keys in.
+    """
+    counted = left if keys_from is None else keys_from
+    hot = F.broadcast(frequent(counted, key, hot_rows).select(F.col(key).alias("_hot")))
+    matches = F.col(key) == F.col("_hot")
+    is_hot = F.col("_hot").isNotNull()
+    dealt = F.pmod(F.xxhash64(*left.columns), F.lit(spread)).cast("int")
+    left_slot = F.when(is_hot | F.col(key).isNull(), dealt).otherwise(0)
+    all_slots = F.sequence(F.lit(0), F.lit(spread - 1))
+    right_slots = F.when(is_hot, all_slots).otherwise(F.array(F.lit(0)))
+    slotted_left = left.join(hot, matches, "left").select(*left.columns, left_slot.alias("_slot"))
+    slotted_right = right.join(hot, matches, "left").select(
+        *right.columns, F.explode(right_slots).alias("_slot")
+    )
+    return slotted_left.join(slotted_right, [key, "_slot"], "left").drop("_slot")
+
+
+def few_left_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """Left equi-join on `key` for a `left` of few rows and a `right` of any size.
+
+    `right` must be unique on `key`. It is only scanned: the left keys are
+    broadcast to it, and what it has for them, no more rows than that, back.
+    """
+    wanted = F.broadcast(left.select(key).distinct())
+    return left.join(F.broadcast(right.join(wanted, key, "left_semi")), key, "left")

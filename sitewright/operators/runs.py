@@ -98,12 +98,10 @@ def run_report(layers: DataFrame, rates: DataFrame | None = None) -> DataFrame:
         return F.coalesce(value, F.lit(0.0))
 
     names = ("coordinate_coverage", "valid_coordinates_rate", "geocoded_rate", "country_normalized_rate")
-    enrichment = F.struct(
-        *[
-            (rates.select(n).scalar() if rates is not None else F.lit(None).cast("double")).alias(n)
-            for n in names
-        ]
-    )
+    if rates is not None:
+        enrichment = rates.select(F.struct(*names)).scalar()
+    else:
+        enrichment = F.struct(*[F.lit(None).cast("double").alias(name) for name in names])
     bronze_time = _or("pages_processed", 0) * F.lit(SECONDS_PER_PAGE)
     silver_time = _or("silver_time", 0.0).cast("double")
     gold_time = _or("gold_time", 0.0).cast("double")

@@ -67,6 +67,6 @@ def load_gold_or_empty(spark: SparkSession, base: str) -> dict[str, DataFrame]:
 
 
 def export_csv(df: DataFrame, path: str) -> str:
-    """The rows as CSV files with a header each."""
-    df.write.mode("overwrite").option("header", True).csv(path)
+    """The rows as CSV files with a header each; a quote inside a value is doubled."""
+    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
     return path
