@@ -37,56 +37,60 @@ def tidy_text(df: DataFrame) -> DataFrame:
     )
 
 
-def normalize_country(df: DataFrame) -> DataFrame:
-    return df.withColumn("country_normalized", canonical_country("country"))
+def contact_flag() -> Column:
+    return F.col("phone").isNotNull() | F.col("website_url").isNotNull()
 
 
-def normalize_type(df: DataFrame) -> DataFrame:
-    return df.withColumn("brewery_type_normalized", slug("brewery_type"))
+def complete_flag() -> Column:
+    return (
+        points.present() & contact_flag() & F.col("city").isNotNull() & F.col("state").isNotNull()
+    )
 
 
-def add_full_address(df: DataFrame) -> DataFrame:
-    return df.withColumn(
-        "full_address", joined("address_1", "city", "state", "postal_code", "country")
-    )
+# What cleaning adds, each from tidied columns only.
+_NAMES = {
+    "country_normalized": lambda: canonical_country("country"),
+    "brewery_type_normalized": lambda: slug("brewery_type"),
+}
+_ADDRESS = {
+    "full_address": lambda: joined("address_1", "city", "state", "postal_code", "country"),
+    "location_key": lambda: place_key("country", "state"),
+}
+_FLAGS = {
+    "has_coordinates": points.present,
+    "has_contact": contact_flag,
+    "is_complete": complete_flag,
+}
 
 
-def add_location_key(df: DataFrame) -> DataFrame:
-    return df.withColumn("location_key", place_key("country", "state"))
+def _adding(df: DataFrame, *names: str) -> DataFrame:
+    made = {**_NAMES, **_ADDRESS, **_FLAGS}
+    return df.withColumns({name: made[name]() for name in names})
 
 
-def contact_flag() -> Column:
-    return F.col("phone").isNotNull() | F.col("website_url").isNotNull()
+def normalize_country(df: DataFrame) -> DataFrame:
+    return _adding(df, "country_normalized")
 
 
-def complete_flag() -> Column:
-    return (
-        points.present() & contact_flag() & F.col("city").isNotNull() & F.col("state").isNotNull()
-    )
+def normalize_type(df: DataFrame) -> DataFrame:
+    return _adding(df, "brewery_type_normalized")
+
+
+def add_full_address(df: DataFrame) -> DataFrame:
+    return _adding(df, "full_address")
+
+
+def add_location_key(df: DataFrame) -> DataFrame:
+    return _adding(df, "location_key")
 
 
 def quality_flags(df: DataFrame) -> DataFrame:
-    return df.withColumns(
-        {
-            "has_coordinates": points.present(),
-            "has_contact": contact_flag(),
-            "is_complete": complete_flag(),
-        }
-    )
+    return _adding(df, *_FLAGS)
 
 
 def clean_sites(df: DataFrame) -> DataFrame:
     """Tidy text, canonical country and type, address fields and quality flags."""
-    for step in (
-        tidy_text,
-        normalize_country,
-        normalize_type,
-        add_full_address,
-        add_location_key,
-        quality_flags,
-    ):
-        df = df.transform(step)
-    return df
+    return _adding(tidy_text(df), *_NAMES, *_ADDRESS, *_FLAGS)
 
 
 def add_processing_metadata(df: DataFrame, run_at: datetime) -> DataFrame:

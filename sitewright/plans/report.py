@@ -1,5 +1,6 @@
 """The curated table to the reporting tables."""
 
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
 from pyspark.sql import DataFrame
@@ -9,18 +10,23 @@ from sitewright.operators.gold import gold_tables
 from sitewright.schema import GOLD_SCHEMAS
 from sitewright.sources.tables import read_gold, write_gold
 
-BUILD_SCHEMA = "table_name string, output_path string, record_count long"
-
-
 def build_gold(silver: DataFrame, base: str, run_at: datetime) -> DataFrame:
     """Write all reporting tables; returns name, path and row count of each.
 
-    The row counts are read from the written files, which hold them.
+    The shared datasets are made first. The writes are then submitted together:
+    most of them are small, and one alone would leave the cluster idle. The row
+    counts are read from the written files, which hold them.
     """
     spark = silver.sparkSession
     tables, kept = gold_tables(silver, run_at)
     try:
-        paths = {name: write_gold(table, base, name) for name, table in tables.items()}
+        for df in kept:
+            df.count()
+        with ThreadPoolExecutor(len(tables)) as pool:
+            writes = {
+                name: pool.submit(write_gold, table, base, name) for name, table in tables.items()
+            }
+            paths = {name: write.result() for name, write in writes.items()}
     finally:
         for df in kept:
             df.unpersist()
