@@ -7,7 +7,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sitewright.functions.numbers import flagged, percent
-from sitewright.operators.parts import distinct_counts, merge_parts
 from sitewright.schema import GOLD_SCHEMAS, REPORT_COLUMNS
 
 FLAGS = {
@@ -83,28 +82,35 @@ def id_places(silver: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def roll_up(spec: Rollup, places: DataFrame, ids: DataFrame, run_at: datetime) -> DataFrame:
-    """One table from the place totals and the distinct ids.
+    """One table from the place totals and the distinct ids, in one last aggregate.
 
-    Row counts and low-cardinality distinct counts come from the small place
-    totals; only the distinct ids need a shuffle that grows with the rows, and
-    it carries nothing but the keys and the id. One aggregate with several
-    distinct counts would instead copy every row once per count.
+    Three kinds of rows are stacked: place totals to add up, one row per
+    distinct id, one per distinct value of a counted column. Only the distinct
+    ids need a shuffle that grows with the listings, and it carries nothing but
+    the keys and the id; an aggregate with several distinct counts would
+    instead copy every listing once per count.
     """
     if spec.needs:
         places, ids = (df.where(F.col(spec.needs).isNotNull()) for df in (places, ids))
+    each_id = ids.where(F.col("id").isNotNull()).select("id", *spec.keys).distinct()
+    stacked = places.select(*spec.keys, "rows", *spec.flags).unionByName(
+        each_id.select(*spec.keys, F.lit(True).alias("is_id")), allowMissingColumns=True
+    )
+    if spec.distinct:
+        pairs = [
+            F.struct(F.lit(name).alias("counted"), F.col(column).alias("value"))
+            for name, column in spec.distinct.items()
+        ]
+        values = places.select(*spec.keys, F.inline(F.array(*pairs))).where("value IS NOT NULL").distinct()
+        stacked = stacked.unionByName(values.drop("value"), allowMissingColumns=True)
     # A sum over no rows is null, which is right for flags but not for a row count.
-    sums = places.groupBy(*spec.keys).agg(
+    return stacked.groupBy(*spec.keys).agg(
         F.coalesce(F.sum("rows"), F.lit(0)).alias(spec.total),
+        F.count("is_id").alias("unique_breweries"),
+        *[F.count_if(F.col("counted") == name).alias(name) for name in spec.distinct],
         *[F.sum(name).alias(name) for name in spec.flags],
+        F.lit(run_at.isoformat()).alias("aggregation_timestamp"),
     )
-    per_id = ids.where(F.col("id").isNotNull()).select("id", *spec.keys).distinct()
-    parts = [sums, per_id.groupBy(*spec.keys).agg(F.count(F.lit(1)).alias("unique_breweries"))]
-    if spec.distinct:
-        parts.append(distinct_counts(places, spec.keys, spec.distinct))
-    table = merge_parts(spec.keys, *parts)
-    # A group without any id has no row in the id part.
-    table = table.withColumn("unique_breweries", F.coalesce("unique_breweries", F.lit(0)))
-    return table.withColumn("aggregation_timestamp", F.lit(run_at.isoformat()))
 
 
 def _finish(name: str, table: DataFrame) -> DataFrame:

@@ -11,6 +11,7 @@ from sitewright.operators.metrics import enrichment_rates
 from sitewright.operators.runs import run_report
 from sitewright.plans.curate import MAX_LOOKUPS, row_count, transform_listings
 from sitewright.plans.report import build_gold, read_all_gold
+from sitewright.schema import LOOKUP_LEVEL
 from sitewright.sources import history, landing
 from sitewright.sources.tables import read_silver
 
@@ -86,13 +87,10 @@ def run_day(
         transform_listings(
             spark, batch, silver_path, run_at, gazetteers, max_records, keep_level=gazetteers is not None
         )
-        silver = read_silver(spark, silver_path)
-        groups = silver.agg(
-            F.count(F.lit(1)).alias("rows"),
-        ).first()
+        silver = read_silver(spark, silver_path, extra=LOOKUP_LEVEL if gazetteers else None)
         flat |= {
             "silver_status": "success",
-            "silver_records": groups["rows"],
+            "silver_records": row_count(silver),
             "silver_countries": row_count(silver.select("country_normalized").distinct()),
             "silver_types": row_count(silver.select("brewery_type_normalized").distinct()),
             "silver_time": round(time.monotonic() - started, 2),

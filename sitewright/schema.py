@@ -21,6 +21,21 @@ LISTING_SCHEMA = T.StructType(
 )
 LISTING_COLUMNS = LISTING_SCHEMA.names
 
+SILVER_SCHEMA = T.StructType(
+    LISTING_SCHEMA.fields
+    + _fields(
+        "country_normalized brewery_type_normalized full_address location_key", T.StringType()
+    )
+    + _fields("has_coordinates has_contact is_complete", T.BooleanType())
+    + _fields("silver_processed_at", T.StringType())
+    + _fields("processing_date", T.DateType())
+    + _fields("processing_year processing_month", T.IntegerType())
+    + _fields("coordinates_valid", T.BooleanType())
+)
+
+# Only in tables whose lookup kept the level that matched.
+LOOKUP_LEVEL = T.StructType(_fields("geocoded_source", T.StringType()))
+
 # The columns of the reporting copy of the listings, in order.
 REPORT_COLUMNS = (
     "id name brewery_type_normalized street address_1 address_2 address_3 city state"

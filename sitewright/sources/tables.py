@@ -5,9 +5,16 @@ from typing import Any
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from sitewright.operators.select import equal_to
-from sitewright.schema import GOLD_SCHEMAS, REPORT_TABLES, SILVER_PARTITIONS, empty_table
+from sitewright.schema import (
+    GOLD_SCHEMAS,
+    REPORT_TABLES,
+    SILVER_PARTITIONS,
+    SILVER_SCHEMA,
+    empty_table,
+)
 from sitewright.sources import files
 
 log = logging.getLogger(__name__)
@@ -28,10 +35,22 @@ def write_silver(
 
 
 def read_silver(
-    spark: SparkSession, path: str, filters: dict[str, Any] | None = None, merge_schema: bool = True
+    spark: SparkSession,
+    path: str,
+    filters: dict[str, Any] | None = None,
+    extra: StructType | None = None,
+    merge_schema: bool = False,
 ) -> DataFrame:
-    """The curated listings; filters on the partition columns read only those folders."""
-    reader = spark.read.option("mergeSchema", str(merge_schema).lower())
+    """The curated listings; filters on the partition columns read only those folders.
+
+    The declared schema is read, so no file is opened to find it out and a
+    state such as '01' stays text. Columns that some runs added are named in
+    `extra`, or found by opening every file with `merge_schema`.
+    """
+    if merge_schema:
+        reader = spark.read.option("mergeSchema", "true")
+    else:
+        reader = spark.read.schema(StructType(SILVER_SCHEMA.fields + (extra.fields if extra else [])))
     return equal_to(reader.parquet(path), filters)
 
 

@@ -5,6 +5,7 @@ from datetime import datetime
 import pytest
 from conftest import RUN_AT, by, one
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 from test_clean import COMPLETE, ENGLISH, PADDED
 
 from sitewright.operators import metrics, select
@@ -127,8 +128,16 @@ def test_new_columns_and_other_partitions(spark, listings, tmp_path):
     assert (tmp_path / "silver" / "processing_year=2026").is_dir()
     extra = curated(listings(ENGLISH), RUN_AT).withColumn("extra", F.lit(1))
     tables.write_silver(extra, path, partition_by=["processing_year"], mode="append")
-    rows = by(tables.read_silver(spark, path), "id")
-    assert rows["brewery-1"]["extra"] is None and rows["brewery-3"]["extra"] == 1
+    for kwargs in ({"merge_schema": True}, {"extra": StructType().add("extra", "integer")}):
+        rows = by(tables.read_silver(spark, path, **kwargs), "id")
+        assert rows["brewery-1"]["extra"] is None and rows["brewery-3"]["extra"] == 1
+    assert "extra" not in tables.read_silver(spark, path).columns
+
+
+def test_states_that_look_like_numbers_stay_text(spark, listings, tmp_path):
+    path = str(tmp_path / "silver")
+    tables.write_silver(curated(listings({**COMPLETE, "state": "01"}), RUN_AT), path)
+    assert one(tables.read_silver(spark, path, {"state": "01"}))["state"] == "01"
 
 
 def test_transform_reports_quality(spark, listings, tmp_path):
