@@ -19,6 +19,12 @@ from checks.queries import QUERIES
 DEFAULT_DIR = "/root/testdata/sf0.01"
 
 
+TYPES = {
+    "bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE", "boolean": "BOOLEAN",
+    "date": "DATE", "timestamp": "TIMESTAMP", "timestamp_ntz": "TIMESTAMP",
+}
+
+
 def _plain(value):
     """A value in a form that both engines share."""
     if isinstance(value, float):
@@ -50,6 +56,10 @@ def difference(spark: SparkSession, con, sf_dir: str, name: str) -> str | None:
     want = _table([d[0] for d in cursor.description], cursor.fetchall())
     if got[0] != want[0]:
         return f"columns {got[0]} against {want[0]}"
+    found = {c: TYPES.get(t, t) for c, t in df.dtypes}
+    wanted = {d[0]: str(d[1]) for d in cursor.description}
+    if found != wanted:
+        return f"types {sorted(set(found.items()) ^ set(wanted.items()))}"
     if len(got[1]) != len(want[1]):
         return f"{len(got[1])} rows against {len(want[1])}"
     for a, b in zip(got[1], want[1]):

@@ -127,14 +127,14 @@ cte(
   min(CAST((n * 3) % 240 - 120 AS DOUBLE) + 0.5) AS lon
  FROM (SELECT *, CAST(regexp_extract(name, '(\\d+)$', 1) AS BIGINT) AS n FROM cleaned
        WHERE latitude IS NULL OR longitude IS NULL)
- WHERE n % 8 = 3 AND {_ADDRESS} IS NOT NULL GROUP BY 1""",
+ WHERE phone IS NOT NULL AND {_ADDRESS} IS NOT NULL GROUP BY 1""",
     "cleaned",
 )
 cte(
     "by_city",
     """SELECT concat_ws(', ', city, country_normalized) AS key, min(latitude) AS lat, min(longitude) AS lon
  FROM cleaned WHERE latitude IS NOT NULL AND longitude IS NOT NULL AND city IS NOT NULL
-   AND country_normalized IS NOT NULL AND length(city) % 3 <> 0 GROUP BY 1""",
+   AND country_normalized IS NOT NULL GROUP BY 1""",
     "cleaned",
 )
 cte(
@@ -292,8 +292,6 @@ check(
   count(latitude) AS with_latitude FROM sites GROUP BY {_LANDED}""",
     "sites",
 )
-_cell = "coalesce(concat(CAST(length({0}) AS VARCHAR), ':', {0}), '-')"
-
 
 def _as_text(c: str) -> str:
     return f"CAST({c} AS VARCHAR)" if c in ("latitude", "longitude") else c
@@ -487,12 +485,12 @@ check(
 check("coordinates_valid", f"SELECT {_POINT}, coordinates_valid FROM silver", "silver")
 check(
     "coordinate_breakdown",
-    """SELECT count_if(has_coordinates) AS with_coordinates,
-  count_if(has_coordinates AND coords_in_range AND not_null_island AND coords_match_country) AS valid,
-  count_if(NOT not_null_island) AS null_island, count_if(NOT coords_in_range) AS out_of_range,
-  count_if(has_coordinates AND NOT coords_in_range) AS points_out_of_range,
-  count_if(has_coordinates AND NOT coords_match_country) AS wrong_country,
-  count_if(has_coordinates) - count_if(has_coordinates AND coords_in_range AND not_null_island
+    """SELECT count(*) FILTER (WHERE has_coordinates) AS with_coordinates,
+  count(*) FILTER (WHERE has_coordinates AND coords_in_range AND not_null_island AND coords_match_country) AS valid,
+  count(*) FILTER (WHERE NOT not_null_island) AS null_island, count(*) FILTER (WHERE NOT coords_in_range) AS out_of_range,
+  count(*) FILTER (WHERE has_coordinates AND NOT coords_in_range) AS points_out_of_range,
+  count(*) FILTER (WHERE has_coordinates AND NOT coords_match_country) AS wrong_country,
+  count(*) FILTER (WHERE has_coordinates) - count(*) FILTER (WHERE has_coordinates AND coords_in_range AND not_null_island
                                        AND coords_match_country) AS invalid
  FROM silver_checked""",
     "silver_checked",
@@ -546,12 +544,12 @@ def _pct(part: str, whole: str = "count(*)", digits: int | None = 2) -> str:
 check(
     "silver_quality_metrics",
     f"""SELECT count(*) AS total_records, count(DISTINCT id) AS unique_ids,
-  count_if(name IS NULL) AS null_names, count_if(brewery_type IS NULL) AS null_types,
-  count_if(country IS NULL) AS null_countries, count_if(state IS NULL) AS null_states,
-  count_if(has_coordinates) AS with_coordinates, count_if(has_contact) AS with_contact,
-  count_if(is_complete) AS complete_records, {_pct('count_if(is_complete)')} AS completeness_rate,
-  {_pct('count_if(has_coordinates)')} AS coordinate_coverage,
-  {_pct('count_if(has_contact)')} AS contact_coverage FROM silver""",
+  count(*) FILTER (WHERE name IS NULL) AS null_names, count(*) FILTER (WHERE brewery_type IS NULL) AS null_types,
+  count(*) FILTER (WHERE country IS NULL) AS null_countries, count(*) FILTER (WHERE state IS NULL) AS null_states,
+  count(*) FILTER (WHERE has_coordinates) AS with_coordinates, count(*) FILTER (WHERE has_contact) AS with_contact,
+  count(*) FILTER (WHERE is_complete) AS complete_records, {_pct('count(*) FILTER (WHERE is_complete)')} AS completeness_rate,
+  {_pct('count(*) FILTER (WHERE has_coordinates)')} AS coordinate_coverage,
+  {_pct('count(*) FILTER (WHERE has_contact)')} AS contact_coverage FROM silver""",
     "silver",
 )
 check(
@@ -569,7 +567,7 @@ check(
     "profile_table",
     "SELECT * FROM ("
     + " UNION ALL ".join(
-        f"SELECT '{c}' AS column_name, count_if({c} IS NULL) AS null_count, count(*) AS row_count,"
+        f"SELECT '{c}' AS column_name, count(*) FILTER (WHERE {c} IS NULL) AS null_count, count(*) AS row_count,"
         f" CAST({len(_SILVER_COLUMNS)} AS BIGINT) AS column_count,"
         " count(*) - count(DISTINCT id) AS duplicate_count FROM silver"
         for c in _SILVER_COLUMNS
@@ -594,8 +592,8 @@ check(
 check(
     "state_coverage",
     """SELECT country_normalized, state, count(*) AS brewery_count,
-  CAST(count_if(coordinates_valid) AS DOUBLE) / count(*) AS valid_share,
-  CAST(count_if(is_complete) AS DOUBLE) / count(*) AS complete_share
+  CAST(count(*) FILTER (WHERE coordinates_valid) AS DOUBLE) / count(*) AS valid_share,
+  CAST(count(*) FILTER (WHERE is_complete) AS DOUBLE) / count(*) AS complete_share
  FROM silver WHERE state IS NOT NULL GROUP BY 1, 2""",
     "silver",
 )
@@ -794,7 +792,7 @@ def _rule(suite, rule, column, considered, unexpected, observed, threshold, succ
 
 
 def _mostly(suite, rule, column, mostly, considered, holds, source) -> str:
-    n, good = f"count_if({considered})", f"count_if(({considered}) AND ({holds}))"
+    n, good = f"count(*) FILTER (WHERE {considered})", f"count(*) FILTER (WHERE ({considered}) AND ({holds}))"
     share = f"CAST({good} AS DOUBLE) / nullif({n}, 0)"
     return _rule(
         suite, rule, column, n, f"{n} - {good}", share, f"{mostly:g}", f"coalesce({share} >= {mostly}, true)", source
@@ -831,12 +829,12 @@ def _unique(suite, source):
 
 
 def _contains(suite, column, value, source):
-    hits = f"count_if({column} = '{value}')"
+    hits = f"count(*) FILTER (WHERE {column} = '{value}')"
     return _rule(suite, "contains", column, f"count({column})", "NULL", hits, value, f"{hits} > 0", source)
 
 
 def _top(suite, column, value, k, source):
-    hits = f"count_if({column} = '{value}')"
+    hits = f"count(*) FILTER (WHERE {column} = '{value}')"
     top = f"(SELECT * FROM {source} ORDER BY brewery_count DESC, {column} NULLS FIRST LIMIT {k})"
     return _rule(
         suite, "top_entity", column, "count(*)", "NULL", hits, f"{value} in top {k}", f"{hits} > 0", top
@@ -972,9 +970,9 @@ def _gold_suite(table: str) -> list[str]:
 _TABLES = [t for t in GOLD_SCHEMAS if t != "breweries"]
 _gold = _union(*[rule for table in _TABLES for rule in _gold_suite(table)])
 _SUMMARY = (
-    "SELECT suite, count(*) AS total_expectations, count_if(success) AS passed_expectations,"
-    " count_if(NOT success) AS failed_expectations_count, bool_and(success) AS success,"
-    f" {_pct('count_if(success)')} AS success_rate FROM (\n{{}}\n) GROUP BY suite"
+    "SELECT suite, count(*) AS total_expectations, count(*) FILTER (WHERE success) AS passed_expectations,"
+    " count(*) FILTER (WHERE NOT success) AS failed_expectations_count, bool_and(success) AS success,"
+    f" {_pct('count(*) FILTER (WHERE success)')} AS success_rate FROM (\n{{}}\n) GROUP BY suite"
 )
 check("validate_silver", _SUMMARY.format(_silver), "silver")
 check("validate_gold", _SUMMARY.format(_gold), "silver", *_TABLES)
@@ -986,7 +984,7 @@ _layers = _union(
 check(
     "validation_summary",
     f"""SELECT coalesce(layer, 'overall') AS layer, count(*) AS total_expectations,
-  count_if(success) AS passed, count_if(NOT success) AS failed, {_pct('count_if(success)')} AS success_rate,
+  count(*) FILTER (WHERE success) AS passed, count(*) FILTER (WHERE NOT success) AS failed, {_pct('count(*) FILTER (WHERE success)')} AS success_rate,
   bool_and(success) AS success FROM ({_layers}) GROUP BY ROLLUP (layer)""",
     "sites",
     "silver",

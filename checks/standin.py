@@ -114,23 +114,21 @@ def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 def gazetteers(listings: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Address and city points, both unique by key, derived from the cleaned listings.
 
-    Half of the listings without a point have a known address; a city lies at
-    the lowest point of the listings in it.
+    Addresses are known where there is a phone; a city lies at the lowest point
+    of the listings in it.
     """
     number = F.regexp_extract("name", r"(\d+)$", 1).cast("long")
-    known = listings.where(points.missing()).withColumn("n", number).where(F.col("n") % 8 == 3)
     by_address = (
-        known.groupBy(address_key().alias("key"))
+        listings.where(points.missing() & F.col("phone").isNotNull())
+        .groupBy(address_key().alias("key"))
         .agg(
-            F.min(((F.col("n") * 5) % 120 - 60).cast("double") + 0.5).alias("latitude"),
-            F.min(((F.col("n") * 3) % 240 - 120).cast("double") + 0.5).alias("longitude"),
+            F.min((number * 5 % 120 - 60).cast("double") + 0.5).alias("latitude"),
+            F.min((number * 3 % 240 - 120).cast("double") + 0.5).alias("longitude"),
         )
         .where(F.col("key").isNotNull())
     )
     by_city = (
         listings.where(points.present() & F.col("city").isNotNull() & F.col("country_normalized").isNotNull())
-        # Cities with a one-digit number are unknown, so that some lookups fail.
-        .where(F.length("city") % 3 != 0)
         .groupBy(joined("city", "country_normalized").alias("key"))
         .agg(F.min("latitude").alias("latitude"), F.min("longitude").alias("longitude"))
     )

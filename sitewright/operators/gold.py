@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from sitewright.functions.numbers import flagged, percent
 from sitewright.schema import GOLD_SCHEMAS, REPORT_COLUMNS
+from sitewright.sources.files import staged
 
 FLAGS = {
     "with_coordinates": "has_coordinates",
@@ -16,6 +17,9 @@ FLAGS = {
 }
 DIMENSIONS = ["brewery_type_normalized", "country_normalized", "state", "city"]
 
+# So many ids are few enough to broadcast.
+FEW_IDS = 100_000
+
 
 @dataclass(frozen=True)
 class Rollup:
@@ -69,44 +73,65 @@ ROLLUPS = {
 }
 
 
+@dataclass(frozen=True)
+class Parts:
+    """What tables are rolled up from. All but `ids` are small whatever the row count.
+
+    `places` has rows and flag sums per combination of dimensions. Distinct ids
+    are in `ids`, with the dimensions each occurs under; ids that occur under
+    one combination only may instead be counted per combination in `settled`.
+    """
+
+    places: DataFrame
+    ids: DataFrame
+    settled: DataFrame | None = None
+
+
 def place_totals(silver: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows and flag sums per combination of dimensions: small whatever the row count."""
     return silver.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("rows"), *[flagged(flag).alias(name) for name, flag in FLAGS.items()]
     )
 
 
 def id_places(silver: DataFrame, keys: list[str]) -> DataFrame:
-    """Distinct ids with the dimensions they occur under."""
-    return silver.select("id", *keys).distinct()
+    return silver.where(F.col("id").isNotNull()).select("id", *keys).distinct()
 
 
-def roll_up(spec: Rollup, places: DataFrame, ids: DataFrame, run_at: datetime) -> DataFrame:
-    """One table from the place totals and the distinct ids, in one last aggregate.
+def roll_up(spec: Rollup, parts: Parts, run_at: datetime) -> DataFrame:
+    """One table from the parts, in one last aggregate.
 
-    Three kinds of rows are stacked: place totals to add up, one row per
-    distinct id, one per distinct value of a counted column. Only the distinct
-    ids need a shuffle that grows with the listings, and it carries nothing but
-    the keys and the id; an aggregate with several distinct counts would
-    instead copy every listing once per count.
+    The rows to add up are stacked: place totals, distinct ids, and one row per
+    distinct value of a counted column. Only distinct ids need a shuffle that
+    grows with the listings, and it carries nothing but the keys and the id; an
+    aggregate with several distinct counts would instead copy every listing
+    once per count.
     """
-    if spec.needs:
-        places, ids = (df.where(F.col(spec.needs).isNotNull()) for df in (places, ids))
-    each_id = ids.where(F.col("id").isNotNull()).select("id", *spec.keys).distinct()
-    stacked = places.select(*spec.keys, "rows", *spec.flags).unionByName(
-        each_id.select(*spec.keys, F.lit(True).alias("is_id")), allowMissingColumns=True
-    )
+
+    def needed(df: DataFrame) -> DataFrame:
+        return df.where(F.col(spec.needs).isNotNull()) if spec.needs else df
+
+    keys, places = spec.keys, needed(parts.places)
+    each_id = needed(parts.ids).select("id", *keys).distinct()
+    stacked = [
+        places.select(*keys, "rows", *spec.flags),
+        each_id.select(*keys, F.lit(1).cast("long").alias("ids")),
+    ]
+    if parts.settled is not None:
+        stacked.append(needed(parts.settled).select(*keys, "ids"))
     if spec.distinct:
         pairs = [
             F.struct(F.lit(name).alias("counted"), F.col(column).alias("value"))
             for name, column in spec.distinct.items()
         ]
-        values = places.select(*spec.keys, F.inline(F.array(*pairs))).where("value IS NOT NULL").distinct()
-        stacked = stacked.unionByName(values.drop("value"), allowMissingColumns=True)
-    # A sum over no rows is null, which is right for flags but not for a row count.
-    return stacked.groupBy(*spec.keys).agg(
+        values = places.select(*keys, F.inline(F.array(*pairs))).where("value IS NOT NULL")
+        stacked.append(values.distinct().drop("value"))
+    rows = stacked[0]
+    for more in stacked[1:]:
+        rows = rows.unionByName(more, allowMissingColumns=True)
+    # A sum over no rows is null, which is right for flags but not for counts.
+    return rows.groupBy(*keys).agg(
         F.coalesce(F.sum("rows"), F.lit(0)).alias(spec.total),
-        F.count("is_id").alias("unique_breweries"),
+        F.coalesce(F.sum("ids"), F.lit(0)).alias("unique_breweries"),
         *[F.count_if(F.col("counted") == name).alias(name) for name in spec.distinct],
         *[F.sum(name).alias(name) for name in spec.flags],
         F.lit(run_at.isoformat()).alias("aggregation_timestamp"),
@@ -130,8 +155,8 @@ def gold_table(name: str, silver: DataFrame, run_at: datetime) -> DataFrame:
         return gold_entity_table(silver)
     spec = ROLLUPS[name]
     keys = list(dict.fromkeys([*spec.keys, *spec.distinct.values()]))
-    table = roll_up(spec, place_totals(silver, keys), id_places(silver, spec.keys), run_at)
-    return _finish(name, table)
+    parts = Parts(place_totals(silver, keys), id_places(silver, spec.keys))
+    return _finish(name, roll_up(spec, parts, run_at))
 
 
 def gold_entity_table(silver: DataFrame) -> DataFrame:
@@ -139,17 +164,29 @@ def gold_entity_table(silver: DataFrame) -> DataFrame:
     return silver.select(*REPORT_COLUMNS)
 
 
-def gold_tables(silver: DataFrame, run_at: datetime) -> tuple[dict[str, DataFrame], list[DataFrame]]:
-    """All seven tables, sharing the work, and the datasets to unpersist afterwards.
+def shared_parts(silver: DataFrame) -> Parts:
+    """The parts of all tables at once, written aside.
 
-    The place totals and the distinct ids are kept once. The ids are laid out by
-    id, so every table counts its distinct ids without another shuffle of them;
-    copies of a row are gone before that layout, so a frequent id is no burden.
-    Kept blocks are rebuilt from the source if an executor is lost.
+    Nearly every id occurs under one combination of dimensions. Such ids are
+    counted once per combination, and only the others are left to be counted
+    for each table. The others' ids are broadcast if they are few.
     """
-    places = place_totals(silver, DIMENSIONS).persist()
-    ids = id_places(silver, DIMENSIONS[:3]).repartition("id").persist()
-    tables = {"breweries": gold_entity_table(silver)}
-    for name, spec in ROLLUPS.items():
-        tables[name] = _finish(name, roll_up(spec, places, ids, run_at))
-    return tables, [places, ids]
+    pairs = id_places(silver, DIMENSIONS[:3]).persist()
+    try:
+        times = pairs.groupBy("id").agg(F.count(F.lit(1)).alias("n"))
+        moving = staged(times.where("n > 1").select("id"), "moving")
+        side = F.broadcast(moving) if moving.count() <= FEW_IDS else moving
+        alone = pairs.join(side, "id", "left_anti").groupBy(*DIMENSIONS[:3])
+        return Parts(
+            staged(place_totals(silver, DIMENSIONS), "places"),
+            staged(pairs.join(side, "id", "left_semi"), "ids"),
+            staged(alone.agg(F.count(F.lit(1)).alias("ids")), "settled"),
+        )
+    finally:
+        pairs.unpersist()
+
+
+def gold_tables(silver: DataFrame, parts: Parts, run_at: datetime) -> dict[str, DataFrame]:
+    """All seven tables from the curated listings and their shared parts."""
+    tables = {name: _finish(name, roll_up(spec, parts, run_at)) for name, spec in ROLLUPS.items()}
+    return {"breweries": gold_entity_table(silver), **tables}

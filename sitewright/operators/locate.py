@@ -17,6 +17,7 @@ from sitewright.operators.parts import (
 )
 from sitewright.operators.select import missing_coordinates
 from sitewright.schema import country_boxes
+from sitewright.sources.files import staged
 
 CHECKS = ["coords_in_range", "not_null_island", "coords_match_country"]
 
@@ -149,6 +150,25 @@ def one_hit_per_id(found: DataFrame) -> DataFrame:
     return first_by(hits, ["id"], F.col("found_level"), F.col("found_latitude"), F.col("found_longitude"))
 
 
+def _with_hits(df: DataFrame, hits: DataFrame, few: bool, hot_rows: int) -> DataFrame:
+    """Rows with the hit of their id.
+
+    Hits come from rows without a point, so those are joined with all of them.
+    A row that has a point is only concerned if it shares its id with one that
+    has none. The ids alone tell which hits those are; they are written aside,
+    counted, and broadcast if few, so the bulk of the listings is not shuffled.
+    """
+    if few:
+        return df.join(F.broadcast(hits), "id", "left")
+    without, having = missing_coordinates(df), df.where(points.present())
+    shared = staged(hits.join(having.select("id").distinct(), "id", "left_semi"), "shared")
+    if shared.count() <= FEW_LOOKUPS:
+        concerned = having.join(F.broadcast(shared), "id", "left")
+    else:
+        concerned = split_left_join(having, shared, "id", hot_rows)
+    return split_left_join(without, hits, "id", hot_rows).unionByName(concerned)
+
+
 def apply_lookup(
     df: DataFrame,
     found: DataFrame,
@@ -159,24 +179,24 @@ def apply_lookup(
 ) -> DataFrame:
     """Rows with the point found for their id, where there is one.
 
+    `df` and `found` should be tables, since both are read more than once.
     `max_records` is the cap the lookup ran with; a small one bounds the hits,
     which are then broadcast and the listings stay where they are.
     has_coordinates follows the new point. is_complete keeps its earlier value
     unless asked for, which is what downstream numbers are based on.
     `keep_level` adds geocoded_source, the level that matched.
     """
-    hits = one_hit_per_id(found)
-    if _few(max_records):
-        joined_rows = df.join(F.broadcast(hits), "id", "left")
-    else:
-        joined_rows = split_left_join(df, hits, "id", hot_rows)
     hit = F.col("found_level").isNotNull()
-    updated = joined_rows.withColumns(
-        {
-            "latitude": F.when(hit, F.col("found_latitude")).otherwise(F.col("latitude")),
-            "longitude": F.when(hit, F.col("found_longitude")).otherwise(F.col("longitude")),
-        }
-    ).withColumn("has_coordinates", points.present())
+    updated = (
+        _with_hits(df, one_hit_per_id(found), _few(max_records), hot_rows)
+        .withColumns(
+            {
+                "latitude": F.when(hit, F.col("found_latitude")).otherwise(F.col("latitude")),
+                "longitude": F.when(hit, F.col("found_longitude")).otherwise(F.col("longitude")),
+            }
+        )
+        .withColumn("has_coordinates", points.present())
+    )
     if recompute_complete:
         updated = updated.withColumn("is_complete", complete_flag())
     kept = list(df.columns)

@@ -6,30 +6,22 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sitewright.operators.gold import gold_tables
+from sitewright.operators.gold import gold_tables, shared_parts
 from sitewright.schema import GOLD_SCHEMAS
 from sitewright.sources.tables import read_gold, write_gold
 
 def build_gold(silver: DataFrame, base: str, run_at: datetime) -> DataFrame:
     """Write all reporting tables; returns name, path and row count of each.
 
-    The shared datasets are made first. The writes are then submitted together:
+    The shared parts are made first. The writes are then submitted together:
     most of them are small, and one alone would leave the cluster idle. The row
     counts are read from the written files, which hold them.
     """
     spark = silver.sparkSession
-    tables, kept = gold_tables(silver, run_at)
-    try:
-        for df in kept:
-            df.count()
-        with ThreadPoolExecutor(len(tables)) as pool:
-            writes = {
-                name: pool.submit(write_gold, table, base, name) for name, table in tables.items()
-            }
-            paths = {name: write.result() for name, write in writes.items()}
-    finally:
-        for df in kept:
-            df.unpersist()
+    tables = gold_tables(silver, shared_parts(silver), run_at)
+    with ThreadPoolExecutor(len(tables)) as pool:
+        writes = {name: pool.submit(write_gold, table, base, name) for name, table in tables.items()}
+        paths = {name: write.result() for name, write in writes.items()}
     report = None
     for name, path in paths.items():
         written = spark.read.schema(tables[name].schema).parquet(path)

@@ -152,6 +152,17 @@ def test_repeated_ids_do_not_multiply(spark, listings):
         assert [r["latitude"] for r in after] == [45.0] * 4, kwargs
 
 
+def test_many_shared_ids_join_another_way(spark, listings, monkeypatch):
+    twice = [MISSING[0], {**MISSING[1], "id": "address"}, {**HAS, "id": "address"}, HAS, MISSING[4]]
+    df, found = look_up(spark, listings, twice)
+    for most in (0, 100):
+        monkeypatch.setattr(locate, "FEW_LOOKUPS", most)
+        for hot_rows in (1, 1000):
+            after = locate.apply_lookup(df, found, hot_rows=hot_rows).collect()
+            got = sorted((r["id"], r["latitude"]) for r in after if r["latitude"])
+            assert got == [("address", 45.0)] * 3 + [("has", 1.5)] and len(after) == 5
+
+
 def test_coverage(spark, listings):
     df, found = look_up(spark, listings, [*MISSING, MISSING[0], HAS])
     row = one(locate.lookup_coverage(df, locate.apply_lookup(df, found), found))

@@ -101,20 +101,21 @@ def test_no_expand_over_the_rows_and_no_cross_join(spark):
                 assert "id#" not in line, name
 
 
-def test_ids_laid_out_once_for_all_tables(spark):
-    from test_gold import ten
-
-    tables, kept = gold.gold_tables(ten(spark), RUN_AT)
-    try:
-        for name in gold.ROLLUPS:
-            tables[name].collect()
-            plan = tables[name]._jdf.queryExecution().executedPlan().toString()
-            final = plan.split("== Initial Plan ==")[0].split("InMemoryRelation")[0]
-            shuffled_ids = [s for s in final.splitlines() if re.search(r"Exchange hashpartitioning.*\bid#", s)]
-            assert not shuffled_ids, (name, shuffled_ids)
-    finally:
-        for df in kept:
-            df.unpersist()
+def test_shared_parts_leave_few_ids_to_count(spark, monkeypatch):
+    from test_gold import TEN, ten
+
+    # One id moves between states, one repeats in place, one is missing.
+    rows = [*TEN, TEN[0][:3] + ("Texas", "Austin") + TEN[0][5:], TEN[1], (None,) + TEN[1][1:]]
+    want = {name: gold.gold_table(name, ten(spark, rows), RUN_AT).collect() for name in gold.ROLLUPS}
+    for few in (0, 100):
+        monkeypatch.setattr(gold, "FEW_IDS", few)
+        parts = gold.shared_parts(ten(spark, rows))
+        assert {r["id"] for r in parts.ids.collect()} == {"cal-1"}
+        tables = gold.gold_tables(ten(spark, rows), parts, RUN_AT)
+        assert {name: tables[name].collect() for name in gold.ROLLUPS} == want
+    assert by(gold.gold_table("breweries_by_country", ten(spark, rows), RUN_AT), "country_normalized")[
+        "united states"
+    ]["unique_breweries"] == 6
 
 
 def test_unique_rule_uses_no_window(spark):
