@@ -1,5 +1,6 @@
 """The seven reporting tables."""
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import datetime
 
@@ -172,18 +173,17 @@ def shared_parts(silver: DataFrame) -> Parts:
     for each table. The others' ids are broadcast if they are few.
     """
     pairs = id_places(silver, DIMENSIONS[:3]).persist()
-    try:
+    with ThreadPoolExecutor(3) as pool:
+        places = pool.submit(staged, place_totals(silver, DIMENSIONS), "places")
         times = pairs.groupBy("id").agg(F.count(F.lit(1)).alias("n"))
         moving = staged(times.where("n > 1").select("id"), "moving")
         side = F.broadcast(moving) if moving.count() <= FEW_IDS else moving
+        ids = pool.submit(staged, pairs.join(side, "id", "left_semi"), "ids")
         alone = pairs.join(side, "id", "left_anti").groupBy(*DIMENSIONS[:3])
-        return Parts(
-            staged(place_totals(silver, DIMENSIONS), "places"),
-            staged(pairs.join(side, "id", "left_semi"), "ids"),
-            staged(alone.agg(F.count(F.lit(1)).alias("ids")), "settled"),
-        )
-    finally:
-        pairs.unpersist()
+        settled = pool.submit(staged, alone.agg(F.count(F.lit(1)).alias("ids")), "settled")
+        parts = Parts(places.result(), ids.result(), settled.result())
+    pairs.unpersist()
+    return parts
 
 
 def gold_tables(silver: DataFrame, parts: Parts, run_at: datetime) -> dict[str, DataFrame]:

@@ -11,6 +11,7 @@ from sitewright.operators.parts import (
     HOT_ROWS,
     few_left_join,
     first_by,
+    first_rows,
     merge_parts,
     split_left_join,
     spread_left_join,
@@ -93,7 +94,7 @@ def lookup_capped(df: DataFrame, max_records: int | None = None) -> DataFrame:
     rows = missing_coordinates(df)
     if not max_records:
         return rows
-    return rows.orderBy("id", *[c for c in df.columns if c != "id"]).limit(max_records)
+    return first_rows(rows, max_records, "id", *[c for c in df.columns if c != "id"])
 
 
 # A cap of up to this many looked-up rows bounds them enough to broadcast.

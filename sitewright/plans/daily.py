@@ -13,6 +13,7 @@ from sitewright.plans.curate import MAX_LOOKUPS, row_count, transform_listings
 from sitewright.plans.report import build_gold, read_all_gold
 from sitewright.schema import LOOKUP_LEVEL
 from sitewright.sources import history, landing
+from sitewright.sources.files import staged
 from sitewright.sources.tables import read_silver
 
 ROLLED_UP = [
@@ -57,8 +58,11 @@ def run_day(
 ) -> DataFrame:
     """Run every stage over one batch and append the run's record, which is returned.
 
-    A stage only starts when the one before it has something to give it.
+    A stage only starts when the one before it has something to give it. The
+    batch is written aside first, so that its source is read once and all
+    stages see the same rows.
     """
+    batch = staged(batch, "batch")
     bronze_path, silver_path, gold_path = f"{base}/bronze", f"{base}/silver", f"{base}/gold"
     flat = {
         "execution_timestamp": run_at.isoformat(),

@@ -10,6 +10,7 @@ from sitewright.operators.parts import (
     distinct_counts,
     few_left_join,
     first_by,
+    first_rows,
     frequent,
     merge_parts,
     split_left_join,
@@ -74,6 +75,16 @@ def test_first_by_combines_before_the_shuffle(spark):
     assert "partial_min" in plan and "Window" not in plan
 
 
+def test_first_rows_are_merged_in_groups(spark):
+    df = spark.range(0, 5000, 1, 16).select((F.col("id") * 7919 % 5000).alias("a"), F.col("id").alias("b"))
+    for n in (1, 100, 6000):
+        want = [tuple(r) for r in df.orderBy("a", "b").limit(n).collect()]
+        assert [tuple(r) for r in first_rows(df, n, "a", "b").collect()] == want
+    plan = first_rows(df, 100, "a", "b")._jdf.queryExecution().executedPlan().toString()
+    # Each task passes on no more than n rows, and neither does a group.
+    assert plan.count("WindowGroupLimit") == 2 and "Partial" in plan and "TakeOrderedAndProject" in plan
+
+
 def test_merge_is_null_safe(spark):
     a = spark.createDataFrame([(None, 1), ("x", 2)], "k string, a int")
     b = spark.createDataFrame([(None, 3), ("y", 4)], "k string, b int")
