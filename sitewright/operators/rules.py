@@ -13,7 +13,8 @@ import logging
 from dataclasses import dataclass
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.errors import PySparkException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sitewright.functions import points
@@ -303,9 +304,9 @@ def suite_summary(results: DataFrame) -> DataFrame:
     )
 
 
-def failed_suite(results: DataFrame, suite: str) -> DataFrame:
-    """The summary of a suite that could not run."""
-    return results.sparkSession.range(1).select(
+def failed_suite(spark: SparkSession, suite: str) -> DataFrame:
+    """The summary of a suite that could not run: no rules, and no success."""
+    return spark.range(1).select(
         F.lit(suite).alias("suite"),
         *[
             F.lit(0).cast("long").alias(c)
@@ -316,6 +317,17 @@ def failed_suite(results: DataFrame, suite: str) -> DataFrame:
     )
 
 
+def summary_or_failure(results: DataFrame, suite: str) -> DataFrame:
+    """The suite's summary, computed now; that of a failed suite if it cannot be."""
+    summary = suite_summary(results)
+    try:
+        rows = summary.collect()
+    except PySparkException as problem:
+        log.error("suite %s could not run: %s", suite, problem)
+        return failed_suite(results.sparkSession, suite)
+    return results.sparkSession.createDataFrame(rows, summary.schema)
+
+
 def combined_summary(summary: DataFrame) -> DataFrame:
     """Several suites as one: how many tables passed and failed, success if all did."""
     return summary.agg(

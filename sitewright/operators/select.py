@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sitewright.functions import points
+from sitewright.schema import PER_PAGE
 
 ALL = "All"
 
@@ -46,7 +47,7 @@ def filter_by_type(df: DataFrame, kind: str) -> DataFrame:
     return df.where(F.col("brewery_type") == kind)
 
 
-def search_sites(df: DataFrame, text: str, per_page: int = 50) -> DataFrame:
+def search_sites(df: DataFrame, text: str, per_page: int = PER_PAGE) -> DataFrame:
     """First rows by id whose name, city or state holds the text, in any case."""
     needle = text.lower()
     hit = F.lit(False)
@@ -59,7 +60,7 @@ def lookup_by_id(df: DataFrame, site_id: str) -> DataFrame:
     return df.where(F.col("id") == site_id)
 
 
-def page_slice(df: DataFrame, page: int, per_page: int) -> DataFrame:
+def page_slice(df: DataFrame, page: int = 1, per_page: int = PER_PAGE) -> DataFrame:
     """Page `page`, counted from 1, of the rows in id order.
 
     All columns break ties, so the pages put together are the table.
@@ -68,7 +69,7 @@ def page_slice(df: DataFrame, page: int, per_page: int) -> DataFrame:
     return df.orderBy(*order).offset((page - 1) * per_page).limit(per_page)
 
 
-def first_pages(df: DataFrame, max_pages: int | None, per_page: int) -> DataFrame:
+def first_pages(df: DataFrame, max_pages: int | None = None, per_page: int = PER_PAGE) -> DataFrame:
     """The rows of the first pages; all rows when there is no cap."""
     if not max_pages:
         return df

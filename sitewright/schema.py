@@ -191,6 +191,9 @@ RUN_SCHEMA = T.StructType(
 
 RETAINED_RUNS = 100
 
+# Rows on a page of the source, unless told otherwise.
+PER_PAGE = 200
+
 # ---- fixed values: results must use exactly these ---------------------------
 
 # Spellings that stand for a country, by the name they become.

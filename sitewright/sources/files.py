@@ -35,17 +35,18 @@ def size_of(spark: SparkSession, path: str) -> int:
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors share: the session's checkpoint folder.
 
-    Only a session without that setting, such as a local test, gets a folder of
-    its own, which is then set as its checkpoint folder.
+    Only a local session without that setting, such as a test, gets a temporary
+    folder, which is then set as its checkpoint folder.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    current = spark.sparkContext.getCheckpointDir()
-    if current is None:
-        current = tempfile.mkdtemp(prefix="sitewright-")
-        spark.sparkContext.setCheckpointDir(current)
-    return current.rstrip("/")
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="sitewright-"))
+    return context.getCheckpointDir().rstrip("/")
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:

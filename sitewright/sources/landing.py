@@ -16,12 +16,11 @@ from sitewright.schema import (
     LISTING_COLUMNS,
     LISTING_SCHEMA,
     MANIFEST_SCHEMA,
+    PER_PAGE,
     empty_table,
 )
 from sitewright.sources import files
 
-PER_PAGE = 200
-
 
 def dated(df: DataFrame, at: datetime | Column) -> DataFrame:
     """Rows with the partition columns of their landing time."""
@@ -50,6 +49,7 @@ def land_batch(
         .write.mode("overwrite" if clean_before_run else "append")
         .partitionBy(*LANDING_PARTITIONS)
         .option("ignoreNullFields", "false")
+        .option("partitionOverwriteMode", "static")
         .json(base)
     )
 
@@ -149,8 +149,8 @@ def manifest_row(
     )
 
 
-def append_manifest(row: DataFrame, manifest: str) -> None:
-    row.write.mode("append").json(manifest)
+def append_manifest(row: DataFrame, manifest: str, clean_before_run: bool = False) -> None:
+    row.write.mode("overwrite" if clean_before_run else "append").json(manifest)
 
 
 def read_manifest(spark: SparkSession, manifest: str) -> DataFrame:
@@ -184,7 +184,8 @@ def ingest(
 ) -> DataFrame:
     """Land a batch and record it; returns its manifest row.
 
-    A batch without rows is not landed.
+    A batch without rows is not landed. `clean_before_run` drops what was
+    landed before, and its manifest.
     """
     spark = df.sparkSession
     day = f"{base.rstrip('/')}/year={at:%Y}/month={at:%m}/day={at:%d}"
@@ -194,5 +195,5 @@ def ingest(
     land_batch(df, base, at, clean_before_run)
     row = manifest_row(df, at, day, source, per_page, files.size_of(spark, day) - before)
     if save_metadata:
-        append_manifest(row, manifest_path(base))
+        append_manifest(row, manifest_path(base), clean_before_run)
     return row

@@ -30,7 +30,13 @@ def write_silver(
     size needs.
     """
     columns = partition_by or SILVER_PARTITIONS
-    df.hint("rebalance", *columns).write.mode(mode).partitionBy(*columns).parquet(path)
+    (
+        df.hint("rebalance", *columns)
+        .write.mode(mode)
+        .option("partitionOverwriteMode", "static")
+        .partitionBy(*columns)
+        .parquet(path)
+    )
     return path
 
 

@@ -138,6 +138,15 @@ def test_summaries(values):
     assert (layers["overall"]["total_expectations"], layers["overall"]["failed"]) == (3, 1)
 
 
+def test_a_suite_that_cannot_run_has_failed(values, caplog):
+    df = values("a").selectExpr("raise_error('broken') AS v")
+    row = one(rules.summary_or_failure(rules.run_suite(df, "x", [rules.Unique("v")]), "x"))
+    assert (row["suite"], row["total_expectations"], row["success"]) == ("x", 0, False)
+    assert "broken" in caplog.text
+    fine = rules.summary_or_failure(rules.run_suite(values("a"), "x", [rules.Unique("v")]), "x")
+    assert one(fine)["success"]
+
+
 def test_volume_anomaly(spark):
     counts = [
         ("2026-01-30", 100), ("2026-01-31", 120), ("2026-02-01", 96), ("2026-02-02", 0),

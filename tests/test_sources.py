@@ -46,6 +46,7 @@ def test_append_and_replace(spark, listings, tmp_path):
         assert landing.read_landed_listings(spark, base, date).count() == expected, date
     landing.ingest(listings(ENGLISH), base, LATER, clean_before_run=True)
     assert landing.read_landed_listings(spark, base).count() == 1
+    assert landing.read_manifest(spark, landing.manifest_path(base)).count() == 1
 
 
 def test_empty_batch_is_a_warning_and_lands_nothing(spark, listings, tmp_path):
