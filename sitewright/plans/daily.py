@@ -1,5 +1,6 @@
 """A whole run: land, check, curate, check, report, check, record."""
 
+import logging
 import time
 from datetime import datetime
 
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 
 from sitewright.operators import rules
 from sitewright.operators.metrics import enrichment_rates
-from sitewright.operators.runs import run_report
+from sitewright.operators.runs import LOSS_LIMIT, newest, run_report
 from sitewright.plans.curate import MAX_LOOKUPS, row_count, transform_listings
 from sitewright.plans.report import build_gold, read_all_gold
 from sitewright.schema import LOOKUP_LEVEL
@@ -16,6 +17,8 @@ from sitewright.sources import history, landing
 from sitewright.sources.files import staged
 from sitewright.sources.tables import read_silver
 
+log = logging.getLogger(__name__)
+
 ROLLED_UP = [
     "breweries_by_type",
     "breweries_by_country",
@@ -35,6 +38,20 @@ def _suite(results: DataFrame, layer: str) -> dict:
     }
 
 
+def volume_warning(spark: SparkSession, bronze_path: str) -> bool:
+    """Whether the newest batch differs much in size from the one before it; it is logged if so."""
+    manifest = landing.read_manifest(spark, landing.manifest_path(bronze_path))
+    compared = rules.volume_anomaly(manifest, "ingestion_timestamp", "total_records")
+    last = newest(compared, 1, "ingestion_timestamp").first()
+    if last is None or not last["anomaly"]:
+        return False
+    log.warning(
+        "volume changed by %.1f %%: %d rows before, %d now",
+        last["variance"] * 100, last["previous_count"], last["current_count"],
+    )
+    return True
+
+
 def expected_totals(silver: DataFrame) -> dict[str, DataFrame]:
     """What the counts of each rolled-up table must add up to, as one-row tables."""
     total = silver.agg(F.count(F.lit(1)))
@@ -82,6 +99,7 @@ def run_day(
     }
     rates = None
     if landed["status"] == "success":
+        volume_warning(spark, bronze_path)
         flat |= _suite(rules.validate_bronze(batch), "bronze")
         started = time.monotonic()
         transform_listings(
@@ -116,4 +134,7 @@ def run_day(
     row = spark.range(1).select(*[F.lit(value).alias(name) for name, value in flat.items()])
     record = run_report(row, rates)
     history.append_run(record, f"{base}/runs")
+    loss = record.select("data_quality.data_loss_rate").first()[0]
+    if loss > LOSS_LIMIT:
+        log.warning("%.2f %% of the landed rows are not in the curated table", loss)
     return record

@@ -6,9 +6,9 @@ from pyspark.errors import PySparkException
 from test_clean import COMPLETE, ENGLISH, PADDED
 
 from sitewright.operators import runs
-from sitewright.plans.daily import run_day
+from sitewright.plans.daily import run_day, volume_warning
 from sitewright.schema import RUN_SCHEMA
-from sitewright.sources import history, tables
+from sitewright.sources import history, landing, tables
 
 NOW = datetime(2026, 1, 31, 12, 0)
 
@@ -109,5 +109,14 @@ def test_a_whole_run_and_its_history(spark, listings, tmp_path):
     assert tables.read_gold(spark, f"{base}/gold", "breweries").count() == 3
 
 
+def test_volume_is_compared_with_the_batch_before(spark, listings, tmp_path, caplog):
+    base = str(tmp_path / "bronze")
+    landing.ingest(listings(COMPLETE, PADDED), base, RUN_AT)
+    assert not volume_warning(spark, base)
+    landing.ingest(listings(COMPLETE, PADDED, ENGLISH), base, RUN_AT + timedelta(days=40))
+    assert volume_warning(spark, base)
+    assert "changed by 50.0 %: 2 rows before, 3 now" in caplog.text
+
+
 def test_no_history_yet(spark, tmp_path):
     assert history.read_runs(spark, str(tmp_path / "none")).collect() == []
