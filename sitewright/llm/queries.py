@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sitewright.llm import op02_topk, op05_bpe, op09_chat, op10_packing
+from sitewright.llm import op02_topk, op03_quality_rules, op05_bpe, op09_chat, op10_packing
 from sitewright.llm.common import table
 
 QUERIES = {}
@@ -21,6 +21,11 @@ def op2_vector_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op02_topk.top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0), k=5)
 
 
+@query
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op03_quality_rules.judged(table(spark, sf_dir, "documents"))
+
+
 @query
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -57,4 +62,5 @@ ORACLE = {
             SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s
         ) WHERE rank <= 5
     """,
+    "op3_quality_rules": op03_quality_rules.oracle(),
 }
