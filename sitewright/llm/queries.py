@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sitewright.llm import op02_topk, op03_quality_rules, op05_bpe, op09_chat, op10_packing
+from sitewright.llm import op01_simhash, op02_topk, op03_quality_rules, op05_bpe, op09_chat, op10_packing
 from sitewright.llm.common import table
 
 QUERIES = {}
@@ -15,6 +15,11 @@ def query(fn):
     return fn
 
 
+@query
+def op1_simhash_pigeonring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op01_simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @query
 def op2_vector_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
