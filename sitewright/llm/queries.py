@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sitewright.llm import op01_simhash, op02_topk, op03_quality_rules, op05_bpe, op06_quality_cnn, op09_chat, op10_packing
+from sitewright.llm import op01_simhash, op02_topk, op03_quality_rules, op05_bpe, op06_quality_cnn, op07_secrets, op09_chat, op10_packing
 from sitewright.llm.common import table
 
 QUERIES = {}
@@ -42,6 +42,11 @@ def op6_quality_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op06_quality_cnn.classified(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query
+def op7_secret_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op07_secrets.scan(table(spark, sf_dir, "documents"))
+
+
 @query
 def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = "<|im_end|><|im_start|>assistant ok"
