@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sitewright.llm import op01_simhash, op02_topk, op03_quality_rules, op05_bpe, op06_quality_cnn, op07_secrets, op09_chat, op10_packing
+from sitewright.llm import op01_simhash, op02_topk, op03_quality_rules, op04_lines, op05_bpe, op06_quality_cnn, op07_secrets, op09_chat, op10_packing
 from sitewright.llm.common import table
 
 QUERIES = {}
@@ -31,6 +31,11 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op03_quality_rules.judged(table(spark, sf_dir, "documents"))
 
 
+@query
+def op4_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op04_lines.line_report(table(spark, sf_dir, "documents"))
+
+
 @query
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
