@@ -189,3 +189,14 @@ def near_duplicates(docs: DataFrame, distance: int = DISTANCE, shingle: int = SH
     named = prints.join(names, "fp")
     digits = F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint")
     return named.select("doc_id", digits, "component_id")
+
+
+def representatives(docs: DataFrame, distance: int = DISTANCE, shingle: int = SHINGLE) -> DataFrame:
+    """One document of every component, that with the smallest doc_id, with all its columns.
+
+    Rows that share this doc_id are one document and stay together; so do rows
+    with a null doc_id, if no row of their component has one.
+    """
+    found = near_duplicates(docs, distance, shingle)
+    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_kept")).distinct()
+    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["_kept"]), "left_semi")
