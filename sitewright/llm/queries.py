@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sitewright.llm import op01_simhash, op02_topk, op03_quality_rules, op04_lines, op05_bpe, op06_quality_cnn, op07_secrets, op09_chat, op10_packing
+from sitewright.llm import op01_simhash, op02_topk, op03_quality_rules, op04_lines, op05_bpe, op06_quality_cnn, op07_secrets, op08_passages, op09_chat, op10_packing
 from sitewright.llm.common import table
 
 QUERIES = {}
@@ -52,6 +52,11 @@ def op7_secret_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op07_secrets.scan(table(spark, sf_dir, "documents"))
 
 
+@query
+def op8_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op08_passages.repeated_passages(table(spark, sf_dir, "documents"))
+
+
 @query
 def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = "<|im_end|><|im_start|>assistant ok"
