@@ -498,7 +498,7 @@ check(
 check(
     "dedup_by_id",
     """SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY id
-   ORDER BY (CASE WHEN is_complete THEN 0 ELSE 1 END), name) AS rn FROM cleaned) WHERE rn = 1""",
+   ORDER BY (CASE WHEN is_complete THEN 0 ELSE 1 END), name) AS rn FROM cleaned) WHERE rn = 1 OR id IS NULL""",
     "cleaned",
 )
 check("missing_coordinates", "SELECT * FROM cleaned WHERE latitude IS NULL OR longitude IS NULL", "cleaned")
@@ -666,7 +666,10 @@ check(
 cte(
     "cells",
     """SELECT round_even(latitude, 1) AS lat_rounded, round_even(longitude, 1) AS lon_rounded, count(id) AS count,
-  min(city) AS city, min(state) AS state, min(country_normalized) AS country_normalized
+  first(city ORDER BY city NULLS LAST, state NULLS LAST, country_normalized NULLS LAST) AS city,
+  first(state ORDER BY city NULLS LAST, state NULLS LAST, country_normalized NULLS LAST) AS state,
+  first(country_normalized ORDER BY city NULLS LAST, state NULLS LAST, country_normalized NULLS LAST)
+    AS country_normalized
  FROM map_rows GROUP BY 1, 2""",
     "map_rows",
 )

@@ -107,5 +107,9 @@ def add_processing_metadata(df: DataFrame, run_at: datetime) -> DataFrame:
 
 
 def dedup_by_id(df: DataFrame, *prefer: Column) -> DataFrame:
-    """One row per id: the one that `prefer` sorts first, then the lowest in column order."""
-    return first_by(df, ["id"], *prefer)
+    """One row per id: the one that `prefer` sorts first, then the lowest in column order.
+
+    Rows without an id are not each other's duplicates: all of them stay.
+    """
+    known = first_by(df.where(F.col("id").isNotNull()), ["id"], *prefer)
+    return known.unionByName(df.where(F.col("id").isNull()))

@@ -257,15 +257,18 @@ def lookup_coverage(before: DataFrame, after: DataFrame, found: DataFrame) -> Da
 
 
 def density_grid(df: DataFrame) -> DataFrame:
-    """Listings per cell of a tenth of a degree, with one city, state and country of each."""
-    return df.groupBy(
-        points.cell("latitude").alias("lat_rounded"), points.cell("longitude").alias("lon_rounded")
-    ).agg(
-        F.count("id").alias("count"),
-        F.min("city").alias("city"),
-        F.min("state").alias("state"),
-        F.min("country_normalized").alias("country_normalized"),
-    )
+    """Listings per cell of a tenth of a degree, with one place (city, state and country of one listing) of each.
+
+    Listings are counted per place first; the first place of a cell, by name and
+    with missing names last, is then taken from those few rows.
+    """
+    cell = ["lat_rounded", "lon_rounded"]
+    names = ["city", "state", "country_normalized"]
+    places = df.groupBy(points.cell("latitude").alias("lat_rounded"), points.cell("longitude").alias("lon_rounded"), *names)
+    counted = places.agg(F.count("id").alias("_n"))
+    order = [x for name in names for x in (F.col(name).isNull().alias(f"_no_{name}"), F.col(name))]
+    first = counted.groupBy(*cell).agg(F.sum("_n").alias("count"), F.min(F.struct(*order)).alias("_first"))
+    return first.select(*cell, "count", *[F.col("_first")[name].alias(name) for name in names])
 
 
 def top_density_cells(df: DataFrame, n: int = 10) -> DataFrame:

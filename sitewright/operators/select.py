@@ -53,7 +53,7 @@ def search_sites(df: DataFrame, text: str, per_page: int = PER_PAGE) -> DataFram
     hit = F.lit(False)
     for column in ("name", "city", "state"):
         hit = hit | F.coalesce(F.lower(column).contains(needle), F.lit(False))
-    return df.where(hit).orderBy("id", "name").limit(per_page)
+    return df.where(hit).orderBy("id", "name", *[c for c in df.columns if c not in ("id", "name")]).limit(per_page)
 
 
 def lookup_by_id(df: DataFrame, site_id: str) -> DataFrame:

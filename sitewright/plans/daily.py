@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from sitewright.operators import rules
 from sitewright.operators.metrics import enrichment_rates
 from sitewright.operators.runs import LOSS_LIMIT, newest, run_report
-from sitewright.plans.curate import MAX_LOOKUPS, row_count, transform_listings
+from sitewright.plans.curate import row_count, transform_listings
 from sitewright.plans.report import build_gold, read_all_gold
 from sitewright.schema import LOOKUP_LEVEL
 from sitewright.sources import history, landing
@@ -66,7 +66,7 @@ def run_day(
     run_at: datetime,
     run_id: str,
     gazetteers: tuple[DataFrame, DataFrame] | None = None,
-    max_records: int | None = MAX_LOOKUPS,
+    max_records: int | None = None,
     clean_before_run: bool = False,
 ) -> DataFrame:
     """Run every stage over one batch and append the run's record, which is returned.

@@ -2,18 +2,19 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sitewright.operators.runs import retained_runs
+from sitewright.operators.runs import RUN_TIME, retained_runs
 from sitewright.schema import RUN_SCHEMA, empty_table
 from sitewright.sources import files
 
 
 def append_run(record: DataFrame, path: str) -> None:
-    """Add a run. Older runs stay in the files; readers see the retained ones."""
+    """Add a run."""
     record.write.mode("append").json(path)
 
 
-def read_runs(spark: SparkSession, path: str) -> DataFrame:
-    """The retained runs, oldest first."""
+def read_runs(spark: SparkSession, path: str, keep: int | None = None) -> DataFrame:
+    """All runs, or the last `keep` of them, oldest first."""
     if not files.exists(spark, path):
         return empty_table(spark, RUN_SCHEMA)
-    return retained_runs(spark.read.schema(RUN_SCHEMA).json(path))
+    runs = spark.read.schema(RUN_SCHEMA).json(path)
+    return runs.orderBy(RUN_TIME) if keep is None else retained_runs(runs, keep)

@@ -9,16 +9,16 @@ from sitewright.sources import tables
 
 # id, type, country, state, city, latitude, longitude, phone, website, flags: valid, placed, contact, complete
 TEN = [
-    ("cal-1", "micro", "united states", "California", "San Francisco", 37.7749, -122.4194, "1", "w", 1, 1, 1, 1),
-    ("cal-2", "brewpub", "united states", "California", "Los Angeles", 34.0522, -118.2437, None, "w", 1, 1, 1, 1),
-    ("cal-3", "large", "united states", "California", "San Diego", 32.7157, -117.1611, "3", "w", 1, 1, 1, 1),
-    ("tx-1", "micro", "united states", "Texas", "Austin", 30.2672, -97.7431, "4", None, 1, 1, 1, 1),
-    ("tx-2", "regional", "united states", "Texas", "Houston", 29.7604, -95.3698, None, None, 1, 1, 0, 0),
-    ("ny-1", "brewpub", "united states", "New York", "New York", 40.7128, -74.006, "6", "w", 1, 1, 1, 1),
-    ("on-1", "micro", "canada", "Ontario", "Toronto", 43.6532, -79.3832, "7", "w", 1, 1, 1, 1),
-    ("on-2", "planning", "canada", "Ontario", "Ottawa", None, None, None, None, None, 0, 0, 0),
-    ("uk-1", "brewpub", "united kingdom", "England", "London", 51.5074, -0.1278, "9", "w", 1, 1, 1, 1),
-    ("incomplete-1", None, None, None, None, None, None, None, None, None, 0, 0, 0),
+    ("a1", "nano", "chile", "Biobio", "Talca", -36.8, -73.0, "5", None, 1, 1, 1, 1),
+    ("a2", "nano", "chile", "Biobio", "Lota", -37.1, -73.2, None, "w", 1, 1, 1, 1),
+    ("a3", "large", "chile", "Maule", "Talca", -35.4, -71.7, None, None, 1, 1, 0, 0),
+    ("b1", "nano", "norway", "Troms", "Alta", 69.9, 23.3, "1", "w", 1, 1, 1, 1),
+    ("b2", "taproom", "norway", "Troms", "Senja", None, None, "2", None, None, 0, 1, 0),
+    ("b3", "taproom", "norway", "Viken", "Moss", 59.4, 10.7, None, "w", 0, 1, 1, 1),
+    ("b4", "taproom", "norway", "Viken", "Moss", 59.5, 10.6, None, None, 1, 1, 0, 0),
+    ("c1", "bar", "kenya", None, "Lamu", None, None, None, None, None, 0, 0, 0),
+    ("c2", "bar", "kenya", "Coast", "Kilifi", -3.6, 39.8, "8", "w", 1, 1, 1, 1),
+    ("d1", None, None, None, None, None, None, None, None, None, 0, 0, 0),
 ]
 SCHEMA = (
     "id string, brewery_type_normalized string, country_normalized string, state string, city string,"
@@ -41,36 +41,36 @@ def table(spark, name, rows=TEN):
 
 def test_by_type(spark):
     rows = by(table(spark, "breweries_by_type"), "brewery_type_normalized")
-    assert rows["micro"]["brewery_count"] == 3 and rows["micro"]["completeness_rate"] == 100.0
+    assert rows["nano"]["brewery_count"] == 3 and rows["nano"]["completeness_rate"] == 100.0
     assert rows[None]["brewery_count"] == 1 and rows[None]["completeness_rate"] == 0.0
-    assert rows["regional"]["with_coordinates"] == 1 and rows["regional"]["with_contact"] == 0
+    assert rows["large"]["with_coordinates"] == 1 and rows["large"]["with_contact"] == 0
     counts = [r["brewery_count"] for r in table(spark, "breweries_by_type").collect()]
     assert counts == sorted(counts, reverse=True)
 
 
 def test_by_country(spark):
     rows = by(table(spark, "breweries_by_country"), "country_normalized")
-    assert rows["united states"]["brewery_count"] == 6 and rows["united states"]["distinct_types"] == 4
+    assert rows["chile"]["brewery_count"] == 3 and rows["chile"]["distinct_types"] == 2
     assert rows[None]["distinct_types"] == 0 and rows[None]["unique_breweries"] == 1
 
 
 def test_by_state(spark):
     rows = by(table(spark, "breweries_by_state"), "state")
-    assert rows["California"]["brewery_count"] == 3 and rows["California"]["distinct_cities"] == 3
+    assert rows["Biobio"]["brewery_count"] == 2 and rows["Biobio"]["distinct_cities"] == 2
     assert None not in rows
 
 
 def test_by_type_and_place(spark):
     pairs = by(table(spark, "breweries_by_type_and_country"), "brewery_type_normalized", "country_normalized")
-    assert pairs[("micro", "united states")]["brewery_count"] == 2
+    assert pairs[("nano", "chile")]["brewery_count"] == 2
     triples = by(table(spark, "breweries_by_type_and_state"), "brewery_type_normalized", "state")
-    assert triples[("micro", "California")]["brewery_count"] == 1
+    assert triples[("nano", "Biobio")]["brewery_count"] == 2
 
 
 def test_summary(spark):
     row = one(table(spark, "brewery_summary_statistics"))
-    assert row["total_breweries"] == 10 and row["distinct_types"] == 5 and row["distinct_countries"] == 3
-    assert (row["with_coordinates"], row["with_contact"], row["complete_records"]) == (8, 7, 7)
+    assert row["total_breweries"] == 10 and row["distinct_types"] == 4 and row["distinct_countries"] == 3
+    assert (row["with_coordinates"], row["with_contact"], row["complete_records"]) == (7, 6, 5)
 
 
 def test_summary_of_nothing(spark):
@@ -113,22 +113,22 @@ def test_build_gives_what_single_tables_give(spark, tmp_path):
 def test_read_gold(spark, tmp_path):
     base = str(tmp_path / "gold")
     tables.write_gold(table(spark, "breweries_by_type"), base, "breweries_by_type")
-    filtered = tables.read_gold(spark, base, "breweries_by_type", {"brewery_type_normalized": "micro"})
+    filtered = tables.read_gold(spark, base, "breweries_by_type", {"brewery_type_normalized": "nano"})
     assert one(filtered)["brewery_count"] == 3
     with pytest.raises(ValueError, match="no_such_table"):
         tables.read_gold(spark, base, "no_such_table")
     loaded = tables.load_gold_or_empty(spark, base)
-    assert loaded["by_type"].count() == 6
+    assert loaded["by_type"].count() == 5
     assert loaded["summary"].count() == 0
     assert loaded["summary"].columns == GOLD_SCHEMAS["brewery_summary_statistics"].names
 
 
 def test_end_to_end_three_rows(spark):
-    rows = [TEN[0], TEN[3], TEN[6][:1] + ("brewpub",) + TEN[6][2:]]
+    rows = [TEN[0], TEN[1], TEN[3][:1] + ("bar",) + TEN[3][2:]]
     types = by(table(spark, "breweries_by_type", rows), "brewery_type_normalized")
-    assert len(types) == 2 and types["micro"]["brewery_count"] == 2
+    assert len(types) == 2 and types["nano"]["brewery_count"] == 2
     countries = by(table(spark, "breweries_by_country", rows), "country_normalized")
-    assert len(countries) == 2 and countries["united states"]["brewery_count"] == 2
+    assert len(countries) == 2 and countries["chile"]["brewery_count"] == 2
 
 
 # ---- report queries on the same rows ----------------------------------------
@@ -137,31 +137,31 @@ def test_end_to_end_three_rows(spark):
 def test_top_lists(spark):
     countries = table(spark, "breweries_by_country")
     assert [r["country_normalized"] for r in explore.top_countries(countries, 2).collect()] == [
-        "united states", "canada",
+        "norway", "chile",
     ]
-    others = explore.top_countries_excluding(countries, "united states").collect()
+    others = explore.top_countries_excluding(countries, "norway").collect()
     # Rows without a country are not the excluded country.
-    assert {r["country_normalized"] for r in others} == {"canada", "united kingdom", None}
+    assert {r["country_normalized"] for r in others} == {"chile", "kenya", None}
     states = explore.top_states(table(spark, "breweries_by_state"), 3).collect()
-    assert [r["state"] for r in states] == ["California", "Ontario", "Texas"]
+    assert [r["state"] for r in states] == ["Biobio", "Troms", "Viken"]
 
 
 def test_top_cities_need_all_three_keys(spark):
     rows = [*TEN, ("x", "t", None, "S", "Nowhere", *[None] * 4, 0, 0, 0, 0)]
     cities = explore.top_cities(ten(spark, rows)).collect()
-    assert len(cities) == 9 and "Nowhere" not in {r["city"] for r in cities}
+    assert len(cities) == 7 and "Nowhere" not in {r["city"] for r in cities}
 
 
 def test_shares(spark):
     by_type = table(spark, "breweries_by_type")
     rows = by(explore.type_share(by_type), "brewery_type_normalized")
-    assert rows["micro"]["share_percent"] == 30.0
-    # brewpub and micro are equal; the name decides.
-    assert [t for t, r in rows.items() if r["most_common"]] == ["brewpub"]
+    assert rows["nano"]["share_percent"] == 30.0
+    # nano and taproom are equal; the name decides.
+    assert [t for t, r in rows.items() if r["most_common"]] == ["nano"]
     summary = table(spark, "brewery_summary_statistics")
     countries = table(spark, "breweries_by_country")
-    share = one(explore.country_share(countries, summary, "united states"))
-    assert (share["brewery_count"], share["share_percent"]) == (6, 60.0)
+    share = one(explore.country_share(countries, summary, "chile"))
+    assert (share["brewery_count"], share["share_percent"]) == (3, 30.0)
     absent = one(explore.country_share(countries, summary, "Peru"))
     assert (absent["brewery_count"], absent["share_percent"]) == (0, 0.0)
 
@@ -171,33 +171,33 @@ def test_headline_numbers_without_a_summary(spark):
     summary = table(spark, "brewery_summary_statistics")
     full = one(explore.header_metrics(summary, countries, types))
     assert full.asDict() == {
-        "total_breweries": 10, "total_countries": 3, "total_types": 5, "coordinate_coverage": 80.0,
+        "total_breweries": 10, "total_countries": 3, "total_types": 4, "coordinate_coverage": 70.0,
     }
     bare = one(explore.header_metrics(summary.limit(0), countries, types))
-    assert (bare["total_breweries"], bare["total_countries"], bare["total_types"]) == (0, 4, 6)
+    assert (bare["total_breweries"], bare["total_countries"], bare["total_types"]) == (0, 4, 5)
     assert bare["coordinate_coverage"] == 0.0
 
 
 def test_scorecard(spark):
     row = one(explore.quality_scorecard(table(spark, "brewery_summary_statistics")))
-    assert (row["coordinate_percent"], row["overall_quality"]) == (80.0, 75.0)
-    assert row["without_coordinates"] == 2
+    assert (row["coordinate_percent"], row["overall_quality"]) == (70.0, 65.0)
+    assert row["without_coordinates"] == 3
 
 
 def test_rollup_levels(spark):
     rows = by(explore.country_state_rollup(table(spark, "breweries_by_state")), "level", "country_normalized", "state")
-    assert rows[(2, None, None)]["brewery_count"] == 9
-    assert rows[(1, "united states", None)]["brewery_count"] == 6
-    assert rows[(0, "canada", "Ontario")]["brewery_count"] == 2
+    assert rows[(2, None, None)]["brewery_count"] == 8
+    assert rows[(1, "chile", None)]["brewery_count"] == 3
+    assert rows[(0, "norway", "Troms")]["brewery_count"] == 2
 
 
 def test_type_mix(spark):
     rows = by(
         explore.type_mix_by_state(table(spark, "breweries_by_type_and_state")), "state", "brewery_type_normalized"
     )
-    assert rows[("Texas", "micro")]["type_share"] == 0.5
+    assert rows[("Troms", "nano")]["type_share"] == 0.5
     rows = by(
         explore.type_mix_by_country(table(spark, "breweries_by_type_and_country")),
         "country_normalized", "brewery_type_normalized",
     )
-    assert rows[("canada", "planning")]["type_share"] == 0.5
+    assert rows[("norway", "nano")]["type_share"] == 0.25

@@ -164,6 +164,22 @@ def test_volume_anomaly(spark):
     assert got == [(None, False), (100, False), (120, False), (96, True), (0, False), (50, True)]
 
 
+def test_volume_is_not_compared_with_the_unknown(spark):
+    days = [("2026-01-30", 100), ("2026-02-01", 200), ("2026-02-02", None), ("2026-02-03", 205), (None, 7)]
+    df = spark.createDataFrame(
+        [(d and datetime.date.fromisoformat(d), n) for d, n in days], "run_date date, records long"
+    )
+    rows = by(rules.volume_anomaly(df, "run_date", "records"), "run_date")
+    got = [rows[d and datetime.date.fromisoformat(d)]["previous_count"] for d, _ in days]
+    assert got == [None, 100, 200, None, None]
+    assert [rows[d and datetime.date.fromisoformat(d)]["anomaly"] for d, _ in days] == [False, True, False, False, False]
+
+
+def test_listings_may_be_many(spark):
+    many = spark.range(10_001).withColumnRenamed("id", "n")
+    assert all(r["success"] for r in rules.validate_gold({"breweries": many}).collect())
+
+
 # ---- metrics ----------------------------------------------------------------
 
 

@@ -86,7 +86,7 @@ def test_reconciliation(spark):
 def test_a_whole_run_and_its_history(spark, listings, tmp_path):
     base = str(tmp_path / "lake")
     schema = "key string, latitude double, longitude double"
-    by_city = spark.createDataFrame([("Austin, United States", 30.0, -97.0)], schema)
+    by_city = spark.createDataFrame([("Boise, United States", 43.6, -116.2)], schema)
     batch = listings(COMPLETE, PADDED, ENGLISH)
     first = one(run_day(spark, batch, base, RUN_AT, "scheduled__1", (by_city.limit(0), by_city)))
     assert first["status"] == "success"

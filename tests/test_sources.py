@@ -107,17 +107,17 @@ def test_silver_roundtrip_and_filters(spark, listings, tmp_path):
     df = curated(listings(COMPLETE, PADDED, ENGLISH), RUN_AT)
     assert len(df.columns) == 28
     tables.write_silver(df, path)
-    assert (tmp_path / "silver" / "country_normalized=United States" / "state=Texas").is_dir()
+    assert (tmp_path / "silver" / "country_normalized=United States" / "state=Idaho").is_dir()
     back = tables.read_silver(spark, path)
     assert sorted(back.columns) == sorted(df.columns)
     # A row without a state comes back without one.
-    assert by(back, "id")["brewery-3"]["state"] is None
+    assert by(back, "id")["n-19"]["state"] is None
     us = tables.read_silver(spark, path, {"country_normalized": "United States"})
     assert us.count() == 2
     plan = us._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(country_normalized" in plan
-    only = tables.read_silver(spark, path, {"country_normalized": "United States", "state": "Texas"})
-    assert one(only)["id"] == "brewery-2"
+    only = tables.read_silver(spark, path, {"country_normalized": "United States", "state": "Idaho"})
+    assert one(only)["id"] == "n-18"
     stats = metrics.silver_statistics(back).where("dimension = 'by_country'")
     assert by(stats, "value")["United States"]["count"] == 2
 
@@ -131,7 +131,7 @@ def test_new_columns_and_other_partitions(spark, listings, tmp_path):
     tables.write_silver(extra, path, partition_by=["processing_year"], mode="append")
     for kwargs in ({"merge_schema": True}, {"extra": StructType().add("extra", "integer")}):
         rows = by(tables.read_silver(spark, path, **kwargs), "id")
-        assert rows["brewery-1"]["extra"] is None and rows["brewery-3"]["extra"] == 1
+        assert rows["n-17"]["extra"] is None and rows["n-19"]["extra"] == 1
     assert "extra" not in tables.read_silver(spark, path).columns
 
 
@@ -149,14 +149,14 @@ def test_transform_reports_quality(spark, listings, tmp_path):
     assert (row["total_records"], row["unique_ids"], row["complete_records"]) == (3, 3, 1)
     assert row["coordinate_coverage"] == 66.67
     by_city = spark.createDataFrame(
-        [("Austin, United States", 30.0, -97.0)], "key string, latitude double, longitude double"
+        [("Boise, United States", 43.6, -116.2)], "key string, latitude double, longitude double"
     )
     quality, coverage = transform_listings(
         spark, listings(COMPLETE, PADDED, ENGLISH), path, RUN_AT, (by_city.limit(0), by_city)
     )
     assert one(quality)["with_coordinates"] == 3
     assert (one(coverage)["before_with"], one(coverage)["after_with"]) == (2, 3)
-    assert by(tables.read_silver(spark, path), "id")["brewery-2"]["coordinates_valid"]
+    assert by(tables.read_silver(spark, path), "id")["n-18"]["coordinates_valid"]
 
 
 def test_csv_has_a_header(spark, listings, tmp_path):
@@ -164,7 +164,7 @@ def test_csv_has_a_header(spark, listings, tmp_path):
     quoted = {**COMPLETE, "name": 'The "Best", Inc'}
     tables.export_csv(listings(quoted).select("id", "name", "state_province").coalesce(1), path)
     text = "".join(open(f).read() for f in glob.glob(f"{path}/*.csv"))
-    assert text == 'id,name,state_province\nbrewery-1,"The ""Best"", Inc",\n'
+    assert text == 'id,name,state_province\nn-17,"The ""Best"", Inc",\n'
 
 
 # ---- the stream -------------------------------------------------------------
@@ -182,8 +182,8 @@ def test_stream_takes_each_landed_file_once(spark, listings, tmp_path):
     assert run().count() == 2
     landing.land_batch(listings(ENGLISH), base, LATER)
     rows = by(run(), "id")
-    assert len(rows) == 3 and rows["brewery-3"]["country_normalized"] == "United Kingdom"
-    assert rows["brewery-1"]["coordinates_valid"]
+    assert len(rows) == 3 and rows["n-19"]["country_normalized"] == "United Kingdom"
+    assert rows["n-17"]["coordinates_valid"]
 
 
 # ---- selection --------------------------------------------------------------
@@ -200,15 +200,15 @@ def test_pages_put_together_are_the_table(spark):
 
 def test_search(listings):
     df = listings(COMPLETE, PADDED, ENGLISH, {"id": "0"})
-    assert [r["id"] for r in select.search_sites(df, "LONDON").collect()] == ["brewery-3"]
-    assert [r["id"] for r in select.search_sites(df, "brewery", 2).collect()] == ["brewery-1", "brewery-2"]
-    assert one(select.lookup_by_id(df, "brewery-2"))["city"] == "Austin"
-    assert one(select.filter_by_type(df, "micro"))["id"] == "brewery-1"
+    assert [r["id"] for r in select.search_sites(df, "WHITBY").collect()] == ["n-19"]
+    assert [r["id"] for r in select.search_sites(df, "o", 2).collect()] == ["n-17", "n-18"]
+    assert one(select.lookup_by_id(df, "n-18"))["city"] == "Boise"
+    assert one(select.filter_by_type(df, "brewpub"))["id"] == "n-17"
 
 
 @pytest.mark.parametrize("country,kind,expected", [
-    ("All", "All", {"brewery-1", "brewery-3"}), ("United Kingdom", "All", {"brewery-3"}),
-    ("All", "micro", {"brewery-1"}), ("United Kingdom", "micro", set()),
+    ("All", "All", {"n-17", "n-19"}), ("United Kingdom", "All", {"n-19"}),
+    ("All", "brewpub", {"n-17"}), ("United Kingdom", "brewpub", set()),
 ])
 def test_map_selection(listings, country, kind, expected):
     df = curated(listings(COMPLETE, PADDED, ENGLISH), RUN_AT)
