@@ -172,7 +172,7 @@ def shared_parts(silver: DataFrame) -> Parts:
     counted once per combination, and only the others are left to be counted
     for each table. The others' ids are broadcast if they are few.
     """
-    pairs = id_places(silver, DIMENSIONS[:3]).persist()
+    pairs = staged(id_places(silver, DIMENSIONS[:3]), "pairs")
     with ThreadPoolExecutor(3) as pool:
         places = pool.submit(staged, place_totals(silver, DIMENSIONS), "places")
         times = pairs.groupBy("id").agg(F.count(F.lit(1)).alias("n"))
@@ -181,9 +181,7 @@ def shared_parts(silver: DataFrame) -> Parts:
         ids = pool.submit(staged, pairs.join(side, "id", "left_semi"), "ids")
         alone = pairs.join(side, "id", "left_anti").groupBy(*DIMENSIONS[:3])
         settled = pool.submit(staged, alone.agg(F.count(F.lit(1)).alias("ids")), "settled")
-        parts = Parts(places.result(), ids.result(), settled.result())
-    pairs.unpersist()
-    return parts
+        return Parts(places.result(), ids.result(), settled.result())
 
 
 def gold_tables(silver: DataFrame, parts: Parts, run_at: datetime) -> dict[str, DataFrame]:

@@ -3,7 +3,8 @@
 import logging
 from typing import Any
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
@@ -80,12 +81,16 @@ def list_gold(spark: SparkSession, base: str) -> list[str]:
 
 
 def load_gold_or_empty(spark: SparkSession, base: str) -> dict[str, DataFrame]:
-    """The tables reports read, by short name; one that cannot be read is empty."""
+    """The tables reports read, by short name; one that cannot be read is empty.
+
+    One row of each is read, so that damaged files are found here.
+    """
     tables = {}
     for short, table in REPORT_TABLES.items():
         try:
             tables[short] = read_gold(spark, base, table)
-        except (ValueError, AnalysisException) as problem:
+            tables[short].limit(1).collect()
+        except (ValueError, PySparkException, Py4JJavaError) as problem:
             log.warning("table %s not loaded: %s", table, problem)
             tables[short] = empty_table(spark, GOLD_SCHEMAS[table])
     return tables

@@ -123,6 +123,13 @@ def test_read_gold(spark, tmp_path):
     assert loaded["summary"].columns == GOLD_SCHEMAS["brewery_summary_statistics"].names
 
 
+def test_a_damaged_table_is_empty(spark, tmp_path):
+    folder = tmp_path / "breweries_by_type"
+    folder.mkdir()
+    (folder / "part-0.parquet").write_bytes(b"PAR1 nothing of the kind")
+    assert tables.load_gold_or_empty(spark, str(tmp_path))["by_type"].collect() == []
+
+
 def test_end_to_end_three_rows(spark):
     rows = [TEN[0], TEN[1], TEN[3][:1] + ("bar",) + TEN[3][2:]]
     types = by(table(spark, "breweries_by_type", rows), "brewery_type_normalized")
