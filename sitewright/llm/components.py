@@ -36,8 +36,7 @@ def components(links: DataFrame) -> DataFrame:
     """
     low, high = F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v")
     now = staged(links.select(low, high).where("u < v").distinct(), "links")
-    state = _state(now)
-    while state[0]:
+    while not _are_stars(now):
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         lowest = staged(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "lowest")
         large = both.join(lowest, "u").where("v > u").select(F.col("m").alias("u"), "v").distinct()
@@ -46,16 +45,13 @@ def components(links: DataFrame) -> DataFrame:
             F.explode(F.array(F.struct(F.col("m").alias("u"), F.col("u").alias("v")), F.struct(F.col("m").alias("u"), "v"))).alias("s")
         )
         now = staged(small.select("s.u", "s.v").where("u < v").distinct(), "links")
-        before, state = state, _state(now)
-        if state == before:
-            break
     return now.select(F.col("v").alias("node"), F.col("u").alias("root")).unionByName(
         now.select(F.col("u").alias("node"), F.col("u").alias("root")).distinct()
     )
 
 
-def _state(links: DataFrame) -> tuple:
-    """Equal for equal sets of links."""
-    mixed = F.xxhash64("u", "v")
-    row = links.agg(F.count(F.lit(1)), F.sum(mixed.cast("decimal(38,0)")), F.bit_xor(mixed)).first()
-    return tuple(row)
+def _are_stars(links: DataFrame) -> bool:
+    """Whether every v has one u, and no u is a v: then each u is its component's smallest node."""
+    sides = links.select(F.explode(F.array(F.struct(F.col("u").alias("node"), F.lit(0).alias("up")), F.struct(F.col("v").alias("node"), F.lit(1).alias("up")))).alias("s"))
+    nodes = sides.groupBy("s.node").agg(F.max("s.up").alias("up"), F.sum("s.up").alias("times"), F.min("s.up").alias("down"))
+    return nodes.where("times > 1 OR (up = 1 AND down = 0)").isEmpty()
