@@ -8,14 +8,16 @@ of them are looked at, which leaves the minima as they are. ROWS minima are a
 band; two lines with a similarity of 0.8 share one of the bands with a
 probability of 98.6 %, with 0.9 of 99.96 %.
 
-Equal lines have one signature and are one line from there on, named by a 64-bit
-hash. Lines that share a band's key meet in a bucket. In a first round every
-line is compared with the smallest of its bucket. Lines that are then still
-apart, in one bucket of at most PAIRWISE lines, are all compared with each other; in
-larger buckets one line of each component is compared with the smallest and with
-the one before it, again until nothing joins, so that no bucket ever gives the
-pairs of its lines. Pairs that differ in most of their signatures are set aside;
-the others are compared by the exact Jaccard similarity of their shingle sets. Components come from distributed union-find.
+Equal lines are counted first and are one line from there on, named by a 64-bit
+hash. Lines that share a band's key meet in a bucket. In a first round every line
+is compared with one other: the smallest of its buckets' smallest lines. Lines
+that are then still apart, in one bucket of at most PAIRWISE lines, are all
+compared with each other; in larger buckets all of them are compared with one
+line of the bucket's first component, and one line of each component with the one
+before it. Between components the last step is repeated until nothing joins, so
+that no large bucket ever gives the pairs of its lines. Every pair is compared by
+the exact Jaccard similarity of the shingle sets. Components come from
+distributed union-find; later rounds only link whole components.
 
 The first line of a component, by doc_id, text hash and line number, stays.
 
@@ -31,7 +33,6 @@ from sitewright.llm.components import components
 from sitewright.sources.files import staged
 
 SHINGLE, SIGNATURE, ROWS, PER_BIN = 9, 18, 3, 4
-AGREE = 10
 SIMILARITY = 0.8
 #: In a bucket of at most so many lines, all that are apart after the first round are compared.
 PAIRWISE = 32
@@ -46,13 +47,22 @@ def lines_of(docs: DataFrame, *more: Column) -> DataFrame:
     return each.withColumn("h", F.xxhash64("line"))
 
 
+def distinct_lines(lines: DataFrame) -> DataFrame:
+    """h, raw (the bytes), times, first_doc and no_doc (whether a place has no doc_id) of each distinct line."""
+    # Only numbers are aggregated, so the lines are hashed and not sorted.
+    counted = lines.groupBy("line").agg(
+        F.count(F.lit(1)).alias("times"), F.min("doc_id").alias("first_doc"), F.max(F.col("doc_id").isNull()).alias("no_doc")
+    )
+    return counted.select(F.xxhash64("line").alias("h"), F.encode("line", "UTF-8").alias("raw"), "times", "first_doc", "no_doc")
+
+
 def _n(raw: str) -> Column:
     return F.greatest(F.octet_length(raw) - SHINGLE + 1, F.lit(1))
 
 
-def signatures(lines: DataFrame) -> DataFrame:
+def signatures(distinct: DataFrame) -> DataFrame:
     """h, n (shingles) and the minima m0, m1, ... of each distinct line."""
-    raw = lines.select("h", F.encode("line", "UTF-8").alias("raw")).withColumn("n", _n("raw"))
+    raw = distinct.select("h", "raw", _n("raw").alias("n"))
     at = raw.select("h", "n", "raw", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("at"))
     hashed = at.select("h", "n", F.xxhash64(F.substring("raw", F.col("at"), F.lit(SHINGLE))).alias("v"))
     value = F.shiftrightunsigned("v", 33).cast("int")
@@ -84,92 +94,98 @@ def bucketed(signed: DataFrame) -> DataFrame:
     return keyed.join(buckets, "key")
 
 
-def shingle_set(raw: str) -> Column:
-    """The distinct shingles of a line's bytes, as hashes."""
+def shingles(raw: str) -> Column:
+    """The shingles of a line's bytes, as hashes."""
     at = F.sequence(F.lit(1), _n(raw))
-    return F.array_distinct(F.transform(at, lambda i: F.xxhash64(F.substring(F.col(raw), i, F.lit(SHINGLE)))))
+    return F.transform(at, lambda i: F.xxhash64(F.substring(F.col(raw), i, F.lit(SHINGLE))))
 
 
 def similar(pairs: DataFrame, texts: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """Those of the pairs (a, b) whose lines are similar; texts has h and raw, the line's bytes."""
+    """Those of the pairs (a, b and more) whose lines are similar; texts has h and raw, the line's bytes."""
     left = texts.select(F.col("h").alias("a"), F.col("raw").alias("raw_a"))
     right = texts.select(F.col("h").alias("b"), F.col("raw").alias("raw_b"))
     both = pairs.join(left, "a").join(right, "b")
-    # Bound in a lambda, the sets are made once for all that is done with them.
-    sets = F.array(F.struct(shingle_set("raw_a").alias("x"), shingle_set("raw_b").alias("y")))
-    shared = F.transform(
-        sets, lambda s: F.struct(F.size(F.array_intersect(s["x"], s["y"])).alias("n"), (F.size(s["x"]) + F.size(s["y"])).alias("sum"))
+    # Bound in a lambda, the shingles are made once for all that is done with them.
+    sets = F.array(F.struct(shingles("raw_a").alias("x"), shingles("raw_b").alias("y")))
+    holds = F.exists(
+        sets, lambda s: F.size(F.array_intersect(s["x"], s["y"])) >= similarity * F.size(F.array_union(s["x"], s["y"]))
     )
-    holds = F.exists(shared, lambda s: s["n"] >= similarity * (s["sum"] - s["n"]))
-    return both.where(holds).select("a", "b")
+    return both.where(holds).select(*pairs.columns)
+
 
+def _ordered(pairs: DataFrame) -> DataFrame:
+    """Distinct pairs of lines (a, b) of components (u, v)."""
+    sides = [f(x, y).alias(name) for x, y in (("a", "b"), ("u", "v")) for f, name in ((F.least, x), (F.greatest, y))]
+    return pairs.select(*sides).where("a <> b").distinct()
 
-def promising(pairs: DataFrame, signed: DataFrame) -> DataFrame:
-    """Pairs (a, b) with at least AGREE equal minima; at a similarity of 0.8, 99.6 % of all pairs have so many."""
-    minima = F.array(*[F.coalesce(F.col(f"m{j}"), F.lit(-1)) for j in range(SIGNATURE)])
-    left = signed.select(F.col("h").alias("a"), minima.alias("ma"))
-    right = signed.select(F.col("h").alias("b"), minima.alias("mb"))
-    equal = F.aggregate(F.zip_with("ma", "mb", lambda x, y: (x == y).cast("int")), F.lit(0), lambda t, x: t + x)
-    return pairs.join(left, "a").join(right, "b").where(equal >= AGREE).select("a", "b")
 
+def merged(roots: DataFrame, moved: DataFrame) -> DataFrame:
+    """The roots after components were linked; `moved` gives the new root of the old ones."""
+    moved = moved.select(F.col("node").alias("root"), F.col("root").alias("to"))
+    old = roots.join(moved, "root", "left").select("node", F.coalesce("to", "root").alias("root"))
+    alone = moved.join(roots.where("node = root").select("root"), "root", "left_anti")
+    return old.unionByName(alone.select(F.col("root").alias("node"), F.col("to").alias("root")))
 
-def _ordered(pairs: DataFrame) -> DataFrame:
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct()
-
-
-def line_components(lines: DataFrame, similarity: float = SIMILARITY, pairwise: int = PAIRWISE) -> DataFrame:
-    """node and root (hashes of lines) for every line that is similar to another."""
-    signed = staged(signatures(lines), "line-signatures")
-    members = staged(bucketed(signed), "line-buckets")
-    met = signed.join(members.select("h").distinct(), "h", "left_semi")
-    met = staged(met, "line-met")
-    wanted = members.select("h").distinct()
-    texts = lines.select("h", "line").join(wanted, "h", "left_semi").groupBy("h").agg(F.min("line").alias("line"))
-    texts = staged(texts.select("h", F.encode("line", "UTF-8").alias("raw")), "line-texts")
-
-    near = F.least("n", "low_n") >= similarity * F.greatest("n", "low_n")
-    sizes = members.where("h = low").select("key", F.col("n").alias("low_n"))
-    stars = members.join(sizes, "key").where(near).select(F.col("low").alias("a"), F.col("h").alias("b"))
-    links = staged(similar(promising(_ordered(stars), met), texts, similarity), "line-links")
-    roots = staged(components(links), "line-roots")
+
+def line_components(distinct: DataFrame, similarity: float = SIMILARITY, pairwise: int = PAIRWISE) -> DataFrame:
+    """node and root (hashes of lines) for every line that is similar to another; `distinct` is a table of distinct lines."""
+    members = staged(bucketed(staged(signatures(distinct), "line-signatures")), "line-buckets")
+    texts = staged(distinct.select("h", "raw").join(members.select("h").distinct(), "h", "left_semi"), "line-texts")
+    lowest = members.where("low < h").groupBy("h").agg(F.min("low").alias("a")).select("a", F.col("h").alias("b"))
+    roots = staged(components(similar(lowest, texts, similarity)), "line-roots")
     first = True
     while True:
-        own = members.join(roots, members["h"] == roots["node"], "left")
-        own = staged(own.select("key", "h", "n", "size", F.coalesce("root", "h").alias("root")), "line-members")
+        rooted = roots.select(F.col("node").alias("h"), "root")
+        own = members.join(rooted, "h", "left").select("key", "h", "n", "size", F.coalesce("root", "h").alias("root"))
+        own = staged(own, "line-members")
         apart = own.groupBy("key").agg(F.min("root").alias("low_root"), F.max("root").alias("high_root"))
-        apart = staged(apart.where("low_root < high_root").select("key", "low_root"), "line-apart")
-        own = own.join(apart, "key")
-        one = own.groupBy("key", "root", "low_root").agg(F.min("h").alias("h"), F.max("size").alias("size"))
-        one = one.where(F.col("size") > pairwise)
+        own = staged(own.join(apart.where("low_root < high_root").select("key", "low_root"), "key"), "line-apart")
+        large = own.where(F.col("size") > pairwise)
+        one = large.groupBy("key", "root", "low_root").agg(F.min("h").alias("h"))
         by_key = Window.partitionBy("key").orderBy("root")
-        before = one.select(F.lag("h").over(by_key).alias("a"), F.col("h").alias("b")).where("a IS NOT NULL")
-        lows = one.where("root = low_root").select("key", F.col("h").alias("a"))
-        pairs = before.unionByName(one.join(lows, "key").select("a", F.col("h").alias("b")))
+        before = one.select(
+            F.lag("h").over(by_key).alias("a"), F.col("h").alias("b"), F.lag("root").over(by_key).alias("u"), F.col("root").alias("v")
+        )
+        lows = one.where("root = low_root").select("key", F.col("h").alias("a"), F.col("root").alias("u"))
+        others = (large if first else one).where("root <> low_root").select("key", F.col("h").alias("b"), F.col("root").alias("v"))
+        pairs = before.where("a IS NOT NULL").unionByName(others.join(lows, "key").drop("key"))
         if first:
             few = own.where(F.col("size") <= pairwise)
-            left = few.select("key", F.col("h").alias("a"), F.col("n").alias("na"), F.col("root").alias("ra"))
-            right = few.select("key", F.col("h").alias("b"), F.col("n").alias("nb"), F.col("root").alias("rb"))
+            left = few.select("key", F.col("h").alias("a"), F.col("n").alias("na"), F.col("root").alias("u"))
+            right = few.select("key", F.col("h").alias("b"), F.col("n").alias("nb"), F.col("root").alias("v"))
             fits = F.least("na", "nb") >= similarity * F.greatest("na", "nb")
-            pairs = pairs.unionByName(left.join(right, "key").where("a < b AND ra <> rb").where(fits).select("a", "b"))
+            both = left.join(right, "key").where("a < b AND u <> v").where(fits)
+            pairs = pairs.unionByName(both.select("a", "b", "u", "v"))
             first = False
-        new = staged(similar(promising(_ordered(pairs), met), texts, similarity), "line-links")
+        new = staged(similar(_ordered(pairs), texts, similarity).select("u", "v").distinct(), "line-links")
         if new.isEmpty():
             return roots
-        links = links.unionByName(new)
-        roots = staged(components(links), "line-roots")
+        moved = components(new.select(F.col("u").alias("a"), F.col("v").alias("b")))
+        roots = staged(merged(roots, moved), "line-roots")
+        members = large.select("key", "h", "n", "size")
 
 
 def removed_lines(docs: DataFrame, similarity: float = SIMILARITY, pairwise: int = PAIRWISE) -> DataFrame:
     """doc_id, print and the numbers of the lines that go, for documents that lose lines."""
     lines = lines_of(docs.select("doc_id", "text"))
-    roots = line_components(lines, similarity, pairwise)
-    places = lines.select("h", "doc_id", "print", "line_no")
-    named = places.join(roots, places["h"] == roots["node"], "left")
-    named = staged(named.select("doc_id", "print", "line_no", F.coalesce("root", "h").alias("root")), "line-places")
-    place = F.struct("doc_id", "print", "line_no")
-    kept = named.groupBy("root").agg(F.min(place).alias("kept"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    kept = staged(kept.select("root", "kept"), "line-kept")
-    gone = named.join(kept, "root").where(place != F.col("kept"))
+    distinct = staged(distinct_lines(lines), "line-distinct")
+    roots = line_components(distinct, similarity, pairwise).select(F.col("node").alias("h"), "root")
+    counted = distinct.drop("raw").join(roots, "h", "left").withColumn("root", F.coalesce("root", "h"))
+    groups = counted.groupBy("root").agg(
+        F.sum("times").alias("times"), F.min("first_doc").alias("first_doc"), F.max("no_doc").alias("no_doc")
+    )
+    first_doc = F.when(~F.col("no_doc"), F.col("first_doc")).alias("first_doc")
+    groups = groups.where("times > 1").select("root", first_doc)
+    wanted = staged(counted.select("h", "root").join(groups, "root"), "line-wanted")
+    # Lines that occur once and are like no other are out from here on.
+    places = lines.select("h", "doc_id", "print", "line_no").join(wanted, "h")
+    places = staged(places.select("doc_id", "print", "line_no", "root", "first_doc"), "line-places")
+    in_first = F.col("doc_id").eqNullSafe(F.col("first_doc"))
+    place = F.struct("print", "line_no")
+    mine = places.where(in_first)
+    kept = mine.groupBy("root").agg(F.min(place).alias("kept"))
+    gone = places.where(~in_first).select("doc_id", "print", "line_no")
+    gone = gone.unionByName(mine.join(kept, "root").where(place != F.col("kept")).select("doc_id", "print", "line_no"))
     # Equal rows give equal places, which are one place.
     return gone.groupBy("doc_id", "print").agg(F.sort_array(F.collect_set("line_no")).alias("removed"))
 
