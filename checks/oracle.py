@@ -329,6 +329,7 @@ check("list_ingestions", "SELECT * FROM manifest", "manifest")
 check("latest_ingestion", "SELECT * FROM manifest ORDER BY ingestion_timestamp DESC LIMIT 1", "manifest")
 _dated = f"SELECT *, 2026 AS year, 1 AS month, {_LANDED} AS day FROM sites"
 check("read_bronze", _dated, "sites")
+check("read_ingestion", "SELECT *, CASE WHEN latitude IS NULL THEN 2 ELSE 1 END AS ingestion FROM sites", "sites")
 check("read_bronze_by_date", f"SELECT * FROM ({_dated}) WHERE day = 7", "sites")
 check("incremental_silver", "SELECT * FROM silver", "silver")
 check("silver_roundtrip", "SELECT * FROM silver", "silver")

@@ -97,6 +97,16 @@ def read_bronze(spark, sf_dir):
     return landing.read_landed(spark, landed(spark, sf_dir))
 
 
+@query
+def read_ingestion(spark, sf_dir):
+    """Two batches of one day, each read by its own path in the manifest."""
+    rows, base = sites(spark, sf_dir), fresh_path(spark, "landed")
+    has_point = F.col("latitude").isNotNull()
+    paths = [landing.ingest(rows.where(part), base, RUN_AT).first()["file_path"] for part in (has_point, ~has_point)]
+    read = [landing.read_batch(spark, path).withColumn("ingestion", F.lit(i)) for i, path in enumerate(paths, 1)]
+    return read[0].unionByName(read[1])
+
+
 @query
 def read_bronze_by_date(spark, sf_dir):
     return landing.read_landed_listings(spark, landed(spark, sf_dir), {"month": 1, "day": 7})

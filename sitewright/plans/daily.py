@@ -14,7 +14,6 @@ from sitewright.plans.curate import row_count, transform_listings
 from sitewright.plans.report import build_gold, read_all_gold
 from sitewright.schema import LOOKUP_LEVEL
 from sitewright.sources import history, landing
-from sitewright.sources.files import staged
 from sitewright.sources.tables import read_silver
 
 log = logging.getLogger(__name__)
@@ -72,10 +71,8 @@ def run_day(
     """Run every stage over one batch and append the run's record, which is returned.
 
     A stage only starts when the one before it has something to give it. The
-    batch is written aside first, so that its source is read once and all
-    stages see the same rows.
+    curated table is made from the landed files of this batch.
     """
-    batch = staged(batch, "batch")
     bronze_path, silver_path, gold_path = f"{base}/bronze", f"{base}/silver", f"{base}/gold"
     flat = {
         "execution_timestamp": run_at.isoformat(),
@@ -102,8 +99,9 @@ def run_day(
         volume_warning(spark, bronze_path)
         flat |= _suite(rules.validate_bronze(batch), "bronze")
         started = time.monotonic()
+        mine = landing.read_batch(spark, landed["file_path"])
         transform_listings(
-            spark, batch, silver_path, run_at, gazetteers, max_records, keep_level=gazetteers is not None
+            spark, mine, silver_path, run_at, gazetteers, max_records, keep_level=gazetteers is not None
         )
         silver = read_silver(spark, silver_path, extra=LOOKUP_LEVEL if gazetteers else None)
         flat |= {

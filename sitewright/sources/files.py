@@ -32,6 +32,17 @@ def size_of(spark: SparkSession, path: str) -> int:
     return fs.getContentSummary(hadoop_path).getLength() if fs.exists(hadoop_path) else 0
 
 
+def keep_only(spark: SparkSession, base: str, path: str) -> None:
+    """Delete everything under `base` but `path`, which is under it."""
+    fs, here = _fs(spark, path)
+    here, top = fs.makeQualified(here), fs.makeQualified(_fs(spark, base)[1])
+    while not here.equals(top):
+        for entry in fs.listStatus(here.getParent()):
+            if not entry.getPath().equals(here):
+                fs.delete(entry.getPath(), True)
+        here = here.getParent()
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors share: the session's checkpoint folder.
 

@@ -1,15 +1,19 @@
 """Landed batches: raw listings as JSON Lines under year=/month=/day=, and their manifest.
 
+An ingestion has a folder of its own in its day, named by its time and
+fingerprint, so that it can be read alone and a repeated one replaces itself.
 The manifest is kept outside the dataset's folder, next to it.
 """
 
+import logging
 from datetime import datetime
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sitewright.functions.text import digest32
-from sitewright.operators.clean import enforce_schema
 from sitewright.operators.runs import newest
 from sitewright.schema import (
     LANDING_PARTITIONS,
@@ -21,6 +25,10 @@ from sitewright.schema import (
 )
 from sitewright.sources import files
 
+log = logging.getLogger(__name__)
+
+AS_TEXT = ", ".join(f"`{name}` STRING" for name in LISTING_COLUMNS)
+
 
 def dated(df: DataFrame, at: datetime | Column) -> DataFrame:
     """Rows with the partition columns of their landing time."""
@@ -81,9 +89,8 @@ def read_landed_listings(
 
     Coordinates are read as text and then cast, so quoted ones are kept.
     """
-    as_text = ", ".join(f"`{name}` STRING" for name in LISTING_COLUMNS)
     parts = ", ".join(f"{name} INT" for name in LANDING_PARTITIONS)
-    raw = _reader(spark, base, arrays).schema(f"{as_text}, {parts}").json(f"{base}/year=*")
+    raw = _reader(spark, base, arrays).schema(f"{AS_TEXT}, {parts}").json(f"{base}/year=*")
     return _typed(on_date(raw, date))
 
 
@@ -96,10 +103,9 @@ def _typed(raw: DataFrame) -> DataFrame:
 
 
 def read_batch(spark: SparkSession, path: str, arrays: bool = False) -> DataFrame:
-    """The records of one ingestion only."""
-    return enforce_schema(
-        spark.read.option("multiLine", str(arrays).lower()).option("primitivesAsString", "true").json(path)
-    )
+    """The records of one ingestion only, by its path in the manifest, or of one file, under the declared schema."""
+    reader = spark.read.option("multiLine", str(arrays).lower())
+    return _typed(reader.schema(AS_TEXT).json(path))
 
 
 def union_batches(*batches: DataFrame) -> DataFrame:
@@ -133,8 +139,15 @@ def manifest_row(
     file_size_bytes: int = 0,
 ) -> DataFrame:
     """What is recorded about one batch. An empty batch is a warning, not a success."""
+    counted = df.agg(F.count(F.lit(1)).alias("total_records"))
+    return _manifest_of(counted, at, path, source, per_page, file_size_bytes)
+
+
+def _manifest_of(
+    counted: DataFrame, at: datetime, path: str, source: str, per_page: int, file_size_bytes: int, failed: bool = False
+) -> DataFrame:
     records = F.col("total_records")
-    return df.agg(F.count(F.lit(1)).alias("total_records")).select(
+    return counted.select(
         F.md5(F.lit(f"{at.isoformat()}{path}")).alias("ingestion_id"),
         F.lit(at.isoformat()).alias("ingestion_timestamp"),
         F.lit(source).alias("source"),
@@ -144,7 +157,7 @@ def manifest_row(
         F.struct(
             F.lit(at.year).alias("year"), F.lit(at.month).alias("month"), F.lit(at.day).alias("day")
         ).alias("partition_date"),
-        F.when(records > 0, "success").otherwise("warning").alias("status"),
+        F.lit("failed").alias("status") if failed else F.when(records > 0, "success").otherwise("warning").alias("status"),
         F.ceil(records / per_page).alias("pages_processed"),
     )
 
@@ -182,18 +195,31 @@ def ingest(
     clean_before_run: bool = False,
     per_page: int = PER_PAGE,
 ) -> DataFrame:
-    """Land a batch and record it; returns its manifest row.
+    """Land a batch and record it; returns its manifest row, whose file_path holds this batch only.
 
-    A batch without rows is not landed. `clean_before_run` drops what was
-    landed before, and its manifest.
+    A batch without rows is not landed. One that cannot be read or written is
+    recorded as failed, with no records and its day as path, and the error is
+    logged. `clean_before_run` drops what was landed before, once the batch is
+    written, and its manifest.
     """
     spark = df.sparkSession
-    day = f"{base.rstrip('/')}/year={at:%Y}/month={at:%m}/day={at:%d}"
-    if df.isEmpty():
-        return manifest_row(df, at, day, source, per_page)
-    before = 0 if clean_before_run else files.size_of(spark, day)
-    land_batch(df, base, at, clean_before_run)
-    row = manifest_row(df, at, day, source, per_page, files.size_of(spark, day) - before)
-    if save_metadata:
-        append_manifest(row, manifest_path(base), clean_before_run)
+    path = f"{base.rstrip('/')}/year={at:%Y}/month={at:%m}/day={at:%d}"
+    records = size = 0
+    failed = False
+    try:
+        counted = batch_fingerprint(df).first()
+        if counted["total_records"]:
+            batch = f"{path}/batch-{at:%H%M%S%f}-{counted['fingerprint']}"
+            df.write.mode("overwrite").option("ignoreNullFields", "false").json(batch)
+            path, records, size = batch, counted["total_records"], files.size_of(spark, batch)
+    except (PySparkException, Py4JJavaError) as problem:
+        log.error("batch of %s not landed: %s", at.isoformat(), problem)
+        failed = True
+    count = spark.range(1).select(F.lit(records).cast("long").alias("total_records"))
+    row = _manifest_of(count, at, path, source, per_page, size, failed)
+    landed = records > 0
+    if landed and clean_before_run:
+        files.keep_only(spark, base, path)
+    if save_metadata and (landed or failed):
+        append_manifest(row, manifest_path(base), clean_before_run and landed)
     return row

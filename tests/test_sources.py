@@ -57,6 +57,33 @@ def test_empty_batch_is_a_warning_and_lands_nothing(spark, listings, tmp_path):
     assert landing.latest_ingestion(landing.read_manifest(spark, landing.manifest_path(base))).collect() == []
 
 
+def test_one_ingestion_of_a_day_is_read_alone(spark, listings, tmp_path):
+    base = str(tmp_path / "bronze")
+    paths = [
+        one(landing.ingest(listings(*rows), base, RUN_AT))["file_path"]
+        for rows in ((COMPLETE, PADDED), (ENGLISH,), (ENGLISH,))
+    ]
+    # The same batch at the same time is a repeated run.
+    assert paths[0] != paths[1] == paths[2]
+    assert [landing.read_batch(spark, path).count() for path in paths] == [2, 1, 1]
+    assert landing.read_landed_listings(spark, base, {"day": 21}).count() == 3
+    stream = incremental_silver(spark, base, str(tmp_path / "silver"), str(tmp_path / "progress"), RUN_AT)
+    stream.awaitTermination()
+    assert spark.read.parquet(str(tmp_path / "silver")).count() == 3
+
+
+def test_failed_ingestion_is_recorded(spark, listings, tmp_path):
+    base = str(tmp_path / "bronze")
+    landing.ingest(listings(COMPLETE), base, RUN_AT)
+    broken = listings(ENGLISH).withColumn("name", F.raise_error(F.lit("lost")).cast("string"))
+    row = one(landing.ingest(broken, base, LATER, clean_before_run=True))
+    assert (row["status"], row["total_records"], row["file_size_bytes"]) == ("failed", 0, 0)
+    manifest = landing.read_manifest(spark, landing.manifest_path(base))
+    assert [r["status"] for r in landing.list_ingestions(manifest).collect()] == ["failed", "success"]
+    # What was there before stays.
+    assert landing.read_landed_listings(spark, base).count() == 1
+
+
 def test_array_files_and_quoted_coordinates(spark, tmp_path):
     day = tmp_path / "bronze" / "year=2026" / "month=01" / "day=21"
     day.mkdir(parents=True)
