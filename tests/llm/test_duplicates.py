@@ -11,7 +11,7 @@ import corpus_pipeline
 from sitewright.llm import op01_simhash, op04_lines, op08_passages
 from sitewright.llm.components import components
 
-from conftest import prose
+from llm.conftest import prose
 
 
 def union(n, pairs):

@@ -16,7 +16,7 @@ from tokenizers import Tokenizer
 from sitewright.llm import op02_topk, op03_quality_rules, op05_bpe, op06_quality_cnn, op07_secrets, op09_chat, op10_packing
 from sitewright.llm.queries import ORACLE, QUERIES
 
-from conftest import prose
+from llm.conftest import prose
 
 RANKS = P.path("byte_bpe_multi_50k.tiktoken")
 JSON = P.path("byte_bpe_50k.json")
