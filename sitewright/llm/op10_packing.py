@@ -11,7 +11,8 @@ that does not depend on the documents. Pieces take the planned slots by their
 rank within their length. That rank is the piece's number in its task plus what
 earlier tasks have, so that no task sees all pieces of a length.
 
-Defined results: a null or empty text is the end id alone; a null doc_id stays
+Defined results: the file's added tokens, such as <|endoftext|>, have their own
+ids wherever a text holds them; a null or empty text is the end id alone; a null doc_id stays
 null; repeated rows are packed each; no documents give no pieces; columns other
 than doc_id and text are ignored.
 """
@@ -19,6 +20,7 @@ than doc_id and text are ignored.
 import bisect
 import functools
 import json
+import re
 import zlib
 
 import numpy as np
@@ -47,6 +49,18 @@ def byte_of_letter() -> dict[str, int]:
     return letters | {chr(256 + n): b for n, b in enumerate(rest)}
 
 
+@functools.cache
+def added_tokens(path: str) -> tuple[re.Pattern, dict[str, int]]:
+    """What matches a file's added tokens, the longest first, and their ids."""
+    with open(path, encoding="utf-8") as file:
+        tokens = json.load(file)["added_tokens"]
+    if any(t[flag] for t in tokens for flag in ("single_word", "lstrip", "rstrip", "normalized")):
+        raise ValueError(f"the added tokens in {path} match more or less than their own text")
+    ids = {t["content"]: t["id"] for t in tokens}
+    whole = "|".join(map(re.escape, sorted(ids, key=len, reverse=True))) or r"(?!)"
+    return re.compile(f"({whole})"), ids
+
+
 @functools.cache
 def ranks_of(path: str) -> dict[bytes, int]:
     """Ranks of a byte-level BPE file of the tokenizers library, whose merges are in the order of its ids."""
@@ -73,7 +87,16 @@ def engines(path: str):
 
 
 def token_ids(path: str, text: str) -> np.ndarray:
-    """The ids of one text, strings of special tokens taken as text."""
+    """The ids of one text as the tokenizers library gives them: added tokens are found in it before all else."""
+    added, ids = added_tokens(path)
+    parts = added.split(text)
+    if len(parts) == 1:
+        return _plain_ids(path, text)
+    of = lambda i, part: np.array([ids[part]], dtype=np.uint32) if i % 2 else _plain_ids(path, part)
+    return np.concatenate([of(i, part) for i, part in enumerate(parts)])
+
+
+def _plain_ids(path: str, text: str) -> np.ndarray:
     quick, scan = engines(path)
     if len(text) > LONG_TEXT:
         return np.array(scan.encode_all([text])[0], dtype=np.uint32)

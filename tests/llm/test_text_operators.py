@@ -225,6 +225,17 @@ def test_packing(spark, odd):
     assert op10_packing.pack(odd.limit(0), JSON).collect() == []
 
 
+def test_added_tokens_inside_texts_have_the_library_s_ids(documents):
+    tokenizer = Tokenizer.from_file(JSON)
+    end = "<|endoftext|>"
+    texts = [f"a {end} b", end, end * 3, f"x{end}\n y  ", f"  {end}  ", "<|endoftext|", f"<{end}>", f"it{end}'s", "word " * 50_000 + end + " word" * 9]
+    ids = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert ids[0] == [64, 220, 50256, 275]
+    assert [op10_packing.token_ids(JSON, t).tolist() for t in texts] == ids
+    rows = op10_packing.pack(documents(*enumerate(texts)), JSON, size=100_000, with_ids=True).collect()
+    assert {r.doc_id: r.ids for r in rows} == {i: [*own, op10_packing.END_ID] for i, own in enumerate(ids)}
+
+
 def test_plan_is_best_fit_decreasing_over_single_pieces():
     rng = random.Random(9)
     for _ in range(30):
