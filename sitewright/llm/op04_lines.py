@@ -3,10 +3,10 @@
 Lines are trimmed; blank ones always stay. A line's shingles are the SHINGLE-byte
 windows of its UTF-8 bytes (the whole line, if it is shorter). One hash per
 shingle gives a signature of SIGNATURE minima, one per bin of hashes; an empty bin
-borrows from the next one. Only hashes so small that each bin expects PER_BIN
-of them are looked at, which leaves the minima as they are. ROWS minima are a
-band; two lines with a similarity of 0.8 share one of the bands with a
-probability of 98.6 %, with 0.9 of 99.96 %.
+borrows from the next one. All sizes are those of shingle sets, in which a
+repeated shingle counts once, so that lines with equal sets have equal signatures.
+ROWS minima are a band; two lines with a similarity of 0.8 share one of the bands
+with a probability of 98.6 %, with 0.9 of 99.96 %.
 
 Equal lines are counted first and are one line from there on, named by a 64-bit
 hash. Lines that share a band's key meet in a bucket. In a first round every line
@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from sitewright.llm.components import components
 from sitewright.sources.files import staged
 
-SHINGLE, SIGNATURE, ROWS, PER_BIN = 9, 18, 3, 4
+SHINGLE, SIGNATURE, ROWS = 9, 18, 3
 SIMILARITY = 0.8
 #: In a bucket of at most so many lines, all that are apart after the first round are compared.
 PAIRWISE = 32
@@ -56,22 +56,20 @@ def distinct_lines(lines: DataFrame) -> DataFrame:
     return counted.select(F.xxhash64("line").alias("h"), F.encode("line", "UTF-8").alias("raw"), "times", "first_doc", "no_doc")
 
 
-def _n(raw: str) -> Column:
-    return F.greatest(F.octet_length(raw) - SHINGLE + 1, F.lit(1))
+def shingles(raw: str) -> Column:
+    """The shingles of a line's bytes, as hashes, with repetitions."""
+    at = F.sequence(F.lit(1), F.greatest(F.octet_length(raw) - SHINGLE + 1, F.lit(1)))
+    return F.transform(at, lambda i: F.xxhash64(F.substring(F.col(raw), i, F.lit(SHINGLE))))
 
 
 def signatures(distinct: DataFrame) -> DataFrame:
-    """h, n (shingles) and the minima m0, m1, ... of each distinct line."""
-    raw = distinct.select("h", "raw", _n("raw").alias("n"))
-    at = raw.select("h", "n", "raw", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("at"))
-    hashed = at.select("h", "n", F.xxhash64(F.substring("raw", F.col("at"), F.lit(SHINGLE))).alias("v"))
+    """h, n (distinct shingles) and the minima m0, m1, ... of each distinct line."""
+    sets = distinct.select("h", F.array_distinct(shingles("raw")).alias("own"))
+    hashed = sets.select("h", F.size("own").alias("n"), F.explode("own").alias("v"))
     value = F.shiftrightunsigned("v", 33).cast("int")
     binned = hashed.select("h", "n", F.pmod("v", F.lit(SIGNATURE)).cast("int").alias("bin"), value.alias("m"))
-    small = binned.where(F.col("m").cast("long") * F.col("n") < PER_BIN * SIGNATURE * (1 << 31))
     minima = [F.min(F.when(F.col("bin") == j, F.col("m"))).alias(f"m{j}") for j in range(SIGNATURE)]
-    signed = small.groupBy("h", "n").agg(*minima)
-    # A line may have no hash that is small enough: it only equals itself.
-    return signed
+    return binned.groupBy("h", "n").agg(*minima)
 
 
 def bands(signed: DataFrame) -> DataFrame:
@@ -94,12 +92,6 @@ def bucketed(signed: DataFrame) -> DataFrame:
     return keyed.join(buckets, "key")
 
 
-def shingles(raw: str) -> Column:
-    """The shingles of a line's bytes, as hashes."""
-    at = F.sequence(F.lit(1), _n(raw))
-    return F.transform(at, lambda i: F.xxhash64(F.substring(F.col(raw), i, F.lit(SHINGLE))))
-
-
 def similar(pairs: DataFrame, texts: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """Those of the pairs (a, b and more) whose lines are similar; texts has h and raw, the line's bytes."""
     left = texts.select(F.col("h").alias("a"), F.col("raw").alias("raw_a"))

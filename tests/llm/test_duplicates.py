@@ -103,6 +103,16 @@ def test_lines(documents, pairwise):
     assert got == plain_removed(docs)
 
 
+def test_repetitive_lines(documents):
+    docs = []
+    for i in range(20):
+        phrase = " ".join(prose(900 + i, 60))[:39] + " "
+        docs += [(10 * i + k, phrase * times) for k, times in enumerate((50, 60, 120))]
+    docs += [(1000 + k, "-" * k + "=" * k) for k in (40, 60, 300, 900)]
+    got = {r.doc_id: r.removed for r in op04_lines.line_report(documents(*docs)).collect()}
+    assert got == plain_removed(docs) and sum(map(len, got.values())) >= 42
+
+
 def test_lines_of_odd_rows(odd):
     out = op04_lines.deduplicated(odd)
     assert out.columns == odd.columns and out.count() == odd.count()
