@@ -10,14 +10,16 @@ with a probability of 98.6 %, with 0.9 of 99.96 %.
 
 Equal lines are counted first and are one line from there on, named by a 64-bit
 hash. Lines that share a band's key meet in a bucket. In a first round every line
-is compared with one other: the smallest of its buckets' smallest lines. Lines
-that are then still apart, in one bucket of at most PAIRWISE lines, are all
-compared with each other; in larger buckets all of them are compared with one
-line of the bucket's first component, and one line of each component with the one
-before it. Between components the last step is repeated until nothing joins, so
-that no large bucket ever gives the pairs of its lines. Every pair is compared by
-the exact Jaccard similarity of the shingle sets. Components come from
-distributed union-find; later rounds only link whole components.
+is compared with one other: the smallest of its buckets' smallest lines. In a
+second round all lines that are still apart in a bucket are compared. In buckets
+of at most PAIRWISE lines these are all pairs of similar size. Lines of larger
+buckets are joined, over all of these, by their rarest shingles: of two lines
+with n and m shingles that are similar, k = 0.8 / 1.8 (n + m) at least are shared, so
+that the n - k + 1 rarest of the one and the m - k + 1 rarest of the other have one
+in common, which no pair that is similar can be without. Pairs of one component
+are never made, and shingles that many lines have are dealt over slots. Every
+pair is compared by the exact Jaccard similarity of the shingle sets. Components
+come from distributed union-find; the second round only links whole components.
 
 The first line of a component, by doc_id, text hash and line number, stays.
 
@@ -34,8 +36,10 @@ from sitewright.sources.files import staged
 
 SHINGLE, SIGNATURE, ROWS = 9, 18, 3
 SIMILARITY = 0.8
-#: In a bucket of at most so many lines, all that are apart after the first round are compared.
+#: Of a bucket of at most so many lines, all pairs are made; larger ones are joined by shingles.
 PAIRWISE = 32
+#: Lines with one rare shingle in one slot.
+HOT = 2048
 
 
 def lines_of(docs: DataFrame, *more: Column) -> DataFrame:
@@ -119,42 +123,77 @@ def merged(roots: DataFrame, moved: DataFrame) -> DataFrame:
     return old.unionByName(alone.select(F.col("root").alias("node"), F.col("to").alias("root")))
 
 
+def rarest(lines: DataFrame, texts: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """v (shingle), at (its place, rarest first), h, n, root and short of lines (h, n, root).
+
+    There are as many shingles of a line as one that is not longer may have to
+    share; `short` are those that one that is not shorter may have to share.
+    """
+    each = lines.join(texts, "h").select("h", "n", "root", F.explode(F.array_distinct(shingles("raw"))).alias("v"))
+    each = staged(each, "line-shingles")
+    ranked = each.join(each.groupBy("v").agg(F.count(F.lit(1)).alias("times")), "v")
+    place = F.row_number().over(Window.partitionBy("h").orderBy("times", "v")) - 1
+    ranked = ranked.select("v", "h", "n", "root", "times", place.alias("at"))
+    # A shingle of one line keeps its place, but finds nothing.
+    ranked = ranked.where(F.col("times") > 1).where(F.col("n") - F.col("at") >= similarity * F.col("n"))
+    return ranked.select("v", "at", "h", "n", "root", (F.col("n") - F.col("at") >= _shared("n", "n", similarity)).alias("short"))
+
+
+def _shared(n: str, m: str, similarity: float) -> Column:
+    """Shingles that similar lines of n and m shingles share at least; a little less, for the rounding."""
+    return (F.col(n) + F.col(m)) * (similarity / (1 + similarity)) - 1e-6
+
+
+def rare_pairs(lines: DataFrame, texts: DataFrame, similarity: float = SIMILARITY, hot: int = HOT) -> DataFrame:
+    """Pairs (a, b) of different components (u, v) among lines (h, n, root): all that are similar, and others."""
+    rows = staged(rarest(lines, texts, similarity), "line-rarest")
+    by_root = rows.groupBy("v", "root").agg(F.count(F.lit(1)).alias("times"))
+    known = by_root.groupBy("v").agg(
+        F.max(F.struct("times", "root")).alias("most"), F.sum("times").alias("times"), F.count(F.lit(1)).alias("roots")
+    )
+    known = known.where("roots > 1").select("v", F.col("most.root").alias("main"), F.ceil(F.col("times") / hot).cast("int").alias("slots"))
+    rows = staged(rows.join(known, "v").withColumn("in_main", F.col("root") == F.col("main")).drop("main"), "line-rarest")
+    left = rows.where("short").select(
+        "v", F.pmod(F.xxhash64("h"), F.col("slots")).cast("int").alias("slot"), F.col("at").alias("at_a"), F.col("h").alias("a"),
+        F.col("n").alias("na"), F.col("root").alias("ra"), F.col("in_main").alias("main_a"),
+    )
+    right = rows.select(
+        "v", F.explode(F.sequence(F.lit(0), F.col("slots") - 1)).alias("slot"), F.col("at").alias("at_b"), F.col("h").alias("b"),
+        F.col("n").alias("nb"), F.col("root").alias("rb"), F.col("in_main").alias("main_b"),
+    )
+    shared = _shared("na", "nb", similarity)
+    fits = (F.col("ra") != F.col("rb")) & (F.col("na") <= F.col("nb")) & (F.col("na") >= F.col("nb") * similarity - 1e-6)
+    fits = fits & (F.col("na") - F.col("at_a") >= shared) & (F.col("nb") - F.col("at_b") >= shared)
+    # Two lines of the component that has most of a shingle's lines never meet.
+    parts = [(left.where("main_a"), right.where("NOT main_b")), (left.where("NOT main_a"), right)]
+    first, second = (x.join(y, ["v", "slot"]).where(fits).select("a", "b", F.col("ra").alias("u"), F.col("rb").alias("v")) for x, y in parts)
+    return first.unionByName(second)
+
+
 def line_components(distinct: DataFrame, similarity: float = SIMILARITY, pairwise: int = PAIRWISE) -> DataFrame:
     """node and root (hashes of lines) for every line that is similar to another; `distinct` is a table of distinct lines."""
     members = staged(bucketed(staged(signatures(distinct), "line-signatures")), "line-buckets")
     texts = staged(distinct.select("h", "raw").join(members.select("h").distinct(), "h", "left_semi"), "line-texts")
     lowest = members.where("low < h").groupBy("h").agg(F.min("low").alias("a")).select("a", F.col("h").alias("b"))
     roots = staged(components(similar(lowest, texts, similarity)), "line-roots")
-    first = True
-    while True:
-        rooted = roots.select(F.col("node").alias("h"), "root")
-        own = members.join(rooted, "h", "left").select("key", "h", "n", "size", F.coalesce("root", "h").alias("root"))
-        own = staged(own, "line-members")
-        apart = own.groupBy("key").agg(F.min("root").alias("low_root"), F.max("root").alias("high_root"))
-        own = staged(own.join(apart.where("low_root < high_root").select("key", "low_root"), "key"), "line-apart")
-        large = own.where(F.col("size") > pairwise)
-        one = large.groupBy("key", "root", "low_root").agg(F.min("h").alias("h"))
-        by_key = Window.partitionBy("key").orderBy("root")
-        before = one.select(
-            F.lag("h").over(by_key).alias("a"), F.col("h").alias("b"), F.lag("root").over(by_key).alias("u"), F.col("root").alias("v")
-        )
-        lows = one.where("root = low_root").select("key", F.col("h").alias("a"), F.col("root").alias("u"))
-        others = (large if first else one).where("root <> low_root").select("key", F.col("h").alias("b"), F.col("root").alias("v"))
-        pairs = before.where("a IS NOT NULL").unionByName(others.join(lows, "key").drop("key"))
-        if first:
-            few = own.where(F.col("size") <= pairwise)
-            left = few.select("key", F.col("h").alias("a"), F.col("n").alias("na"), F.col("root").alias("u"))
-            right = few.select("key", F.col("h").alias("b"), F.col("n").alias("nb"), F.col("root").alias("v"))
-            fits = F.least("na", "nb") >= similarity * F.greatest("na", "nb")
-            both = left.join(right, "key").where("a < b AND u <> v").where(fits)
-            pairs = pairs.unionByName(both.select("a", "b", "u", "v"))
-            first = False
-        new = staged(similar(_ordered(pairs), texts, similarity).select("u", "v").distinct(), "line-links")
-        if new.isEmpty():
-            return roots
-        moved = components(new.select(F.col("u").alias("a"), F.col("v").alias("b")))
-        roots = staged(merged(roots, moved), "line-roots")
-        members = large.select("key", "h", "n", "size")
+    rooted = roots.select(F.col("node").alias("h"), "root")
+    own = members.join(rooted, "h", "left").select("key", "h", "n", "size", F.coalesce("root", "h").alias("root"))
+    own = staged(own, "line-members")
+    apart = own.groupBy("key").agg(F.min("root").alias("low_root"), F.max("root").alias("high_root"))
+    own = staged(own.join(apart.where("low_root < high_root").select("key"), "key"), "line-apart")
+    few = own.where(F.col("size") <= pairwise)
+    left = few.select("key", F.col("h").alias("a"), F.col("n").alias("na"), F.col("root").alias("u"))
+    right = few.select("key", F.col("h").alias("b"), F.col("n").alias("nb"), F.col("root").alias("v"))
+    fits = F.least("na", "nb") >= similarity * F.greatest("na", "nb")
+    pairs = left.join(right, "key").where("a < b AND u <> v").where(fits).select("a", "b", "u", "v")
+    large = own.where(F.col("size") > pairwise).select("h", "n", "root").distinct()
+    if not large.isEmpty():
+        pairs = pairs.unionByName(rare_pairs(large, texts, similarity))
+    new = staged(similar(_ordered(pairs), texts, similarity).select("u", "v").distinct(), "line-links")
+    if new.isEmpty():
+        return roots
+    moved = components(new.select(F.col("u").alias("a"), F.col("v").alias("b")))
+    return staged(merged(roots, moved), "line-roots")
 
 
 def removed_lines(docs: DataFrame, similarity: float = SIMILARITY, pairwise: int = PAIRWISE) -> DataFrame:

@@ -113,6 +113,35 @@ def test_repetitive_lines(documents):
     assert got == plain_removed(docs) and sum(map(len, got.values())) >= 42
 
 
+def test_templated_lines(documents):
+    """Many lines with a long common part that is not enough, few of which are similar."""
+    rng = random.Random(8)
+    letters = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(n)).strip().ljust(n, "z")
+    common = letters(200)
+    lines = [common + letters(30) for _ in range(150)]
+    lines += [line[:210] + letters(k) + line[210 + k :] for line in lines[:12] for k in (1, 9)]
+    rng.shuffle(lines)
+    docs = list(enumerate(lines))
+    want = plain_removed(docs)
+    assert 0 < sum(map(len, want.values())) <= 24
+    got = {r.doc_id: r.removed for r in op04_lines.line_report(documents(*docs)).collect()}
+    assert got == want
+
+
+@pytest.mark.parametrize("hot", [op04_lines.HOT, 3])
+def test_rare_shingles_find_all_similar_pairs(spark, hot):
+    rng = random.Random(hot)
+    bases = ["".join(rng.choice("abcd") for _ in range(rng.randint(60, 250))) for _ in range(12)]
+    lines = {b[:i] + rng.choice("xy") * rng.randint(0, 3) + b[i:] for b in bases for i in (rng.randint(0, len(b)) for _ in range(8))}
+    sets = {h: {x.encode()[i : i + 9] for i in range(max(1, len(x) - 8))} for h, x in enumerate(sorted(lines))}
+    texts = spark.createDataFrame([(h, x.encode()) for h, x in enumerate(sorted(lines))], "h long, raw binary")
+    rows = spark.createDataFrame([(h, len(own), h % 60) for h, own in sets.items()], "h long, n int, root long")
+    got = {(min(r.a, r.b), max(r.a, r.b)) for r in op04_lines.rare_pairs(rows, texts, hot=hot).collect()}
+    pairs = [(a, b) for a in sets for b in sets if a < b and a % 60 != b % 60]
+    want = {(a, b) for a, b in pairs if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])}
+    assert len(want) > 20 and want <= got
+
+
 def test_lines_of_odd_rows(odd):
     out = op04_lines.deduplicated(odd)
     assert out.columns == odd.columns and out.count() == odd.count()
