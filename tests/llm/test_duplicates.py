@@ -188,6 +188,19 @@ def test_passages(documents):
     assert op08_passages.repeated_passages(documents((1, None)).limit(0)).collect() == []
 
 
+def test_passages_that_repeat_each_other_are_a_class(documents):
+    one, two = prose(70, 90), prose(71, 90)
+    rows = [(i, " ".join([*prose(800 + i, 20 + i), *one, *prose(850 + i, 30)])) for i in range(1, 9)]
+    rows += [(i, " ".join([*prose(800 + i, 20 + i), *two, *prose(850 + i, 30)])) for i in range(11, 15)]
+    # Both passages, apart: two classes with the same smallest document.
+    rows.append((0, " ".join([*one, *prose(900, 120), *two])))
+    got = {}
+    for r in op08_passages.repeated_passages(documents(*rows)).collect():
+        got.setdefault((r.class_id, r.first_doc_id), []).append(r.doc_id)
+    assert sorted(sorted(ids) for ids in got.values()) == [[*range(9)], [0, *range(11, 15)]]
+    assert {first for _, first in got} == {0}
+
+
 def test_passages_of_odd_rows(odd):
     rows = op08_passages.repeated_passages(odd).collect()
     assert {r.doc_id for r in rows} == {4, 5, 6, None} and all(r.n_words >= 50 for r in rows)
