@@ -4,7 +4,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sitewright.llm import op01_simhash, op02_topk, op03_quality_rules, op04_lines, op05_bpe, op06_quality_cnn, op07_secrets, op08_passages, op09_chat, op10_packing
+from sitewright.llm import op01_simhash, op02_topk, op03_quality_rules, op04_lines, op05_bpe, op06_quality_cnn, op07_secrets, op08_passages, op09_chat, op10_packing, op11_url_filters, op13_conversations
+from sitewright.llm import op12_ranked_search as ranked_search
 from sitewright.llm.common import table
 
 QUERIES = {}
@@ -74,6 +75,22 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op10_packing.pack(table(spark, sf_dir, "documents"), path)
 
 
+@query
+def op11_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return op11_url_filters.judged(pages, op11_url_filters.RULES, op11_url_filters.page_outcomes(pages))
+
+
+@query
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op13_conversations.report(op13_conversations.damaged(table(spark, sf_dir, "conversations")))
+
+
 ORACLE = {
     "op2_vector_topk": """
         WITH v AS (
@@ -88,4 +105,7 @@ ORACLE = {
         ) WHERE rank <= 5
     """,
     "op3_quality_rules": op03_quality_rules.oracle(),
+    "op11_url_reputation": op11_url_filters.oracle(),
+    "op12_ranked_search": ranked_search.oracle(),
+    "op13_conversation_repair": op13_conversations.oracle(),
 }
