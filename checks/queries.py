@@ -42,15 +42,16 @@ def map_rows(spark, sf_dir):
     return select.map_rows(silver(spark, sf_dir))
 
 
-# Low enough that some keys count as hot in the given tables, and some do not.
-HOT = {"hot_rows": 8}
+# Low enough that some keys of the given tables need several slots, and some do not;
+# the given tables are small, and would be broadcast if nothing were said.
+SLOTS = {"slot_rows": 8, "few_bytes": 0}
 
 
-def lookup(spark, sf_dir, max_records=None):
+def lookup(spark, sf_dir, max_records=None, **planned):
     # Tables, as in a run: the lookup reads each more than once.
     rows = staged(cleaned(spark, sf_dir), "cleaned")
     points = [staged(table, "gazetteer") for table in standin.gazetteers(rows)]
-    return rows, locate.lookup_coordinates(rows, *points, max_records=max_records, **HOT)
+    return rows, locate.lookup_coordinates(rows, *points, max_records=max_records, **planned)
 
 
 # ---- sources and sinks ------------------------------------------------------
@@ -295,13 +296,13 @@ over(
 
 @query
 def lookup_coordinates(spark, sf_dir):
-    return lookup(spark, sf_dir)[1]
+    return lookup(spark, sf_dir, **SLOTS)[1]
 
 
 @query
 def apply_lookup(spark, sf_dir):
-    rows, found = lookup(spark, sf_dir)
-    filled = locate.apply_lookup(rows, found, keep_level=True)
+    rows, found = lookup(spark, sf_dir, **SLOTS)
+    filled = locate.apply_lookup(rows, staged(found, "found"), keep_level=True, **SLOTS)
     return filled.select(
         "id", "name", "latitude", "longitude", "has_coordinates", "is_complete", "geocoded_source"
     )
@@ -310,7 +311,7 @@ def apply_lookup(spark, sf_dir):
 @query
 def apply_lookup_capped(spark, sf_dir):
     rows, found = lookup(spark, sf_dir, max_records=100)
-    filled = locate.apply_lookup(rows, found, max_records=100, recompute_complete=True)
+    filled = locate.apply_lookup(rows, found, recompute_complete=True)
     return filled.select("id", "name", "latitude", "longitude", "has_coordinates", "is_complete")
 
 

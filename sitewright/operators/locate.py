@@ -8,17 +8,17 @@ from sitewright.functions.numbers import percent, rows_where
 from sitewright.functions.text import joined
 from sitewright.operators.clean import complete_flag
 from sitewright.operators.parts import (
-    HOT_ROWS,
+    BROADCAST_BYTES,
+    SLOT_ROWS,
     few_left_join,
     first_by,
-    first_rows,
     merge_parts,
-    split_left_join,
-    spread_left_join,
+    planned_left_join,
 )
+from sitewright.operators.positions import first_rows
 from sitewright.operators.select import missing_coordinates
 from sitewright.schema import country_boxes
-from sitewright.sources.files import staged
+from sitewright.sources.files import measured
 
 CHECKS = ["coords_in_range", "not_null_island", "coords_match_country"]
 
@@ -90,19 +90,12 @@ def city_key() -> Column:
 
 
 def lookup_capped(df: DataFrame, max_records: int | None = None) -> DataFrame:
-    """The rows to look up: those without a point, at most `max_records` in id order."""
-    rows = missing_coordinates(df)
-    if not max_records:
-        return rows
-    return first_rows(rows, max_records, "id", *[c for c in df.columns if c != "id"])
-
-
-# A cap of up to this many looked-up rows bounds them enough to broadcast.
-FEW_LOOKUPS = 100_000
-
+    """The rows to look up: those without a point, at most `max_records` in id order.
 
-def _few(max_records: int | None) -> bool:
-    return bool(max_records) and max_records <= FEW_LOOKUPS
+    A cap of any size is found by counting, so `df` should be a table.
+    """
+    rows = missing_coordinates(df)
+    return first_rows(rows, max_records, "id") if max_records else rows
 
 
 def lookup_coordinates(
@@ -110,20 +103,26 @@ def lookup_coordinates(
     by_address: DataFrame,
     by_city: DataFrame,
     max_records: int | None = None,
-    hot_rows: int = HOT_ROWS,
+    slot_rows: int = SLOT_ROWS,
+    few_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Looked-up points of the rows that have none: id, point, level that matched, row count.
 
-    Both gazetteers hold (key, latitude, longitude), unique by key. Rows that
-    are looked up alike are looked up once, with their number in `copies`.
-    Addresses and cities repeat, some very often, so both joins spread their
-    hot keys; a small cap broadcasts instead and only scans the gazetteers.
+    Both gazetteers hold (key, latitude, longitude); of a repeated key the
+    lowest point counts. Rows that are looked up alike are looked up once, with
+    their number in `copies`; what is to be looked up is written and measured.
+    Up to `few_bytes` of it are broadcast, and the gazetteers are only scanned.
+    More is joined with the gazetteers by slots planned from the keys' counts,
+    since addresses and cities repeat, some very often.
     """
     addressed = df.select(
         "id", "latitude", "longitude", address_key().alias("address_key"), city_key().alias("city_key")
     )
     wanted = lookup_capped(addressed, max_records)
-    found = wanted.groupBy("id", "address_key", "city_key").agg(F.count(F.lit(1)).alias("copies"))
+    found, size = measured(
+        wanted.groupBy("id", "address_key", "city_key").agg(F.count(F.lit(1)).alias("copies")), "wanted"
+    )
+    counted = found
     for table, level in ((by_address, "address"), (by_city, "city")):
         key = f"{level}_key"
         points_of = table.select(
@@ -131,10 +130,11 @@ def lookup_coordinates(
             F.col("latitude").alias(f"{level}_lat"),
             F.col("longitude").alias(f"{level}_lon"),
         ).dropna()
-        if _few(max_records):
+        points_of = first_by(points_of, [key], F.col(f"{level}_lat"), F.col(f"{level}_lon"))
+        if size <= few_bytes:
             found = few_left_join(found, points_of, key)
         else:
-            found = spread_left_join(found, points_of, key, hot_rows, keys_from=wanted)
+            found = planned_left_join(found, points_of, key, slot_rows, keys_from=counted)
     on_address, on_city = F.col("address_lat").isNotNull(), F.col("city_lat").isNotNull()
     return found.select(
         "id",
@@ -151,45 +151,45 @@ def one_hit_per_id(found: DataFrame) -> DataFrame:
     return first_by(hits, ["id"], F.col("found_level"), F.col("found_latitude"), F.col("found_longitude"))
 
 
-def _with_hits(df: DataFrame, hits: DataFrame, few: bool, hot_rows: int) -> DataFrame:
+def _with_hits(df: DataFrame, hits: DataFrame, slot_rows: int, few_bytes: int) -> DataFrame:
     """Rows with the hit of their id.
 
-    Hits come from rows without a point, so those are joined with all of them.
-    A row that has a point is only concerned if it shares its id with one that
-    has none. The ids alone tell which hits those are; they are written aside,
-    counted, and broadcast if few, so the bulk of the listings is not shuffled.
+    The hits are written and measured, and broadcast if they are few. Else only
+    what can be concerned meets them: hits come from rows without a point, so
+    those are joined with all of them; a row that has a point is concerned if
+    it shares its id with one that has none. The ids alone tell which hits
+    those are, and they are measured too, so the bulk of the listings stays.
     """
-    if few:
+    hits, size = measured(hits, "hits")
+    if size <= few_bytes:
         return df.join(F.broadcast(hits), "id", "left")
     without, having = missing_coordinates(df), df.where(points.present())
-    shared = staged(hits.join(having.select("id").distinct(), "id", "left_semi"), "shared")
-    if shared.count() <= FEW_LOOKUPS:
+    shared, size = measured(hits.join(having.select("id").distinct(), "id", "left_semi"), "shared")
+    if size <= few_bytes:
         concerned = having.join(F.broadcast(shared), "id", "left")
     else:
-        concerned = split_left_join(having, shared, "id", hot_rows)
-    return split_left_join(without, hits, "id", hot_rows).unionByName(concerned)
+        concerned = planned_left_join(having, shared, "id", slot_rows)
+    return planned_left_join(without, hits, "id", slot_rows).unionByName(concerned)
 
 
 def apply_lookup(
     df: DataFrame,
     found: DataFrame,
-    max_records: int | None = None,
     recompute_complete: bool = False,
     keep_level: bool = False,
-    hot_rows: int = HOT_ROWS,
+    slot_rows: int = SLOT_ROWS,
+    few_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Rows with the point found for their id, where there is one.
 
     `df` and `found` should be tables, since both are read more than once.
-    `max_records` is the cap the lookup ran with; a small one bounds the hits,
-    which are then broadcast and the listings stay where they are.
     has_coordinates follows the new point. is_complete keeps its earlier value
     unless asked for, which is what downstream numbers are based on.
     `keep_level` adds geocoded_source, the level that matched.
     """
     hit = F.col("found_level").isNotNull()
     updated = (
-        _with_hits(df, one_hit_per_id(found), _few(max_records), hot_rows)
+        _with_hits(df, one_hit_per_id(found), slot_rows, few_bytes)
         .withColumns(
             {
                 "latitude": F.when(hit, F.col("found_latitude")).otherwise(F.col("latitude")),

@@ -1,8 +1,10 @@
 """Building blocks that keep big groups off single tasks."""
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sitewright.sources.files import measured
+
 
 def merge_parts(keys: list[str], *parts: DataFrame) -> DataFrame:
     """One row per key out of parts that each hold some of its columns.
@@ -45,91 +47,58 @@ def first_by(df: DataFrame, keys: list[str], *order: Column) -> DataFrame:
     )
 
 
-# Tasks that merge the candidates for the first rows of a table.
-MERGE_TASKS = 256
+# Rows of one key that a shuffle's task takes; a key with more is dealt over several.
+SLOT_ROWS = 100_000
+# What has this size when written may be broadcast.
+BROADCAST_BYTES = 16 << 20
 
 
-def first_rows(df: DataFrame, n: int, *order: str) -> DataFrame:
-    """The n rows that sort first.
+def key_plan(
+    df: DataFrame, key: str, slot_rows: int = SLOT_ROWS, most_bytes: int = BROADCAST_BYTES
+) -> DataFrame | None:
+    """_hot and _slots: how many slots each key needs that has more than `slot_rows` rows; None if no key has.
 
-    A plain sort with a limit sends n candidates of every task to one task. Here
-    groups of tasks are merged first, so that one sees n per group only. Which
-    tasks form a group does not matter to the result.
+    Every key is counted, and combined before the shuffle. The table is written
+    and measured; a slot takes twice the rows as long as it is over `most_bytes`.
     """
-    grouped = df.withColumn("_group", F.spark_partition_id() % MERGE_TASKS)
-    place = F.row_number().over(Window.partitionBy("_group").orderBy(*order))
-    candidates = grouped.withColumn("_place", place).where(F.col("_place") <= n)
-    return candidates.drop("_group", "_place").orderBy(*order).limit(n)
-
-
-# A key with this many rows is hot, if it is among so many most frequent ones.
-HOT_ROWS = 100_000
-HOT_KEYS = 2_000
+    counts = df.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("_hot")).agg(F.count(F.lit(1)).alias("_n"))
+    hot, size = measured(counts.where(F.col("_n") > slot_rows), "key-plan")
+    while size > most_bytes and not hot.isEmpty():
+        slot_rows *= 2
+        hot, size = measured(hot.where(F.col("_n") > slot_rows), "key-plan")
+    slots = F.ceil(F.col("_n") / slot_rows).cast("long").alias("_slots")
+    return None if hot.isEmpty() else hot.select("_hot", slots)
 
 
-def frequent(df: DataFrame, key: str, rows: int = HOT_ROWS, most: int = HOT_KEYS) -> DataFrame:
-    """The most frequent keys: never more than `most`, each with at least `rows` rows.
-
-    The count combines before its shuffle, and only keys over the limit get
-    past it, so the result is bounded whatever the table's size. Any key with
-    more than one row in `most` is in it.
-    """
-    counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    top = counts.where(F.col("_n") >= rows).orderBy(F.desc("_n"), key).limit(most)
-    return top.select(key)
-
-
-def split_left_join(
-    left: DataFrame, right: DataFrame, key: str, hot_rows: int = HOT_ROWS
-) -> DataFrame:
-    """Left equi-join on `key` in which no key can fill a task, even with equal rows.
-
-    `right` must be unique on `key`. Hot keys meet their right rows, one each
-    and at most HOT_KEYS in all, by broadcast and are not shuffled; rows
-    without a key are not joined; all others join by shuffle. The three cases
-    split the rows, so the result is the plain left join. Each case reads
-    `left`, so it should be a table; without hot keys there is only one to read.
-    """
-    hot = [row[0] for row in frequent(left, key, hot_rows).collect()]
-    is_hot = F.col(key).isin(hot)
-    present = F.col(key).isNotNull()
-    result = left.where(present & ~is_hot if hot else present).join(right, key, "left")
-    result = result.unionByName(left.where(F.col(key).isNull()), allowMissingColumns=True)
-    if hot:
-        few = F.broadcast(right.where(is_hot))
-        result = result.unionByName(left.where(is_hot).join(few, key, "left"))
-    return result
-
-
-def spread_left_join(
+def planned_left_join(
     left: DataFrame,
     right: DataFrame,
     key: str,
-    hot_rows: int = HOT_ROWS,
-    spread: int = 64,
+    slot_rows: int = SLOT_ROWS,
+    most_bytes: int = BROADCAST_BYTES,
     keys_from: DataFrame | None = None,
 ) -> DataFrame:
-    """Left equi-join on `key` in which no key can fill a task, for a `left` without equal rows.
+    """Left equi-join on `key` in which no key can fill a task, whatever the number of such keys.
 
-    `right` must be unique on `key`. The right row of a hot key is copied into
-    `spread` slots and its left rows are dealt over them by their own hash;
-    rows without a key are dealt likewise. All others stay in one slot, so the
-    result is the plain left join. At most HOT_KEYS right rows are copied.
-    `keys_from` is a cheaper table than `left` to count its keys in.
+    `right` must be unique on `key`, and `left` a table, as it is read for its
+    keys and its rows. The keys are counted first. Rows of a key with many are
+    dealt over as many slots as their number asks for, and its right row is
+    copied into each. Rows without a key meet nothing, so they are not
+    shuffled. `keys_from` is a cheaper table than `left` to count its keys in.
     """
-    counted = left if keys_from is None else keys_from
-    hot = F.broadcast(frequent(counted, key, hot_rows).select(F.col(key).alias("_hot")))
-    matches = F.col(key) == F.col("_hot")
-    is_hot = F.col("_hot").isNotNull()
-    dealt = F.pmod(F.xxhash64(*left.columns), F.lit(spread)).cast("int")
-    left_slot = F.when(is_hot | F.col(key).isNull(), dealt).otherwise(0)
-    all_slots = F.sequence(F.lit(0), F.lit(spread - 1))
-    right_slots = F.when(is_hot, all_slots).otherwise(F.array(F.lit(0)))
-    slotted_left = left.join(hot, matches, "left").select(*left.columns, left_slot.alias("_slot"))
-    slotted_right = right.join(hot, matches, "left").select(
-        *right.columns, F.explode(right_slots).alias("_slot")
-    )
-    return slotted_left.join(slotted_right, [key, "_slot"], "left").drop("_slot")
+    plan = key_plan(left if keys_from is None else keys_from, key, slot_rows, most_bytes)
+    present, absent = left.where(F.col(key).isNotNull()), left.where(F.col(key).isNull())
+    if plan is None:
+        joined = present.join(right, key, "left")
+    else:
+        hot, is_hot = F.broadcast(plan), F.col(key) == F.col("_hot")
+        # A row's number, and not its content, so that equal rows are dealt too.
+        dealt = F.pmod(F.monotonically_increasing_id(), F.coalesce("_slots", F.lit(1)))
+        all_slots = F.sequence(F.lit(0).cast("long"), F.coalesce("_slots", F.lit(1)) - 1)
+        slotted = present.join(hot, is_hot, "left").select(*left.columns, dealt.alias("_slot"))
+        copied = right.join(hot, is_hot, "left").select(*right.columns, F.explode(all_slots).alias("_slot"))
+        joined = slotted.join(copied, [key, "_slot"], "left").drop("_slot")
+    return joined.unionByName(absent, allowMissingColumns=True)
 
 
 def few_left_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame:

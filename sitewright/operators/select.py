@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sitewright.functions import points
+from sitewright.operators.positions import PageIndex, page_index
 from sitewright.schema import PER_PAGE
 
 ALL = "All"
@@ -60,18 +61,19 @@ def lookup_by_id(df: DataFrame, site_id: str) -> DataFrame:
     return df.where(F.col("id") == site_id)
 
 
-def page_slice(df: DataFrame, page: int = 1, per_page: int = PER_PAGE) -> DataFrame:
+def page_slice(df: DataFrame, page: int = 1, per_page: int = PER_PAGE, index: PageIndex | None = None) -> DataFrame:
     """Page `page`, counted from 1, of the rows in id order.
 
-    All columns break ties, so the pages put together are the table.
+    All columns break ties, so the pages put together are the table. For
+    several pages of one table make its index once, by page_index(df).
     """
-    order = ["id", *[c for c in df.columns if c != "id"]]
-    return df.orderBy(*order).offset((page - 1) * per_page).limit(per_page)
+    return (index or page_index(df)).page(page, per_page)
 
 
-def first_pages(df: DataFrame, max_pages: int | None = None, per_page: int = PER_PAGE) -> DataFrame:
+def first_pages(
+    df: DataFrame, max_pages: int | None = None, per_page: int = PER_PAGE, index: PageIndex | None = None
+) -> DataFrame:
     """The rows of the first pages; all rows when there is no cap."""
     if not max_pages:
         return df
-    order = ["id", *[c for c in df.columns if c != "id"]]
-    return df.orderBy(*order).limit(max_pages * per_page)
+    return (index or page_index(df)).head(max_pages * per_page)

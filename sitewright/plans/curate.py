@@ -29,7 +29,7 @@ def located(
 ) -> tuple[DataFrame, DataFrame]:
     """Cleaned listings with looked-up points, checked, and the lookup's own result."""
     found = lookup_coordinates(cleaned, *gazetteers, max_records=max_records)
-    filled = apply_lookup(cleaned, found, max_records=max_records, keep_level=keep_level)
+    filled = apply_lookup(cleaned, found, keep_level=keep_level)
     return coordinates_valid(filled), found
 
 
@@ -55,7 +55,7 @@ def transform_listings(
     else:
         cleaned = staged(add_processing_metadata(clean_sites(enforce_schema(raw)), run_at), "cleaned")
         found = staged(lookup_coordinates(cleaned, *gazetteers, max_records=max_records), "found")
-        filled = apply_lookup(cleaned, found, max_records=max_records, keep_level=keep_level)
+        filled = apply_lookup(cleaned, found, keep_level=keep_level)
         write_silver(coordinates_valid(filled), silver_path, partition_by)
         coverage = lookup_coverage(cleaned, read_silver(spark, silver_path), found)
     return silver_quality_metrics(read_silver(spark, silver_path)), coverage

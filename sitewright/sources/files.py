@@ -65,6 +65,13 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/sitewright-{label}-{uuid.uuid4().hex}"
 
 
+def measured(df: DataFrame, label: str) -> tuple[DataFrame, int]:
+    """The rows by way of a written table in the shared folder, and its size in bytes."""
+    path = fresh_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), size_of(df.sparkSession, path)
+
+
 def staged(df: DataFrame, label: str) -> DataFrame:
     """The rows by way of a written table in the shared folder.
 

@@ -107,7 +107,7 @@ def test_lookup_levels(spark, listings):
 
 
 def test_lookup_is_the_same_when_keys_are_hot(spark, listings):
-    _, found = look_up(spark, listings, [*MISSING, HAS], hot_rows=1)
+    _, found = look_up(spark, listings, [*MISSING, HAS], slot_rows=1, few_bytes=0)
     got = {i: (r["found_level"], r["found_latitude"]) for i, r in by(found, "id").items()}
     assert got == EXPECTED
 
@@ -146,19 +146,18 @@ def test_repeated_ids_do_not_multiply(spark, listings):
     twice = [MISSING[0], MISSING[0], {**MISSING[1], "id": "address"}, {**HAS, "id": "address"}]
     df, found = look_up(spark, listings, twice)
     assert {(r["found_level"], r["copies"]) for r in found.collect()} == {("address", 2), ("city", 1)}
-    for kwargs in ({}, {"hot_rows": 1}, {"max_records": 10}):
+    for kwargs in ({}, {"slot_rows": 1}, {"few_bytes": 0, "slot_rows": 1}):
         after = locate.apply_lookup(df, found, **kwargs).collect()
         # One hit per id, the address match, for every row of that id.
         assert [r["latitude"] for r in after] == [45.0] * 4, kwargs
 
 
-def test_many_shared_ids_join_another_way(spark, listings, monkeypatch):
+def test_many_shared_ids_join_another_way(spark, listings):
     twice = [MISSING[0], {**MISSING[1], "id": "address"}, {**HAS, "id": "address"}, HAS, MISSING[4]]
     df, found = look_up(spark, listings, twice)
-    for most in (0, 100):
-        monkeypatch.setattr(locate, "FEW_LOOKUPS", most)
-        for hot_rows in (1, 1000):
-            after = locate.apply_lookup(df, found, hot_rows=hot_rows).collect()
+    for few_bytes in (0, 1 << 20):
+        for slot_rows in (1, 1000):
+            after = locate.apply_lookup(df, found, slot_rows=slot_rows, few_bytes=few_bytes).collect()
             got = sorted((r["id"], r["latitude"]) for r in after if r["latitude"])
             assert got == [("address", 45.0)] * 3 + [("has", 1.5)] and len(after) == 5
 

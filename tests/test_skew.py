@@ -6,16 +6,7 @@ from conftest import RUN_AT, by, one
 from pyspark.sql import functions as F
 
 from sitewright.operators import gold, locate, rules
-from sitewright.operators.parts import (
-    distinct_counts,
-    few_left_join,
-    first_by,
-    first_rows,
-    frequent,
-    merge_parts,
-    split_left_join,
-    spread_left_join,
-)
+from sitewright.operators.parts import distinct_counts, few_left_join, first_by, key_plan, merge_parts, planned_left_join
 
 
 def skewed(spark):
@@ -39,32 +30,56 @@ def rows(df):
 def test_all_joins_agree_with_the_plain_one(spark):
     left, right = skewed(spark), dictionary(spark)
     want = rows(left.join(right, "k", "left"))
-    for hot_rows in (1, 500, 10**6):
-        assert rows(split_left_join(left, right, "k", hot_rows)) == want
+    for slot_rows in (1, 20, 500, 10**6):
+        assert rows(planned_left_join(left, right, "k", slot_rows)) == want
+    assert rows(planned_left_join(left, right, "k", 20, keys_from=left.distinct())) == want
     assert rows(few_left_join(left, right, "k")) == want
-    unequal = left.distinct()
-    want = rows(unequal.join(right, "k", "left"))
-    for hot_rows in (1, 100, 10**6):
-        for spread in (1, 16):
-            assert rows(spread_left_join(unequal, right, "k", hot_rows, spread)) == want
-    assert rows(spread_left_join(unequal, right, "k", 100, keys_from=left)) == want
 
 
-def test_frequent_keys_are_bounded(spark):
-    assert [r["k"] for r in frequent(skewed(spark), "k", 500).collect()] == ["hot"]
-    assert frequent(skewed(spark), "k", 1, most=5).count() == 5
-    assert frequent(skewed(spark), "k", 10**6).count() == 0
+def test_slots_follow_the_counts(spark):
+    plan = by(key_plan(skewed(spark), "k", 20), "_hot")
+    counts = {r["k"]: r["count"] for r in skewed(spark).where("k IS NOT NULL").groupBy("k").count().collect()}
+    assert {k: r["_slots"] for k, r in plan.items()} == {k: -(-n // 20) for k, n in counts.items() if n > 20}
+    assert key_plan(skewed(spark), "k", 10**6) is None
+    # A plan over its size gets wider slots, down to none at all.
+    assert key_plan(skewed(spark), "k", 1, most_bytes=0) is None
 
 
-def test_a_hot_key_is_spread_over_slots(spark):
-    left = spark.range(10_000).select("id", F.lit("hot").alias("k"))
-    joined = spread_left_join(left, dictionary(spark), "k", hot_rows=100, spread=16)
-    plan = joined._jdf.queryExecution().analyzed().toString()
-    assert "_slot" in plan and joined.where("v = -1").count() == 10_000
-    # The slots of one key differ, so the shuffle does not send them to one task.
-    slots = left.select(F.pmod(F.xxhash64("id", "k"), F.lit(16)).alias("s")).groupBy("s").count()
-    sizes = [r["count"] for r in slots.collect()]
-    assert len(sizes) == 16 and max(sizes) < 10_000 / 8
+def test_five_thousand_hot_keys_and_half_the_rows_without_one(spark):
+    key = F.when(F.col("id") % 2 == 0, None).otherwise((F.col("id") % 10_000).cast("string"))
+    left = spark.range(80_000).select(key.alias("k"), F.lit(1).alias("n"))
+    right = spark.range(0, 10_000, 3).select(F.col("id").cast("string").alias("k"), F.col("id").alias("v"))
+    assert key_plan(left, "k", 2).count() == 5_000
+    joined = planned_left_join(left, right, "k", 2)
+    want = left.join(right, "k", "left")
+    assert joined.groupBy("k", "v").count().exceptAll(want.groupBy("k", "v").count()).isEmpty()
+    assert joined.count() == 80_000
+    # Rows without a key are beside the join: the sides of the union differ in that filter.
+    plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    assert "isnull(k" in plan and "isnotnull(k" in plan
+
+
+def test_equal_rows_of_a_hot_key_are_dealt_evenly(spark):
+    left = spark.range(10_000).select(F.lit("hot").alias("k"), F.lit(1).alias("n"))
+    slots = planned_left_join(left, dictionary(spark), "k", 100)
+    assert slots.where("v = -1").count() == 10_000
+    dealt = left.select(F.pmod(F.monotonically_increasing_id(), F.lit(100)).alias("s")).groupBy("s").count()
+    sizes = [r["count"] for r in dealt.collect()]
+    assert len(sizes) == 100 and max(sizes) <= 2 * min(sizes)
+
+
+def test_a_repeated_gazetteer_key_adds_no_rows(spark, listings):
+    from sitewright.operators.clean import clean_sites
+
+    row = {"id": "1", "street": "1 Road", "city": "Town", "state": "S", "country": "France"}
+    df = clean_sites(listings(row, row, {**row, "id": "2", "street": "2 Road"}))
+    schema = "key string, latitude double, longitude double"
+    address = spark.createDataFrame([("1 Road, Town, S, France", 5.0, 1.0), ("1 Road, Town, S, France", 4.0, 9.0)], schema)
+    city = spark.createDataFrame([("Town, France", 7.0, 1.0)] * 3, schema)
+    for few_bytes in (0, 1 << 20):
+        found = locate.lookup_coordinates(df, address, city, slot_rows=1, few_bytes=few_bytes)
+        got = {i: (r["found_latitude"], r["copies"]) for i, r in by(found, "id").items()}
+        assert got == {"1": (4.0, 2), "2": (7.0, 1)}
 
 
 def test_first_by_combines_before_the_shuffle(spark):
@@ -75,16 +90,6 @@ def test_first_by_combines_before_the_shuffle(spark):
     assert "partial_min" in plan and "Window" not in plan
 
 
-def test_first_rows_are_merged_in_groups(spark):
-    df = spark.range(0, 5000, 1, 16).select((F.col("id") * 7919 % 5000).alias("a"), F.col("id").alias("b"))
-    for n in (1, 100, 6000):
-        want = [tuple(r) for r in df.orderBy("a", "b").limit(n).collect()]
-        assert [tuple(r) for r in first_rows(df, n, "a", "b").collect()] == want
-    plan = first_rows(df, 100, "a", "b")._jdf.queryExecution().executedPlan().toString()
-    # Each task passes on no more than n rows, and neither does a group.
-    assert plan.count("WindowGroupLimit") == 2 and "Partial" in plan and "TakeOrderedAndProject" in plan
-
-
 def test_merge_is_null_safe(spark):
     a = spark.createDataFrame([(None, 1), ("x", 2)], "k string, a int")
     b = spark.createDataFrame([(None, 3), ("y", 4)], "k string, b int")
