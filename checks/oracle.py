@@ -332,6 +332,7 @@ check("read_bronze", _dated, "sites")
 check("read_ingestion", "SELECT *, CASE WHEN latitude IS NULL THEN 2 ELSE 1 END AS ingestion FROM sites", "sites")
 check("read_bronze_by_date", f"SELECT * FROM ({_dated}) WHERE day = 7", "sites")
 check("incremental_silver", "SELECT * FROM silver", "silver")
+check("incremental_retry", "SELECT * FROM silver", "silver")
 check("silver_roundtrip", "SELECT * FROM silver", "silver")
 check(
     "read_silver_filtered",
@@ -656,6 +657,8 @@ for _name, _table in {
     "gold_summary": "brewery_summary_statistics",
 }.items():
     check(_name, f"SELECT * FROM {_table}", _table)
+for _name in ("gold_by_state", "gold_summary"):
+    ORACLE[f"incremental_{_name}"] = ORACLE[_name]
 check(
     "gold_build_report",
     " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS record_count FROM {t}" for t in GOLD_SCHEMAS),

@@ -15,7 +15,7 @@ from sitewright.plans.report import build_gold, read_all_gold
 from sitewright.schema import GOLD_SCHEMAS
 from sitewright.sources import landing, tables
 from sitewright.sources.files import fresh_path, staged
-from sitewright.streaming.incremental import incremental_silver
+from sitewright.streaming.incremental import incremental_gold, incremental_silver, read_incremental
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -117,12 +117,40 @@ def streamed(spark, sf_dir):
     base, out = landed(spark, sf_dir), fresh_path(spark, "silver")
     stream = incremental_silver(spark, base, out, fresh_path(spark, "progress"), RUN_AT)
     stream.awaitTermination()
-    return spark.read.parquet(out)
+    return read_incremental(spark, out)
 
 
 QUERIES["incremental_silver"] = streamed
 
 
+def three_batches(spark, sf_dir):
+    """Three batches taken one after the other; the second is landed twice, the second time in new files."""
+    rows = sites(spark, sf_dir)
+    base, out, progress = (fresh_path(spark, name) for name in ("landed", "silver", "progress"))
+    for third in (0, 1, 1, 2):
+        batch = rows.where(F.col("id").cast("long") % 3 == third)
+        path = landing.ingest(batch, base, RUN_AT).first()["file_path"]
+        if third == 1:
+            batch.write.mode("overwrite").json(path)
+        incremental_silver(spark, base, out, progress, RUN_AT).awaitTermination()
+    return out
+
+
+@query
+def incremental_retry(spark, sf_dir):
+    return read_incremental(spark, three_batches(spark, sf_dir))
+
+
+@query
+def incremental_gold_by_state(spark, sf_dir):
+    return incremental_gold(spark, three_batches(spark, sf_dir), RUN_AT)["breweries_by_state"]
+
+
+@query
+def incremental_gold_summary(spark, sf_dir):
+    return incremental_gold(spark, three_batches(spark, sf_dir), RUN_AT)["brewery_summary_statistics"]
+
+
 @query
 def silver_roundtrip(spark, sf_dir):
     path = tables.write_silver(silver(spark, sf_dir), fresh_path(spark, "silver"))

@@ -1,21 +1,24 @@
 """Cleaning: raw listings to the curated shape."""
 
+from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sitewright.functions import points
 from sitewright.functions.text import canonical_country, joined, place_key, slug, tidy
-from sitewright.operators.parts import first_by
+from sitewright.operators.parts import BROADCAST_BYTES
 from sitewright.schema import LISTING_SCHEMA
+from sitewright.sources.files import measured
 
 
-def enforce_schema(df: DataFrame) -> DataFrame:
-    """Exactly the declared columns and types; text that is no number becomes null."""
+def enforce_schema(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Exactly the declared columns and types, and those to keep; text that is no number becomes null."""
     have = set(df.columns)
     return df.select(
+        *keep,
         *[
             (
                 F.col(field.name).try_cast(field.dataType)
@@ -109,7 +112,22 @@ def add_processing_metadata(df: DataFrame, run_at: datetime) -> DataFrame:
 def dedup_by_id(df: DataFrame, *prefer: Column) -> DataFrame:
     """One row per id: the one that `prefer` sorts first, then the lowest in column order.
 
-    Rows without an id are not each other's duplicates: all of them stay.
+    Rows without an id are not each other's duplicates: all of them stay. `df`
+    should be a table, as it is read twice: hashes of ids are counted first, and
+    only rows whose hash repeats are ranked. All others pass through, unsorted
+    and, if the repeated hashes are few bytes, unshuffled. Ranking passes on the
+    first row of an id from every task, so an id with many rows fills none.
     """
-    known = first_by(df.where(F.col("id").isNotNull()), ["id"], *prefer)
-    return known.unionByName(df.where(F.col("id").isNull()))
+    known = df.where(F.col("id").isNotNull())
+    hashed = F.xxhash64("id").alias("_h")
+    counts = known.groupBy(hashed).agg(F.count(F.lit(1)).alias("_n"))
+    repeated, size = measured(counts.where("_n > 1").select("_h"), "repeated-ids")
+    side = F.broadcast(repeated) if size <= BROADCAST_BYTES else repeated
+    rows = df.select("*", F.coalesce(hashed, F.lit(0)).alias("_h"), F.col("id").isNotNull().alias("_known"))
+    again = rows.where("_known").join(side, "_h", "left_semi")
+    rest = [F.col(c).asc_nulls_first() for c in df.columns if c != "id"]
+    order = Window.partitionBy("id").orderBy(*prefer, *rest)
+    first = again.withColumn("_place", F.row_number().over(order)).where("_place = 1")
+    # Two ids may share a hash; then both are ranked, each by itself.
+    alone = rows.where("_known").join(side, "_h", "left_anti").unionByName(rows.where("NOT _known"))
+    return first.select(*df.columns).unionByName(alone.select(*df.columns))

@@ -1,5 +1,6 @@
 """Raw listings to the curated table."""
 
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,9 +17,9 @@ from sitewright.operators.metrics import silver_quality_metrics
 from sitewright.sources.files import staged
 from sitewright.sources.tables import read_silver, write_silver
 
-def curated(raw: DataFrame, run_at: datetime) -> DataFrame:
-    """Cleaned, stamped and checked listings, without a lookup."""
-    return coordinates_valid(add_processing_metadata(clean_sites(enforce_schema(raw)), run_at))
+def curated(raw: DataFrame, run_at: datetime, keep: Sequence[str] = ()) -> DataFrame:
+    """Cleaned, stamped and checked listings, without a lookup; `keep` names columns to carry along."""
+    return coordinates_valid(add_processing_metadata(clean_sites(enforce_schema(raw, keep)), run_at))
 
 
 def located(

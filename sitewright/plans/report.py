@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 
 from sitewright.operators.gold import gold_tables, shared_parts
 from sitewright.schema import GOLD_SCHEMAS
+from sitewright.sources import versions
 from sitewright.sources.tables import read_gold, write_gold
 
+
 def build_gold(silver: DataFrame, base: str, run_at: datetime) -> DataFrame:
     """Write all reporting tables; returns name, path and row count of each.
 
@@ -24,7 +26,7 @@ def build_gold(silver: DataFrame, base: str, run_at: datetime) -> DataFrame:
         paths = {name: write.result() for name, write in writes.items()}
     report = None
     for name, path in paths.items():
-        written = spark.read.schema(tables[name].schema).parquet(path)
+        written = spark.read.schema(tables[name].schema).parquet(versions.current(spark, path))
         one = written.agg(F.count(F.lit(1)).alias("record_count"))
         one = one.select(
             F.lit(name).alias("table_name"), F.lit(path).alias("output_path"), "record_count"

@@ -1,6 +1,5 @@
 """Paths on whatever storage Spark uses."""
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,32 +31,30 @@ def size_of(spark: SparkSession, path: str) -> int:
     return fs.getContentSummary(hadoop_path).getLength() if fs.exists(hadoop_path) else 0
 
 
-def keep_only(spark: SparkSession, base: str, path: str) -> None:
-    """Delete everything under `base` but `path`, which is under it."""
-    fs, here = _fs(spark, path)
-    here, top = fs.makeQualified(here), fs.makeQualified(_fs(spark, base)[1])
-    while not here.equals(top):
-        for entry in fs.listStatus(here.getParent()):
-            if not entry.getPath().equals(here):
-                fs.delete(entry.getPath(), True)
-        here = here.getParent()
+def names(spark: SparkSession, path: str) -> list[str]:
+    """Names of all that is in a folder, sorted; none if there is no folder."""
+    fs, hadoop_path = _fs(spark, path)
+    return sorted(e.getPath().getName() for e in fs.listStatus(hadoop_path)) if fs.exists(hadoop_path) else []
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors share: the session's checkpoint folder.
+def touch(spark: SparkSession, path: str) -> None:
+    """Make an empty file, which must not be there yet, and its folder."""
+    fs, hadoop_path = _fs(spark, path)
+    if not fs.createNewFile(hadoop_path):
+        raise FileExistsError(path)
 
-    Only a local session without that setting, such as a test, gets a temporary
-    folder, which is then set as its checkpoint folder.
-    """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+
+def delete(spark: SparkSession, path: str) -> None:
+    fs, hadoop_path = _fs(spark, path)
+    fs.delete(hadoop_path, True)
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder all executors share: the session's checkpoint folder, or else a folder of its warehouse, which is shared too."""
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="sitewright-"))
-    return context.getCheckpointDir().rstrip("/")
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/sitewright-staged"
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:

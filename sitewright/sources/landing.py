@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sitewright.functions.text import digest32
+from sitewright.operators.parts import first_by
 from sitewright.operators.runs import newest
 from sitewright.schema import (
     LANDING_PARTITIONS,
@@ -23,7 +24,7 @@ from sitewright.schema import (
     PER_PAGE,
     empty_table,
 )
-from sitewright.sources import files
+from sitewright.sources import files, versions
 
 log = logging.getLogger(__name__)
 
@@ -49,23 +50,26 @@ def land_batch(
 
     `at` is the landing time, or a column when a backfill lands many days at
     once. Days are rebalanced, so that a large one is written by many tasks and
-    small ones do not leave a file per task.
+    small ones do not leave a file per task. What is replaced goes when the
+    batch is written.
     """
-    (
-        dated(df, at)
-        .hint("rebalance", *LANDING_PARTITIONS)
-        .write.mode("overwrite" if clean_before_run else "append")
-        .partitionBy(*LANDING_PARTITIONS)
-        .option("ignoreNullFields", "false")
-        .option("partitionOverwriteMode", "static")
-        .json(base)
-    )
+    days = dated(df, at).hint("rebalance", *LANDING_PARTITIONS)
+
+    def to(where: str) -> None:
+        days.write.mode("append").partitionBy(*LANDING_PARTITIONS).option("ignoreNullFields", "false").json(where)
+
+    if clean_before_run:
+        versions.replace(df.sparkSession, base, to, keep=1)
+    else:
+        to(versions.current(df.sparkSession, base))
 
 
-def _reader(spark: SparkSession, base: str, arrays: bool):
+def _read(spark: SparkSession, base: str, arrays: bool, schema: str | None = None) -> DataFrame:
     # multiLine is only for files that hold one array; on JSON Lines it would
     # keep the first record of each file.
-    return spark.read.option("basePath", base).option("multiLine", str(arrays).lower())
+    where = versions.current(spark, base)
+    reader = spark.read.option("basePath", where).option("multiLine", str(arrays).lower())
+    return (reader.schema(schema) if schema else reader).json(f"{where}/year=*")
 
 
 def on_date(df: DataFrame, date: dict[str, int] | None) -> DataFrame:
@@ -79,7 +83,7 @@ def read_landed(
     spark: SparkSession, base: str, date: dict[str, int] | None = None, arrays: bool = False
 ) -> DataFrame:
     """Every landed record, with the columns found in the files."""
-    return on_date(_reader(spark, base, arrays).json(f"{base}/year=*"), date)
+    return on_date(_read(spark, base, arrays), date)
 
 
 def read_landed_listings(
@@ -90,8 +94,7 @@ def read_landed_listings(
     Coordinates are read as text and then cast, so quoted ones are kept.
     """
     parts = ", ".join(f"{name} INT" for name in LANDING_PARTITIONS)
-    raw = _reader(spark, base, arrays).schema(f"{AS_TEXT}, {parts}").json(f"{base}/year=*")
-    return _typed(on_date(raw, date))
+    return _typed(on_date(_read(spark, base, arrays, f"{AS_TEXT}, {parts}"), date))
 
 
 def _typed(raw: DataFrame) -> DataFrame:
@@ -163,13 +166,21 @@ def _manifest_of(
 
 
 def append_manifest(row: DataFrame, manifest: str, clean_before_run: bool = False) -> None:
-    row.write.mode("overwrite" if clean_before_run else "append").json(manifest)
+    def to(where: str) -> None:
+        row.write.mode("append").json(where)
+
+    if clean_before_run:
+        versions.replace(row.sparkSession, manifest, to, keep=1)
+    else:
+        to(versions.current(row.sparkSession, manifest))
 
 
 def read_manifest(spark: SparkSession, manifest: str) -> DataFrame:
-    if not files.exists(spark, manifest):
+    """One row per ingestion; of one that was recorded again, the row with most records."""
+    where = versions.current(spark, manifest)
+    if not files.exists(spark, where):
         return empty_table(spark, MANIFEST_SCHEMA)
-    return spark.read.schema(MANIFEST_SCHEMA).json(manifest)
+    return first_by(spark.read.schema(MANIFEST_SCHEMA).json(where), ["ingestion_id"], -F.col("total_records"))
 
 
 def list_ingestions(manifest: DataFrame, limit: int | None = None) -> DataFrame:
@@ -197,29 +208,43 @@ def ingest(
 ) -> DataFrame:
     """Land a batch and record it; returns its manifest row, whose file_path holds this batch only.
 
-    A batch without rows is not landed. One that cannot be read or written is
-    recorded as failed, with no records and its day as path, and the error is
-    logged. `clean_before_run` drops what was landed before, once the batch is
-    written, and its manifest.
+    A batch without rows is not landed. One that was landed before, at the same
+    time with the same rows, is left as it is: its folder is complete. One that
+    cannot be read or written is recorded as failed, with no records and its day
+    as path, and the error is logged. `clean_before_run` replaces what was landed
+    before, and its manifest, once the batch is written.
     """
     spark = df.sparkSession
-    path = f"{base.rstrip('/')}/year={at:%Y}/month={at:%m}/day={at:%d}"
+    day = f"year={at:%Y}/month={at:%m}/day={at:%d}"
+    path = f"{versions.current(spark, base)}/{day}"
     records = size = 0
     failed = False
     try:
         counted = batch_fingerprint(df).first()
         if counted["total_records"]:
-            batch = f"{path}/batch-{at:%H%M%S%f}-{counted['fingerprint']}"
-            df.write.mode("overwrite").option("ignoreNullFields", "false").json(batch)
-            path, records, size = batch, counted["total_records"], files.size_of(spark, batch)
+            path, records = _land(df, base, f"{day}/batch-{at:%H%M%S%f}-{counted['fingerprint']}", clean_before_run), counted["total_records"]
+            size = files.size_of(spark, path)
     except (PySparkException, Py4JJavaError) as problem:
         log.error("batch of %s not landed: %s", at.isoformat(), problem)
         failed = True
     count = spark.range(1).select(F.lit(records).cast("long").alias("total_records"))
     row = _manifest_of(count, at, path, source, per_page, size, failed)
     landed = records > 0
-    if landed and clean_before_run:
-        files.keep_only(spark, base, path)
     if save_metadata and (landed or failed):
         append_manifest(row, manifest_path(base), clean_before_run and landed)
     return row
+
+
+def _land(df: DataFrame, base: str, batch: str, clean_before_run: bool) -> str:
+    """Write a batch to its folder, if it is not there whole; returns the folder."""
+    spark = df.sparkSession
+
+    def to(where: str) -> None:
+        df.write.mode("overwrite").option("ignoreNullFields", "false").json(f"{where}/{batch}")
+
+    if clean_before_run:
+        return f"{versions.replace(spark, base, to, keep=1)}/{batch}"
+    where = versions.current(spark, base)
+    if not files.exists(spark, f"{where}/{batch}/_SUCCESS"):
+        to(where)
+    return f"{where}/{batch}"

@@ -16,7 +16,7 @@ from sitewright.schema import (
     SILVER_SCHEMA,
     empty_table,
 )
-from sitewright.sources import files
+from sitewright.sources import files, versions
 
 log = logging.getLogger(__name__)
 
@@ -28,19 +28,28 @@ def write_silver(
 
     Rows are rebalanced on the partition columns: a small state becomes one
     file, and a state with much of the data is written by as many tasks as its
-    size needs.
+    size needs. The table is replaced when all is written (see versions);
+    `mode="append"` adds to what is there.
     """
     columns = partition_by or SILVER_PARTITIONS
-    (
-        df.hint("rebalance", *columns)
-        .write.mode(mode)
-        .option("partitionOverwriteMode", "static")
-        .partitionBy(*columns)
-        .parquet(path)
-    )
+    _write(df.hint("rebalance", *columns), path, mode, columns)
     return path
 
 
+def _write(df: DataFrame, path: str, mode: str, partition_by: list[str] | None = None) -> None:
+    spark = df.sparkSession
+
+    def to(where: str) -> None:
+        df.write.mode("append").partitionBy(*(partition_by or [])).parquet(where)
+
+    if mode == "append":
+        to(versions.current(spark, path))
+    elif mode == "overwrite":
+        versions.replace(spark, path, to)
+    else:
+        raise ValueError(f"mode '{mode}' is neither overwrite nor append")
+
+
 def read_silver(
     spark: SparkSession,
     path: str,
@@ -58,12 +67,13 @@ def read_silver(
         reader = spark.read.option("mergeSchema", "true")
     else:
         reader = spark.read.schema(StructType(SILVER_SCHEMA.fields + (extra.fields if extra else [])))
-    return equal_to(reader.parquet(path), filters)
+    return equal_to(reader.parquet(versions.current(spark, path)), filters)
 
 
 def write_gold(df: DataFrame, base: str, table: str, mode: str = "overwrite") -> str:
+    """Write a reporting table, which is replaced when all is written; returns its path."""
     path = f"{base}/{table}"
-    df.write.mode(mode).parquet(path)
+    _write(df, path, mode)
     return path
 
 
@@ -71,13 +81,14 @@ def read_gold(
     spark: SparkSession, base: str, table: str, filters: dict[str, Any] | None = None
 ) -> DataFrame:
     path = f"{base}/{table}"
-    if not files.exists(spark, path):
+    if not versions.exists(spark, path):
         raise ValueError(f"table '{table}' does not exist at {path}")
-    return equal_to(spark.read.parquet(path), filters)
+    return equal_to(spark.read.parquet(versions.current(spark, path)), filters)
 
 
 def list_gold(spark: SparkSession, base: str) -> list[str]:
-    return files.folders(spark, base)
+    """Names of the tables that were written whole."""
+    return [name for name in files.folders(spark, base) if versions.exists(spark, f"{base}/{name}")]
 
 
 def load_gold_or_empty(spark: SparkSession, base: str) -> dict[str, DataFrame]:

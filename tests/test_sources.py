@@ -10,8 +10,8 @@ from test_clean import COMPLETE, ENGLISH, PADDED
 
 from sitewright.operators import metrics, select
 from sitewright.plans.curate import curated, transform_listings
-from sitewright.sources import landing, tables
-from sitewright.streaming.incremental import incremental_silver
+from sitewright.sources import keyed, landing, tables, versions
+from sitewright.streaming.incremental import incremental_gold, incremental_silver, read_incremental
 
 LATER = datetime(2026, 2, 3, 1, 0)
 
@@ -69,7 +69,57 @@ def test_one_ingestion_of_a_day_is_read_alone(spark, listings, tmp_path):
     assert landing.read_landed_listings(spark, base, {"day": 21}).count() == 3
     stream = incremental_silver(spark, base, str(tmp_path / "silver"), str(tmp_path / "progress"), RUN_AT)
     stream.awaitTermination()
-    assert spark.read.parquet(str(tmp_path / "silver")).count() == 3
+    assert read_incremental(spark, str(tmp_path / "silver")).count() == 3
+    # It is listed once.
+    assert landing.read_manifest(spark, landing.manifest_path(base)).count() == 2
+
+
+def test_a_repeated_ingestion_leaves_its_files_alone(spark, listings, tmp_path):
+    base = str(tmp_path / "bronze")
+    path = one(landing.ingest(listings(COMPLETE, PADDED), base, RUN_AT))["file_path"]
+    before = sorted(glob.glob(f"{path}/*"))
+    again = one(landing.ingest(listings(PADDED, COMPLETE), base, RUN_AT))
+    assert again["file_path"] == path and again["total_records"] == 2 and again["file_size_bytes"] > 0
+    assert sorted(glob.glob(f"{path}/*")) == before
+
+
+def broken(df):
+    """The rows, of which the last one read fails."""
+    return df.withColumn("name", F.when(F.col("id") == "n-19", F.raise_error(F.lit("killed")).cast("string")).otherwise(F.col("name")))
+
+
+def test_a_killed_write_leaves_the_old_table(spark, listings, tmp_path):
+    good, bad = listings(COMPLETE, PADDED), broken(listings(COMPLETE, ENGLISH).repartition(4))
+    silver, gold, base = str(tmp_path / "silver"), str(tmp_path / "gold"), str(tmp_path / "bronze")
+    tables.write_silver(curated(good, RUN_AT), silver)
+    tables.write_gold(good, gold, "t")
+    landing.land_batch(good, base, RUN_AT)
+    for write in (
+        lambda: tables.write_silver(curated(bad, RUN_AT), silver),
+        lambda: tables.write_gold(bad, gold, "t"),
+        lambda: landing.land_batch(bad, base, RUN_AT, clean_before_run=True),
+        lambda: tables.write_gold(bad, gold, "never"),
+    ):
+        with pytest.raises(Exception, match="killed"):
+            write()
+    assert tables.read_silver(spark, silver).count() == 2
+    assert tables.read_gold(spark, gold, "t").count() == 2 and tables.list_gold(spark, gold) == ["t"]
+    assert landing.read_landed_listings(spark, base).count() == 2
+    with pytest.raises(ValueError):
+        tables.read_gold(spark, gold, "never")
+
+
+def test_old_versions_go_after_the_one_before(spark, listings, tmp_path):
+    base, path = str(tmp_path / "gold"), str(tmp_path / "gold" / "t")
+    listings(COMPLETE).write.parquet(path)  # a plain table of an earlier time
+    for n, rows in enumerate(((COMPLETE, PADDED), (ENGLISH,), (COMPLETE, PADDED, ENGLISH)), 1):
+        assert tables.read_gold(spark, base, "t").count() == {1: 1, 2: 2, 3: 1}[n]
+        tables.write_gold(listings(*rows), base, "t")
+    assert tables.read_gold(spark, base, "t").count() == 3
+    kept = sorted(name.split("/")[-1][:8] for name in glob.glob(f"{path}/*") if "_current" not in name)
+    assert kept == ["v-000002", "v-000003"]
+    with pytest.raises(ValueError, match="neither"):
+        tables.write_gold(listings(), base, "t", mode="ignore")
 
 
 def test_failed_ingestion_is_recorded(spark, listings, tmp_path):
@@ -134,7 +184,7 @@ def test_silver_roundtrip_and_filters(spark, listings, tmp_path):
     df = curated(listings(COMPLETE, PADDED, ENGLISH), RUN_AT)
     assert len(df.columns) == 28
     tables.write_silver(df, path)
-    assert (tmp_path / "silver" / "country_normalized=United States" / "state=Idaho").is_dir()
+    assert glob.glob(f"{versions.current(spark, path)}/country_normalized=United States/state=Idaho")
     back = tables.read_silver(spark, path)
     assert sorted(back.columns) == sorted(df.columns)
     # A row without a state comes back without one.
@@ -153,7 +203,7 @@ def test_new_columns_and_other_partitions(spark, listings, tmp_path):
     path = str(tmp_path / "silver")
     df = curated(listings(COMPLETE), RUN_AT)
     tables.write_silver(df, path, partition_by=["processing_year"])
-    assert (tmp_path / "silver" / "processing_year=2026").is_dir()
+    assert glob.glob(f"{versions.current(spark, path)}/processing_year=2026")
     extra = curated(listings(ENGLISH), RUN_AT).withColumn("extra", F.lit(1))
     tables.write_silver(extra, path, partition_by=["processing_year"], mode="append")
     for kwargs in ({"merge_schema": True}, {"extra": StructType().add("extra", "integer")}):
@@ -202,7 +252,7 @@ def test_stream_takes_each_landed_file_once(spark, listings, tmp_path):
 
     def run():
         incremental_silver(spark, base, out, progress, RUN_AT).awaitTermination()
-        return spark.read.parquet(out)
+        return read_incremental(spark, out)
 
     landing.land_batch(listings(COMPLETE, PADDED), base, RUN_AT)
     assert run().count() == 2
@@ -211,6 +261,45 @@ def test_stream_takes_each_landed_file_once(spark, listings, tmp_path):
     rows = by(run(), "id")
     assert len(rows) == 3 and rows["n-19"]["country_normalized"] == "United Kingdom"
     assert rows["n-17"]["coordinates_valid"]
+    only = read_incremental(spark, out, {"country_normalized": "United Kingdom"})
+    assert one(only)["id"] == "n-19"
+    assert "PartitionFilters: [isnotnull(country_normalized" in only._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_batch_landed_again_replaces_its_rows(spark, listings, tmp_path):
+    base, out, progress = (str(tmp_path / n) for n in ("bronze", "silver", "progress"))
+    many = listings(*[{**COMPLETE, "id": f"m-{i}", "state": f"S{i % 4}"} for i in range(60)])
+
+    def run(progress=progress):
+        incremental_silver(spark, base, out, progress, RUN_AT).awaitTermination()
+        by_state = incremental_gold(spark, out, RUN_AT)["breweries_by_state"]
+        return read_incremental(spark, out).count(), sorted((r["state"], r["brewery_count"], r["unique_breweries"]) for r in by_state.collect())
+
+    path = one(landing.ingest(many, base, RUN_AT))["file_path"]
+    first = run()
+    assert first == (60, [(f"S{i}", 15, 15) for i in range(4)])
+    many.repartition(3).write.mode("overwrite").json(path)  # the same rows in other files
+    assert run() == first
+    assert run(str(tmp_path / "anew")) == first  # also for a stream that begins again
+    many.where("state <> 'S1'").write.mode("overwrite").json(path)  # and fewer rows in them
+    assert run() == (45, [(f"S{i}", 15, 15) for i in (0, 2, 3)])
+    landing.ingest(listings({**COMPLETE, "id": "m-0", "state": "S0"}, {**COMPLETE, "id": "new", "state": "S1"}), base, LATER)
+    assert run() == (47, [("S0", 16, 15), ("S1", 1, 1), ("S2", 15, 15), ("S3", 15, 15)])
+    assert keyed.drop_replaced(spark, out) == 3
+    assert run() == (47, [("S0", 16, 15), ("S1", 1, 1), ("S2", 15, 15), ("S3", 15, 15)])
+
+
+def test_a_killed_take_is_not_seen(spark, listings, tmp_path):
+    path = str(tmp_path / "t")
+    keyed.put(listings(COMPLETE).withColumn("ingestion", F.lit("a")), path)
+    with pytest.raises(Exception, match="killed"):
+        keyed.put(broken(listings(COMPLETE, ENGLISH)).withColumn("ingestion", F.lit("a")), path)
+    (tmp_path / "t" / "take=half" / "ingestion=a").mkdir(parents=True)
+    listings(PADDED).write.mode("append").parquet(f"{path}/take=half/ingestion=a")
+    assert one(keyed.read(spark, path, listings().schema))["id"] == "n-17"
+    gone = spark.createDataFrame([("a",)], "ingestion string")
+    keyed.put(listings().withColumn("ingestion", F.lit("a")), path, keys=gone)
+    assert keyed.read(spark, path, listings().schema).count() == 0
 
 
 # ---- selection --------------------------------------------------------------
