@@ -6,6 +6,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sitewright.sources.files import delete, fresh_path
+
 #: Words are runs of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -54,9 +56,21 @@ def in_chunks(batch: pa.RecordBatch, chunk_bytes: int, text_at: int) -> Iterator
     yield batch.slice(start)
 
 
-def task_name() -> str:
-    """Names the running attempt of a task, for errors only."""
-    from pyspark import TaskContext
+class Scratch:
+    """Written tables that are dropped together when the block ends, and one by one before that if told so."""
+
+    def __init__(self, spark: SparkSession, label: str):
+        self.spark, self.base, self.tables = spark, fresh_path(spark, label), 0
+
+    def __enter__(self) -> "Scratch":
+        return self
+
+    def __exit__(self, *_) -> None:
+        delete(self.spark, self.base)
 
-    context = TaskContext.get()
-    return f"{context.stageId()}.{context.partitionId()}" if context else "driver"
+    def staged(self, df: DataFrame, label: str) -> DataFrame:
+        """The rows by way of a table in the shared folder."""
+        self.tables += 1
+        path = f"{self.base}/{self.tables:03d}-{label}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)

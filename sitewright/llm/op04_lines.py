@@ -3,23 +3,30 @@
 Lines are trimmed; blank ones always stay. A line's shingles are the SHINGLE-byte
 windows of its UTF-8 bytes (the whole line, if it is shorter). One hash per
 shingle gives a signature of SIGNATURE minima, one per bin of hashes; an empty bin
-borrows from the next one. All sizes are those of shingle sets, in which a
-repeated shingle counts once, so that lines with equal sets have equal signatures.
+borrows from the next one. Hashes are sorted within the row, where the first one of
+a bin is its minimum, so that no shingle is a row of its own. A shingle that
+repeats has one hash, so lines with equal sets have equal signatures.
 ROWS minima are a band; two lines with a similarity of 0.8 share one of the bands
 with a probability of 98.6 %, with 0.9 of 99.96 %.
 
 Equal lines are counted first and are one line from there on, named by a 64-bit
-hash. Lines that share a band's key meet in a bucket. In a first round every line
-is compared with one other: the smallest of its buckets' smallest lines. In a
-second round all lines that are still apart in a bucket are compared. In buckets
-of at most PAIRWISE lines these are all pairs of similar size. Lines of larger
+hash. Lines that share a band's key meet in a bucket. First every line is
+compared with one other, the most frequent of its buckets' most frequent lines:
+where lines are copies with changes, that is what they were copied from. In ROUNDS
+further rounds the lines of a bucket that are outside its hubs' components are
+compared with the most frequent one of them. In the last round all lines that are still apart
+in a bucket are compared. In buckets of at most PAIRWISE lines these are all pairs. Lines of larger
 buckets are joined, over all of these, by their rarest shingles: of two lines
 with n and m shingles that are similar, k = 0.8 / 1.8 (n + m) at least are shared, so
 that the n - k + 1 rarest of the one and the m - k + 1 rarest of the other have one
 in common, which no pair that is similar can be without. Pairs of one component
-are never made, and shingles that many lines have are dealt over slots. Every
-pair is compared by the exact Jaccard similarity of the shingle sets. Components
-come from distributed union-find; the second round only links whole components.
+are never made, and shingles that many lines have are dealt over slots.
+
+Before texts are fetched, a pair's signatures must agree in AGREE of their minima (lines of
+fewer than SMALL shingles are let through); 0.6 % of the pairs at similarity 0.8 do
+not, and fewer above. Every pair left is compared by the exact Jaccard similarity of the shingle
+sets. Components come from distributed union-find; later rounds only link whole
+components. Tables written in between are dropped when the last has read them.
 
 The first line of a component, by doc_id, text hash and line number, stays.
 
@@ -31,11 +38,16 @@ with a null doc_id come first; other columns are left as they are.
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sitewright.llm.common import Scratch
 from sitewright.llm.components import components
 from sitewright.sources.files import staged
 
 SHINGLE, SIGNATURE, ROWS = 9, 18, 3
 SIMILARITY = 0.8
+#: Minima in which two signatures must agree; lines with fewer shingles have too few minima of their own for that.
+AGREE, SMALL = 10, 64
+#: Rounds with the most frequent line of those that are still apart.
+ROUNDS = 2
 #: Of a bucket of at most so many lines, all pairs are made; larger ones are joined by shingles.
 PAIRWISE = 32
 #: Lines with one rare shingle in one slot.
@@ -67,33 +79,54 @@ def shingles(raw: str) -> Column:
 
 
 def signatures(distinct: DataFrame) -> DataFrame:
-    """h, n (distinct shingles) and the minima m0, m1, ... of each distinct line."""
-    sets = distinct.select("h", F.array_distinct(shingles("raw")).alias("own"))
-    hashed = sets.select("h", F.size("own").alias("n"), F.explode("own").alias("v"))
-    value = F.shiftrightunsigned("v", 33).cast("int")
-    binned = hashed.select("h", "n", F.pmod("v", F.lit(SIGNATURE)).cast("int").alias("bin"), value.alias("m"))
-    minima = [F.min(F.when(F.col("bin") == j, F.col("m"))).alias(f"m{j}") for j in range(SIGNATURE)]
-    return binned.groupBy("h", "n").agg(*minima)
+    """h, n (shingles, with repetitions), times and sig (the minima) of each distinct line."""
+    # Bins are equal ranges of hashes. Their lower ends are sorted in among the hashes, each just before its bin's minimum.
+    ends = [-(1 << 63) + (j << 64) // SIGNATURE for j in range(SIGNATURE)]
+    rows = distinct.select("h", "times", F.sort_array(F.concat(shingles("raw"), F.array(*[F.lit(e) for e in ends]))).alias("own"))
+    after = F.array(*[F.get("own", F.array_position("own", F.lit(e)).cast("int")) for e in ends])
+    rows = rows.select("h", "times", (F.size("own") - SIGNATURE).alias("n"), after.alias("after"))
+    # An empty bin is followed by the next one's end, or by nothing. Few lines have one, and few hashes then.
+    borrowed = F.transform(
+        F.sequence(F.lit(0), F.lit(SIGNATURE - 1)),
+        lambda j: F.element_at(F.filter(F.concat(F.slice("after", j + 1, SIGNATURE), F.col("after")), lambda v: v.isNotNull() & ~v.isin(ends)), 1),
+    )
+    sig = F.when(F.arrays_overlap("after", F.array(*[F.lit(e) for e in ends])) | F.get("after", F.lit(SIGNATURE - 1)).isNull(), borrowed)
+    sig = F.transform(sig.otherwise(F.col("after")), lambda v: v.bitwiseAND((1 << 31) - 1).cast("int"))
+    return rows.select("h", "n", "times", sig.alias("sig"))
 
 
 def bands(signed: DataFrame) -> DataFrame:
-    """h, n and the key of each band."""
-
-    def filled(j: int) -> Column:
-        borrowed = [F.col(f"m{(j + k) % SIGNATURE}").cast("long") + (k << 32) for k in range(SIGNATURE)]
-        return F.coalesce(*borrowed)
-
+    """h, place (the line's rank: most frequent first, then by hash) and the key of each band."""
     keys = [
-        F.xxhash64(F.lit(b), *[filled(b * ROWS + r) for r in range(ROWS)]) for b in range(SIGNATURE // ROWS)
+        F.xxhash64(F.lit(b), *[F.get("sig", F.lit(b * ROWS + r)) for r in range(ROWS)]) for b in range(SIGNATURE // ROWS)
     ]
-    return signed.select("h", "n", F.explode(F.array(*keys)).alias("key"))
+    return signed.select("h", _rank().alias("place"), F.explode(F.array(*keys)).alias("key"))
+
+
+def _rank() -> Column:
+    """Of two lines the more frequent one has the larger rank."""
+    return F.shiftleft(F.least("times", F.lit(1 << 22)), 40).bitwiseOR(F.col("h").bitwiseAND((1 << 40) - 1))
 
 
 def bucketed(signed: DataFrame) -> DataFrame:
-    """key, h, n, low (the bucket's smallest line) and size, for buckets of two lines or more."""
+    """key, h, place, hub (the bucket's most frequent line), top (its place) and size, for buckets of two lines or more."""
     keyed = bands(signed)
-    buckets = keyed.groupBy("key").agg(F.min("h").alias("low"), F.count(F.lit(1)).alias("size")).where("size > 1")
-    return keyed.join(buckets, "key")
+    buckets = keyed.groupBy("key").agg(
+        F.max_by("h", "place").alias("hub"), F.max("place").alias("top"), F.count(F.lit(1)).alias("size")
+    )
+    return keyed.join(buckets.where("size > 1"), "key")
+
+
+def agreeing(pairs: DataFrame, signed: DataFrame) -> DataFrame:
+    """Those of the pairs (a, b and more) whose signatures agree well enough."""
+    side = lambda x: signed.select(F.col("h").alias(x), F.col("n").alias(f"n_{x}"), F.col("sig").alias(f"sig_{x}"))
+    both = pairs.join(side("a"), "a").join(side("b"), "b")
+    return both.where(_agree("a", "b")).select(*pairs.columns)
+
+
+def _agree(a: str, b: str) -> Column:
+    equal = [(F.get(f"sig_{a}", F.lit(j)) == F.get(f"sig_{b}", F.lit(j))).cast("int") for j in range(SIGNATURE)]
+    return (F.least(f"n_{a}", f"n_{b}") < SMALL) | (sum(equal[1:], equal[0]) >= AGREE)
 
 
 def similar(pairs: DataFrame, texts: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -123,14 +156,14 @@ def merged(roots: DataFrame, moved: DataFrame) -> DataFrame:
     return old.unionByName(alone.select(F.col("root").alias("node"), F.col("to").alias("root")))
 
 
-def rarest(lines: DataFrame, texts: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """v (shingle), at (its place, rarest first), h, n, root and short of lines (h, n, root).
+def rarest(lines: DataFrame, texts: DataFrame, similarity: float, scratch: Scratch) -> DataFrame:
+    """v (shingle), at (its place, rarest first), h, n, root and short of lines (h, root).
 
     There are as many shingles of a line as one that is not longer may have to
     share; `short` are those that one that is not shorter may have to share.
     """
-    each = lines.join(texts, "h").select("h", "n", "root", F.explode(F.array_distinct(shingles("raw"))).alias("v"))
-    each = staged(each, "line-shingles")
+    sets = lines.join(texts, "h").select("h", "root", F.array_distinct(shingles("raw")).alias("own"))
+    each = scratch.staged(sets.select("h", F.size("own").alias("n"), "root", F.explode("own").alias("v")), "shingles")
     ranked = each.join(each.groupBy("v").agg(F.count(F.lit(1)).alias("times")), "v")
     place = F.row_number().over(Window.partitionBy("h").orderBy("times", "v")) - 1
     ranked = ranked.select("v", "h", "n", "root", "times", place.alias("at"))
@@ -144,70 +177,105 @@ def _shared(n: str, m: str, similarity: float) -> Column:
     return (F.col(n) + F.col(m)) * (similarity / (1 + similarity)) - 1e-6
 
 
-def rare_pairs(lines: DataFrame, texts: DataFrame, similarity: float = SIMILARITY, hot: int = HOT) -> DataFrame:
-    """Pairs (a, b) of different components (u, v) among lines (h, n, root): all that are similar, and others."""
-    rows = staged(rarest(lines, texts, similarity), "line-rarest")
+def rare_pairs(
+    lines: DataFrame, texts: DataFrame, signed: DataFrame, scratch: Scratch, similarity: float = SIMILARITY, hot: int = HOT
+) -> DataFrame:
+    """Pairs (a, b) of different components (u, v) among lines (h, root): all similar ones whose signatures agree, and others."""
+    rows = scratch.staged(rarest(lines, texts, similarity, scratch), "rarest")
     by_root = rows.groupBy("v", "root").agg(F.count(F.lit(1)).alias("times"))
     known = by_root.groupBy("v").agg(
         F.max(F.struct("times", "root")).alias("most"), F.sum("times").alias("times"), F.count(F.lit(1)).alias("roots")
     )
     known = known.where("roots > 1").select("v", F.col("most.root").alias("main"), F.ceil(F.col("times") / hot).cast("int").alias("slots"))
-    rows = staged(rows.join(known, "v").withColumn("in_main", F.col("root") == F.col("main")).drop("main"), "line-rarest")
-    left = rows.where("short").select(
-        "v", F.pmod(F.xxhash64("h"), F.col("slots")).cast("int").alias("slot"), F.col("at").alias("at_a"), F.col("h").alias("a"),
-        F.col("n").alias("na"), F.col("root").alias("ra"), F.col("in_main").alias("main_a"),
-    )
-    right = rows.select(
-        "v", F.explode(F.sequence(F.lit(0), F.col("slots") - 1)).alias("slot"), F.col("at").alias("at_b"), F.col("h").alias("b"),
-        F.col("n").alias("nb"), F.col("root").alias("rb"), F.col("in_main").alias("main_b"),
-    )
-    shared = _shared("na", "nb", similarity)
-    fits = (F.col("ra") != F.col("rb")) & (F.col("na") <= F.col("nb")) & (F.col("na") >= F.col("nb") * similarity - 1e-6)
-    fits = fits & (F.col("na") - F.col("at_a") >= shared) & (F.col("nb") - F.col("at_b") >= shared)
+    rows = rows.join(known, "v").withColumn("in_main", F.col("root") == F.col("main")).drop("main")
+    rows = scratch.staged(rows.join(signed.select("h", "sig"), "h"), "rarest-signed")
+
+    def side(df: DataFrame, x: str, slot: Column) -> DataFrame:
+        names = {"h": x, "n": f"n_{x}", "root": f"root_{x}", "in_main": f"main_{x}", "at": f"at_{x}", "sig": f"sig_{x}"}
+        return df.select("v", slot.alias("slot"), *[F.col(c).alias(name) for c, name in names.items()])
+
+    left = side(rows.where("short"), "a", F.pmod(F.xxhash64("h"), F.col("slots")).cast("int"))
+    right = side(rows, "b", F.explode(F.sequence(F.lit(0), F.col("slots") - 1)))
+    shared = _shared("n_a", "n_b", similarity)
+    fits = (F.col("root_a") != F.col("root_b")) & (F.col("n_a") <= F.col("n_b")) & (F.col("n_a") >= F.col("n_b") * similarity - 1e-6)
+    fits = fits & (F.col("n_a") - F.col("at_a") >= shared) & (F.col("n_b") - F.col("at_b") >= shared) & _agree("a", "b")
     # Two lines of the component that has most of a shingle's lines never meet.
     parts = [(left.where("main_a"), right.where("NOT main_b")), (left.where("NOT main_a"), right)]
-    first, second = (x.join(y, ["v", "slot"]).where(fits).select("a", "b", F.col("ra").alias("u"), F.col("rb").alias("v")) for x, y in parts)
+    first, second = (
+        x.join(y, ["v", "slot"]).where(fits).select("a", "b", F.col("root_a").alias("u"), F.col("root_b").alias("v")) for x, y in parts
+    )
     return first.unionByName(second)
 
 
-def line_components(distinct: DataFrame, similarity: float = SIMILARITY, pairwise: int = PAIRWISE) -> DataFrame:
-    """node and root (hashes of lines) for every line that is similar to another; `distinct` is a table of distinct lines."""
-    members = staged(bucketed(staged(signatures(distinct), "line-signatures")), "line-buckets")
-    texts = staged(distinct.select("h", "raw").join(members.select("h").distinct(), "h", "left_semi"), "line-texts")
-    lowest = members.where("low < h").groupBy("h").agg(F.min("low").alias("a")).select("a", F.col("h").alias("b"))
-    roots = staged(components(similar(lowest, texts, similarity)), "line-roots")
+def _linked(roots: DataFrame, pairs: DataFrame, signed: DataFrame, texts: DataFrame, similarity: float, scratch: Scratch) -> DataFrame | None:
+    """The roots after the components (u, v) of similar pairs (a, b) were linked; None if there were none."""
+    agreed = scratch.staged(agreeing(pairs, signed), "agreed")
+    new = scratch.staged(similar(agreed, texts, similarity).select("u", "v").distinct(), "similar")
+    if new.isEmpty():
+        return None
+    moved = components(new.select(F.col("u").alias("a"), F.col("v").alias("b")))
+    return scratch.staged(merged(roots, moved), "roots")
+
+
+def _apart(members: DataFrame, roots: DataFrame, scratch: Scratch) -> DataFrame:
+    """The members with their roots, of buckets that hold lines of several components."""
     rooted = roots.select(F.col("node").alias("h"), "root")
-    own = members.join(rooted, "h", "left").select("key", "h", "n", "size", F.coalesce("root", "h").alias("root"))
-    own = staged(own, "line-members")
-    apart = own.groupBy("key").agg(F.min("root").alias("low_root"), F.max("root").alias("high_root"))
-    own = staged(own.join(apart.where("low_root < high_root").select("key"), "key"), "line-apart")
+    own = members.drop("root").join(rooted, "h", "left").withColumn("root", F.coalesce("root", "h"))
+    own = scratch.staged(own, "members")
+    ends = own.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+    return scratch.staged(own.join(ends.where("low < high").select("key"), "key"), "apart")
+
+
+def line_components(
+    distinct: DataFrame, scratch: Scratch, similarity: float = SIMILARITY, pairwise: int = PAIRWISE, rounds: int = ROUNDS
+) -> DataFrame:
+    """node and root (hashes of lines) for every line that is similar to another; `distinct` is a table of distinct lines."""
+    signed = scratch.staged(signatures(distinct), "signatures")
+    members = scratch.staged(bucketed(signed), "buckets")
+    met = members.select("h").distinct()
+    signed = scratch.staged(signed.select("h", "n", "sig").join(met, "h", "left_semi"), "signatures")
+    texts = scratch.staged(distinct.select("h", "raw").join(met, "h", "left_semi"), "texts")
+    first = members.where("hub <> h").groupBy("h").agg(F.max_by("hub", "top").alias("a")).select("a", F.col("h").alias("b"))
+    first = scratch.staged(agreeing(first, signed), "agreed")
+    roots = scratch.staged(components(similar(first, texts, similarity)), "roots")
+    members = _apart(members.drop("top", "hub"), roots, scratch)
+    left = members
+    for _ in range(rounds):
+        # Whoever is in a bucket's largest component so far is done with; of the others the most frequent is the next hub.
+        hubs = left.groupBy("key").agg(F.max_by("root", "place").alias("done"))
+        left = scratch.staged(left.join(hubs, "key").where("root <> done").drop("done"), "left")
+        hubs = left.groupBy("key").agg(F.max_by("h", "place").alias("hub"), F.max_by("root", "place").alias("u"))
+        met = left.join(hubs, "key").where("root <> u").select(F.col("hub").alias("a"), F.col("h").alias("b"), "u", F.col("root").alias("v"))
+        now = _linked(roots, _ordered(met), signed, texts, similarity, scratch)
+        if now is None:
+            break
+        roots = now
+        rooted = roots.select(F.col("node").alias("h"), "root")
+        left = left.drop("root").join(rooted, "h", "left").withColumn("root", F.coalesce("root", "h"))
+    own = _apart(members, roots, scratch)
     few = own.where(F.col("size") <= pairwise)
-    left = few.select("key", F.col("h").alias("a"), F.col("n").alias("na"), F.col("root").alias("u"))
-    right = few.select("key", F.col("h").alias("b"), F.col("n").alias("nb"), F.col("root").alias("v"))
-    fits = F.least("na", "nb") >= similarity * F.greatest("na", "nb")
-    pairs = left.join(right, "key").where("a < b AND u <> v").where(fits).select("a", "b", "u", "v")
-    large = own.where(F.col("size") > pairwise).select("h", "n", "root").distinct()
+    side = lambda x, root: few.select("key", F.col("h").alias(x), F.col("root").alias(root))
+    pairs = side("a", "u").join(side("b", "v"), "key").where("a < b AND u <> v").select("a", "b", "u", "v")
+    large = own.where(F.col("size") > pairwise).select("h", "root").distinct()
     if not large.isEmpty():
-        pairs = pairs.unionByName(rare_pairs(large, texts, similarity))
-    new = staged(similar(_ordered(pairs), texts, similarity).select("u", "v").distinct(), "line-links")
-    if new.isEmpty():
-        return roots
-    moved = components(new.select(F.col("u").alias("a"), F.col("v").alias("b")))
-    return staged(merged(roots, moved), "line-roots")
+        pairs = pairs.unionByName(rare_pairs(large, texts, signed, scratch, similarity))
+    now = _linked(roots, _ordered(pairs), signed, texts, similarity, scratch)
+    return roots if now is None else now
 
 
 def removed_lines(docs: DataFrame, similarity: float = SIMILARITY, pairwise: int = PAIRWISE) -> DataFrame:
     """doc_id, print and the numbers of the lines that go, for documents that lose lines."""
     lines = lines_of(docs.select("doc_id", "text"))
-    distinct = staged(distinct_lines(lines), "line-distinct")
-    roots = line_components(distinct, similarity, pairwise).select(F.col("node").alias("h"), "root")
-    counted = distinct.drop("raw").join(roots, "h", "left").withColumn("root", F.coalesce("root", "h"))
-    groups = counted.groupBy("root").agg(
-        F.sum("times").alias("times"), F.min("first_doc").alias("first_doc"), F.max("no_doc").alias("no_doc")
-    )
-    first_doc = F.when(~F.col("no_doc"), F.col("first_doc")).alias("first_doc")
-    groups = groups.where("times > 1").select("root", first_doc)
-    wanted = staged(counted.select("h", "root").join(groups, "root"), "line-wanted")
+    with Scratch(docs.sparkSession, "lines") as scratch:
+        distinct = scratch.staged(distinct_lines(lines), "distinct")
+        roots = line_components(distinct, scratch, similarity, pairwise).select(F.col("node").alias("h"), "root")
+        counted = distinct.drop("raw").join(roots, "h", "left").withColumn("root", F.coalesce("root", "h"))
+        groups = counted.groupBy("root").agg(
+            F.sum("times").alias("times"), F.min("first_doc").alias("first_doc"), F.max("no_doc").alias("no_doc")
+        )
+        first_doc = F.when(~F.col("no_doc"), F.col("first_doc")).alias("first_doc")
+        groups = groups.where("times > 1").select("root", first_doc)
+        wanted = staged(counted.select("h", "root").join(groups, "root"), "line-wanted")
     # Lines that occur once and are like no other are out from here on.
     places = lines.select("h", "doc_id", "print", "line_no").join(wanted, "h")
     places = staged(places.select("doc_id", "print", "line_no", "root", "first_doc"), "line-places")

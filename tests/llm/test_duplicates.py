@@ -6,10 +6,13 @@ import re
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from sitewright.llm import op01_simhash, op04_lines, op08_passages
+from sitewright.llm.common import Scratch
 from sitewright.llm.components import components
+from sitewright.sources.files import names, shared_folder
 
 from llm.conftest import prose
 
@@ -135,11 +138,57 @@ def test_rare_shingles_find_all_similar_pairs(spark, hot):
     lines = {b[:i] + rng.choice("xy") * rng.randint(0, 3) + b[i:] for b in bases for i in (rng.randint(0, len(b)) for _ in range(8))}
     sets = {h: {x.encode()[i : i + 9] for i in range(max(1, len(x) - 8))} for h, x in enumerate(sorted(lines))}
     texts = spark.createDataFrame([(h, x.encode()) for h, x in enumerate(sorted(lines))], "h long, raw binary")
-    rows = spark.createDataFrame([(h, len(own), h % 60) for h, own in sets.items()], "h long, n int, root long")
-    got = {(min(r.a, r.b), max(r.a, r.b)) for r in op04_lines.rare_pairs(rows, texts, hot=hot).collect()}
+    rows = spark.createDataFrame([(h, h % 60) for h in sets], "h long, root long")
+    signed = op04_lines.signatures(texts.withColumn("times", F.lit(1).cast("long"))).drop("times")
+    with Scratch(spark, "lines") as scratch:
+        found = op04_lines.rare_pairs(rows, texts, signed.withColumn("n", F.lit(0)), scratch, hot=hot)
+        got = {(min(r.a, r.b), max(r.a, r.b)) for r in found.collect()}
     pairs = [(a, b) for a in sets for b in sets if a < b and a % 60 != b % 60]
     want = {(a, b) for a, b in pairs if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])}
-    assert len(want) > 20 and want <= got
+    # The signatures may lose one pair in a hundred or two.
+    assert len(want) > 20 and len(want & got) >= 0.97 * len(want)
+
+
+def plain_signature(line):
+    """The minima by their definition, with the same hash."""
+    raw = line.encode()
+    hashes = [xxhash.xxh64(raw[i : i + 9], seed=42).intdigest() for i in range(max(1, len(raw) - 8))]
+    low = {}
+    for v in (h - (1 << 64) if h >> 63 else h for h in hashes):
+        j = ((v + (1 << 63)) * 18) >> 64
+        low[j] = min(low.get(j, v), v)
+    ring = lambda j: next(low[(j + k) % 18] for k in range(18) if (j + k) % 18 in low)
+    return [ring(j) & ((1 << 31) - 1) for j in range(18)]
+
+
+def test_signatures_are_the_minima_of_bins(spark):
+    rng = random.Random(6)
+    lines = ["".join(rng.choice("abc de") for _ in range(n)) or "x" for n in (1, 5, 9, 12, 30, 60, 90, 200, 700, 3000)] + ["- " * 90, "é中😀" * 9]
+    frame = spark.createDataFrame([(i, x.encode(), 1) for i, x in enumerate(lines)], "h long, raw binary, times long")
+    got = {r.h: list(r.sig) for r in op04_lines.signatures(frame).collect()}
+    assert got == {i: plain_signature(x) for i, x in enumerate(lines)}
+
+
+def test_recall_of_similar_lines(documents):
+    """Pairs of random lines at similarities of 0.8 and more; nine in ten have to be found, at least."""
+    rng = random.Random(12)
+    docs, near = [], 0
+    for k in range(250):
+        base = list("".join(rng.choice("abcdefghij klm") for _ in range(rng.randint(120, 400))))
+        other = list(base)
+        for at in rng.sample(range(10, len(base) - 10), max(1, len(base) // 130)):
+            other[at] = "#"
+        docs += [(2 * k, "".join(base)), (2 * k + 1, "".join(other))]
+    want = sum(map(len, plain_removed(docs).values()))
+    got = sum(len(r.removed) for r in op04_lines.line_report(documents(*docs)).collect())
+    assert want >= 200 and 0.95 * want <= got <= want
+
+
+def test_lines_leave_no_tables_behind(spark, documents, tmp_path):
+    before = set(names(spark, shared_folder(spark)))
+    op04_lines.line_report(documents((1, "one line here\nanother"), (2, "one line here"))).collect()
+    after = set(names(spark, shared_folder(spark))) - before
+    assert not [x for x in after if x.startswith("sitewright-lines")]
 
 
 def test_lines_of_odd_rows(odd):
