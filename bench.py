@@ -56,8 +56,7 @@ def stages(spark, label, raw, timed) -> None:
     path = fresh_path(spark, label)
 
     def silver():
-        quality, _ = transform_listings(spark, raw, path, standin.RUN_AT)
-        return quality.first()["total_records"]
+        return transform_listings(spark, raw, path, standin.RUN_AT).quality.first()["total_records"]
 
     rows = timed(f"silver_{label}", silver)
     table = read_silver(spark, path)

@@ -11,7 +11,8 @@ from checks.standin import RUN_AT, cleaned, runs, silver, sites
 from sitewright.operators import clean, explore, gold, locate, metrics, rules, select
 from sitewright.operators import runs as run_ops
 from sitewright.plans.daily import expected_totals
-from sitewright.plans.report import build_gold, read_all_gold
+from sitewright.plans.curate import row_count
+from sitewright.plans.report import GoldSet, build_gold, read_all_gold
 from sitewright.schema import GOLD_SCHEMAS
 from sitewright.sources import landing, tables
 from sitewright.sources.files import fresh_path, staged
@@ -421,25 +422,27 @@ over(gold_of("breweries_by_type_and_country"), type_mix_by_country=explore.type_
 over(gold_of("brewery_summary_statistics"), quality_scorecard=explore.quality_scorecard)
 
 
-def _tables(spark, sf_dir, *names):
-    rows = silver(spark, sf_dir)
-    return [gold.gold_table(name, rows, RUN_AT) for name in names]
+#: One set of reporting tables for each session and input.
+_SETS: dict[tuple[str, str], GoldSet] = {}
+
+
+def gold_set(spark, sf_dir) -> GoldSet:
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _SETS:
+        _SETS[key] = GoldSet(spark, lambda: silver(spark, sf_dir), RUN_AT)
+    return _SETS[key]
 
 
 @query
 def header_metrics(spark, sf_dir):
-    return explore.header_metrics(
-        *_tables(
-            spark, sf_dir, "brewery_summary_statistics", "breweries_by_country", "breweries_by_type"
-        )
-    )
+    names = ("brewery_summary_statistics", "breweries_by_country", "breweries_by_type")
+    return explore.header_metrics(*[gold_set(spark, sf_dir).table(name) for name in names])
 
 
 @query
 def country_share(spark, sf_dir):
-    return explore.country_share(
-        *_tables(spark, sf_dir, "breweries_by_country", "brewery_summary_statistics"), "United States"
-    )
+    names = ("breweries_by_country", "brewery_summary_statistics")
+    return explore.country_share(*[gold_set(spark, sf_dir).table(name) for name in names], "United States")
 
 
 # ---- rules ------------------------------------------------------------------
@@ -512,10 +515,10 @@ def validate_silver(spark, sf_dir):
 
 
 def all_gold_rules(spark, sf_dir):
-    rows = silver(spark, sf_dir)
-    named = gold.gold_tables(rows, gold.shared_parts(rows), RUN_AT)
-    del named["breweries"]
-    return rules.validate_gold(named, None, expected_totals(rows))
+    """The rules of all tables, the listings' copy included, against the number of curated rows."""
+    shared = gold_set(spark, sf_dir)
+    tables, rows = shared.tables(), shared.silver()
+    return rules.validate_gold(tables, row_count(rows), expected_totals(rows))
 
 
 @query

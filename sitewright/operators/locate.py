@@ -214,11 +214,18 @@ def lookup_coverage(before: DataFrame, after: DataFrame, found: DataFrame) -> Da
     success_rate is of all rows that missed a point, success_rate_attempted of
     those looked up.
     """
+    total = F.count(F.lit(1)).alias("total_records")
+    counts = after.agg(total, rows_where(points.present()).alias("coordinate_coverage_rows"))
+    return lookup_coverage_of(before, counts, found)
+
+
+def lookup_coverage_of(before: DataFrame, after_counts: DataFrame, found: DataFrame) -> DataFrame:
+    """The same where rows and points after the lookup were counted elsewhere: total_records, coordinate_coverage_rows."""
     total = F.count(F.lit(1))
     parts = merge_parts(
         [],
         before.agg(total.alias("total_records"), rows_where(points.present()).alias("before_with")),
-        after.agg(total.alias("after_total"), rows_where(points.present()).alias("after_with")),
+        after_counts.select(F.col("total_records").alias("after_total"), F.col("coordinate_coverage_rows").alias("after_with")),
         found.agg(
             F.coalesce(F.sum("copies"), F.lit(0)).alias("attempted"),
             F.coalesce(

@@ -1,6 +1,8 @@
 """Quality metrics, profiles and statistics."""
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sitewright.functions import points
@@ -18,22 +20,22 @@ def _id_count(df: DataFrame) -> DataFrame:
     return distinct_ids(df).agg(F.count(F.lit(1)).alias("unique_ids"))
 
 
-def silver_quality_metrics(df: DataFrame) -> DataFrame:
-    """Counts and rates of one run. The rates are null when there are no rows."""
-    counts = merge_parts(
-        [],
-        _id_count(df),
-        df.agg(
-            F.count(F.lit(1)).alias("total_records"),
-            rows_where(F.col("name").isNull()).alias("null_names"),
-            rows_where(F.col("brewery_type").isNull()).alias("null_types"),
-            rows_where(F.col("country").isNull()).alias("null_countries"),
-            rows_where(F.col("state").isNull()).alias("null_states"),
-            rows_where(F.col("has_coordinates")).alias("with_coordinates"),
-            rows_where(F.col("has_contact")).alias("with_contact"),
-            rows_where(F.col("is_complete")).alias("complete_records"),
-        ),
-    )
+def quality_counts() -> list[Column]:
+    """The counts of silver_quality_metrics that need rows only, as aggregates."""
+    return [
+        F.count(F.lit(1)).alias("total_records"),
+        rows_where(F.col("name").isNull()).alias("null_names"),
+        rows_where(F.col("brewery_type").isNull()).alias("null_types"),
+        rows_where(F.col("country").isNull()).alias("null_countries"),
+        rows_where(F.col("state").isNull()).alias("null_states"),
+        rows_where(F.col("has_coordinates")).alias("with_coordinates"),
+        rows_where(F.col("has_contact")).alias("with_contact"),
+        rows_where(F.col("is_complete")).alias("complete_records"),
+    ]
+
+
+def with_quality_rates(counts: DataFrame) -> DataFrame:
+    """The counts and their rates, which are null when there are no rows."""
     return counts.withColumns(
         {
             "completeness_rate": percent("complete_records", "total_records"),
@@ -43,6 +45,11 @@ def silver_quality_metrics(df: DataFrame) -> DataFrame:
     )
 
 
+def silver_quality_metrics(df: DataFrame) -> DataFrame:
+    """Counts and rates of one run. The rates are null when there are no rows."""
+    return with_quality_rates(merge_parts([], _id_count(df), df.agg(*quality_counts())))
+
+
 def counts_by(df: DataFrame, dimensions: dict[str, str]) -> DataFrame:
     """Rows per value of several columns in one pass: (dimension, value, count)."""
     combos = df.groupBy(*dimensions.values()).agg(F.count(F.lit(1)).alias("n"))
@@ -116,22 +123,27 @@ def profile_table(df: DataFrame) -> DataFrame:
     ).select("c.column_name", "c.null_count", "row_count", "column_count", "duplicate_count")
 
 
-def enrichment_rates(df: DataFrame) -> DataFrame:
-    """Shares of rows with a point, a valid point, a looked-up point and a country; 0 if no rows."""
-    have = set(df.columns)
+RATES = ("coordinate_coverage", "valid_coordinates_rate", "geocoded_rate", "country_normalized_rate")
+
+
+def enrichment_counts(have: Sequence[str]) -> list[Column]:
+    """How many rows have what enrichment_rates is about, as aggregates `{rate}_rows`, for a table with these columns."""
     counted = {
         "coordinate_coverage": points.present(),
         "valid_coordinates_rate": F.col("coordinates_valid") if "coordinates_valid" in have else F.lit(False),
         "geocoded_rate": F.col("geocoded_source").isNotNull() if "geocoded_source" in have else F.lit(False),
         "country_normalized_rate": F.col("country_normalized").isNotNull(),
     }
-    counts = df.agg(
-        F.count(F.lit(1)).alias("total"),
-        *[rows_where(condition).alias(name) for name, condition in counted.items()],
-    )
-    return counts.select(
-        *[F.coalesce(ratio(name, "total"), F.lit(0.0)).alias(name) for name in counted]
-    )
+    return [rows_where(counted[name]).alias(f"{name}_rows") for name in RATES]
+
+
+def rates_of(counts: DataFrame, total: str) -> DataFrame:
+    return counts.select(*[F.coalesce(ratio(f"{name}_rows", total), F.lit(0.0)).alias(name) for name in RATES])
+
+
+def enrichment_rates(df: DataFrame) -> DataFrame:
+    """Shares of rows with a point, a valid point, a looked-up point and a country; 0 if no rows."""
+    return rates_of(df.agg(F.count(F.lit(1)).alias("total"), *enrichment_counts(df.columns)), "total")
 
 
 def silver_statistics(df: DataFrame, top: int = 10) -> DataFrame:

@@ -10,9 +10,11 @@ With nothing to consider a rule passes.
 """
 
 import logging
+from collections.abc import Callable
 from dataclasses import dataclass
 from typing import Any
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -263,20 +265,49 @@ def _judge(df: DataFrame, rule: Rule, i: int) -> Column:
     raise TypeError(f"unknown rule {rule!r}")
 
 
-def run_suite(df: DataFrame, suite: str, rules: list[Rule]) -> DataFrame:
-    """One row per rule. A rule on a column the table lacks is left out, with a warning."""
+def _usable(df: DataFrame, suite: str, rules: list[Rule]) -> list[Rule]:
+    """The rules whose column the table has; the others are named in a warning."""
     usable = []
     for rule in rules:
         if rule.column is not None and rule.column not in df.columns:
             log.warning("suite %s: no column %s, rule %s left out", suite, rule.column, rule.name)
         else:
             usable.append(rule)
+    return usable
+
+
+def row_measures(df: DataFrame, suite: str, rules: list[Rule]) -> list[Column]:
+    """Aggregates over the rows of a table that are all a suite of rules on single rows needs.
+
+    They can be observed while the table is written; judge_measured makes the
+    suite's result of them.
+    """
+    columns = [F.count(F.lit(1)).alias("_rows")]
+    for i, rule in enumerate(_usable(df, suite, rules)):
+        more, own = _parts(df, rule, i)
+        if own is not None:
+            raise ValueError(f"rule {rule.name} needs groups, not only rows")
+        columns += more
+    return columns
+
+
+def judge_measured(df: DataFrame, measured: DataFrame, suite: str, rules: list[Rule]) -> DataFrame:
+    """One row per rule, from the one row that row_measures gave; `df` tells the columns and is not read."""
+    return _judged(df, measured, suite, _usable(df, suite, rules))
+
+
+def run_suite(df: DataFrame, suite: str, rules: list[Rule]) -> DataFrame:
+    """One row per rule. A rule on a column the table lacks is left out, with a warning."""
+    usable = _usable(df, suite, rules)
     over_rows, own = [F.count(F.lit(1)).alias("_rows")], []
     for i, rule in enumerate(usable):
         columns, part = _parts(df, rule, i)
         over_rows += columns
         own += [part] if part is not None else []
-    measured = merge_parts([], df.agg(*over_rows), *own)
+    return _judged(df, merge_parts([], df.agg(*over_rows), *own), suite, usable)
+
+
+def _judged(df: DataFrame, measured: DataFrame, suite: str, usable: list[Rule]) -> DataFrame:
     verdicts = F.array(*[_judge(df, rule, i) for i, rule in enumerate(usable)])
     if not usable:
         verdicts = F.expr(
@@ -317,24 +348,24 @@ def failed_suite(spark: SparkSession, suite: str) -> DataFrame:
     )
 
 
-def summary_or_failure(results: DataFrame, suite: str) -> DataFrame:
-    """The suite's summary, computed now; that of a failed suite if it cannot be."""
-    summary = suite_summary(results)
+def summary_or_failure(spark: SparkSession, suite: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """The suite's summary, built and computed now; that of a failed suite if it cannot be, or has no rules."""
     try:
+        summary = suite_summary(build())
         rows = summary.collect()
-    except PySparkException as problem:
+    except (PySparkException, Py4JJavaError, ValueError, TypeError) as problem:
         log.error("suite %s could not run: %s", suite, problem)
-        return failed_suite(results.sparkSession, suite)
-    return results.sparkSession.createDataFrame(rows, summary.schema)
+        return failed_suite(spark, suite)
+    return spark.createDataFrame(rows, summary.schema) if rows else failed_suite(spark, suite)
 
 
 def combined_summary(summary: DataFrame) -> DataFrame:
-    """Several suites as one: how many tables passed and failed, success if all did."""
+    """Several suites as one: how many tables passed and failed, success if there are any and all did."""
     return summary.agg(
         F.count(F.lit(1)).alias("total_aggregations"),
         F.count_if(F.col("success")).alias("passed_aggregations"),
         F.count_if(~F.col("success")).alias("failed_aggregations"),
-        F.coalesce(F.bool_and("success"), F.lit(True)).alias("success"),
+        F.coalesce(F.bool_and("success"), F.lit(False)).alias("success"),
     )
 
 
@@ -372,13 +403,29 @@ def volume_anomaly(runs: DataFrame, at: str, count: str, limit: float = 0.20) ->
 # ---- the suites of the three layers -----------------------------------------
 
 
-def bronze_rules() -> list[Rule]:
+@dataclass(frozen=True)
+class Limits:
+    """What the suites hold counts against; the defaults are meant for some ten thousand listings."""
+
+    bronze_rows: tuple[int, int] = (5_000, 50_000)
+    silver_rows: tuple[int, int] = (5_000, 50_000)
+    #: Share of the landed rows that must be left in silver, where their number is known.
+    silver_kept: float = 0.95
+    gold_rows: tuple[int, int] = (1, 10_000)
+    #: Largest count of a group, where the number of curated rows is not known.
+    gold_count: int = 50_000
+
+
+LIMITS = Limits()
+
+
+def bronze_rules(limits: Limits = LIMITS) -> list[Rule]:
     return [
         Unique("id"),
         NotNull("id", 1.0),
         NotNull("name", 0.99),
         NotNull("brewery_type", 0.95),
-        RowCount(low=5_000, high=50_000),
+        RowCount(low=limits.bronze_rows[0], high=limits.bronze_rows[1]),
         InSet("brewery_type", 0.95, tuple(KNOWN_TYPES)),
         Between("latitude", 0.5, -90.0, 90.0),
         Between("longitude", 0.5, -180.0, 180.0),
@@ -390,11 +437,11 @@ def bronze_documented_rules() -> list[Rule]:
     return [ColumnsAre(expected=tuple(LISTING_COLUMNS))]
 
 
-def silver_rules(bronze_count: int | None = None) -> list[Rule]:
+def silver_rules(bronze_count: int | None = None, limits: Limits = LIMITS) -> list[Rule]:
     if bronze_count:
-        volume = RowCount(low=int(bronze_count * 0.95), high=bronze_count)
+        volume = RowCount(low=int(bronze_count * limits.silver_kept), high=bronze_count)
     else:
-        volume = RowCount(low=5_000, high=50_000)
+        volume = RowCount(low=limits.silver_rows[0], high=limits.silver_rows[1])
     return [
         volume,
         NotNull("country_normalized", 1.0),
@@ -409,7 +456,7 @@ def silver_documented_rules() -> list[Rule]:
 
 
 def gold_rules(
-    table: str, silver_count: int | None = None, expected_total: Any = None
+    table: str, silver_count: int | None = None, expected_total: Any = None, limits: Limits = LIMITS
 ) -> list[Rule]:
     """The rules of one reporting table; `expected_total` adds the check of its sum.
 
@@ -418,8 +465,8 @@ def gold_rules(
     if table == "breweries":
         return [RowCount(low=1, high=2**63 - 1)]
     rules: list[Rule] = [
-        RowCount(low=1, high=10_000),
-        Between("brewery_count", 1.0, 1, silver_count or 50_000),
+        RowCount(low=limits.gold_rows[0], high=limits.gold_rows[1]),
+        Between("brewery_count", 1.0, 1, silver_count or limits.gold_count),
     ]
     if table == "breweries_by_country":
         rules.append(Contains("country_normalized", "United States"))
@@ -432,23 +479,32 @@ def gold_rules(
     return rules
 
 
-def validate_bronze(df: DataFrame) -> DataFrame:
-    return run_suite(df, "bronze_quality_suite", bronze_rules())
+BRONZE_SUITE, SILVER_SUITE = "bronze_quality_suite", "silver_quality_suite"
+
+
+def validate_bronze(df: DataFrame, limits: Limits = LIMITS) -> DataFrame:
+    return run_suite(df, BRONZE_SUITE, bronze_rules(limits))
 
 
-def validate_silver(df: DataFrame, bronze_count: int | None = None) -> DataFrame:
-    return run_suite(df, "silver_quality_suite", silver_rules(bronze_count))
+def validate_silver(df: DataFrame, bronze_count: int | None = None, limits: Limits = LIMITS) -> DataFrame:
+    return run_suite(df, SILVER_SUITE, silver_rules(bronze_count, limits))
 
 
 def validate_gold(
-    tables: dict[str, DataFrame], silver_count: int | None = None, totals: dict[str, Any] | None = None
+    tables: dict[str, DataFrame],
+    silver_count: int | None = None,
+    totals: dict[str, Any] | None = None,
+    limits: Limits = LIMITS,
 ) -> DataFrame:
-    """The rules of every given table, one suite each."""
+    """The rules of every given table, one suite each; without tables no rows, which is no success."""
     results = None
     for name, table in tables.items():
-        rules = gold_rules(name, silver_count, (totals or {}).get(name))
+        rules = gold_rules(name, silver_count, (totals or {}).get(name), limits)
         one = run_suite(table, f"gold_{name}_suite", rules)
         results = one if results is None else results.unionByName(one)
+    if results is None:
+        spark = SparkSession.active()
+        results = run_suite(spark.range(0), "gold", [RowCount(low=0, high=0)]).where(F.lit(False))
     return results
 
 

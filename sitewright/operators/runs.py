@@ -14,6 +14,15 @@ RUN_TIME = "execution_timestamp"
 LOSS_LIMIT = 5.0
 SECONDS_PER_PAGE = 0.5
 LAYERS = ("bronze", "silver", "gold")
+# What a run may tell of its curated table and its lookup.
+QUALITY = (
+    "unique_ids", "null_names", "null_types", "null_countries", "null_states", "with_coordinates", "with_contact",
+    "complete_records", "completeness_rate", "coordinate_coverage", "contact_coverage",
+)
+LOOKUP = tuple(
+    f"lookup_{x}"
+    for x in ("before_with", "after_with", "new_coordinates", "attempted", "successful", "failed", "success_rate", "improvement_percent")
+)
 
 
 # ---- history ----------------------------------------------------------------
@@ -82,9 +91,13 @@ def run_report(layers: DataFrame, rates: DataFrame | None = None) -> DataFrame:
     gold_tables, gold_time; and for each layer {layer}_rules, {layer}_passed and
     {layer}_failed. The run succeeded when its three layers did; rules that
     failed are reported but do not fail it. `rates` is the one-row result of
-    enrichment_rates.
+    enrichment_rates; without it the rates are taken from rate_{name}. Rates,
+    QUALITY, LOOKUP, failed_stage and error may be missing.
     """
 
+    def maybe(name: str, kind: str) -> Column:
+        return (F.col(name) if name in layers.columns else F.lit(None)).cast(kind)
+
     def status(layer: str) -> Column:
         return F.coalesce(F.col(f"{layer}_status") == "success", F.lit(False))
 
@@ -101,7 +114,7 @@ def run_report(layers: DataFrame, rates: DataFrame | None = None) -> DataFrame:
     if rates is not None:
         enrichment = rates.select(F.struct(*names)).scalar()
     else:
-        enrichment = F.struct(*[F.lit(None).cast("double").alias(name) for name in names])
+        enrichment = F.struct(*[maybe(f"rate_{name}", "double").alias(name) for name in names])
     bronze_time = _or("pages_processed", 0) * F.lit(SECONDS_PER_PAGE)
     silver_time = _or("silver_time", 0.0).cast("double")
     gold_time = _or("gold_time", 0.0).cast("double")
@@ -124,30 +137,32 @@ def run_report(layers: DataFrame, rates: DataFrame | None = None) -> DataFrame:
         F.when(all_ok, "success").otherwise("failed").alias("status"),
         F.struct(*[status(layer).alias(layer) for layer in LAYERS]).alias("validations"),
         F.struct(
-            F.col("bronze_records").cast("long").alias("records_ingested"),
-            F.col("silver_records").cast("long").alias("records_transformed"),
-            F.col("gold_tables").cast("long").alias("aggregations_created"),
-            loss_rate("bronze_records", "silver_records").alias("data_loss_rate"),
+            _or("bronze_records", 0).cast("long").alias("records_ingested"),
+            _or("silver_records", 0).cast("long").alias("records_transformed"),
+            _or("gold_tables", 0).cast("long").alias("aggregations_created"),
+            loss_rate(_or("bronze_records", 0), _or("silver_records", 0)).alias("data_loss_rate"),
         ).alias("data_quality"),
         F.struct(
             *[rules_ok(layer).alias(f"{layer}_success") for layer in LAYERS],
             *[rules_rate(layer).alias(f"{layer}_success_rate") for layer in LAYERS],
         ).alias("rule_results"),
         F.struct(
-            F.col("bronze_records").alias("records"),
+            F.col("bronze_records").cast("long").alias("records"),
             F.col("bronze_path").alias("path"),
             rules_ok("bronze").alias("quality_success"),
         ).alias("bronze_layer"),
         F.struct(
-            F.col("silver_records").alias("records"),
-            F.col("silver_countries").alias("countries"),
-            F.col("silver_types").alias("types"),
+            F.col("silver_records").cast("long").alias("records"),
+            F.col("silver_countries").cast("long").alias("countries"),
+            F.col("silver_types").cast("long").alias("types"),
             F.col("silver_path").alias("path"),
             rules_ok("silver").alias("quality_success"),
             enrichment.alias("enrichment"),
+            F.struct(*[maybe(name, "double").alias(name) for name in QUALITY]).alias("quality"),
+            F.struct(*[maybe(name, "double").alias(name.removeprefix("lookup_")) for name in LOOKUP]).alias("lookup"),
         ).alias("silver_layer"),
         F.struct(
-            F.col("gold_tables").alias("aggregations"),
+            F.col("gold_tables").cast("long").alias("aggregations"),
             gold_time.alias("processing_time"),
             rules_ok("gold").alias("quality_success"),
         ).alias("gold_layer"),
@@ -162,6 +177,8 @@ def run_report(layers: DataFrame, rates: DataFrame | None = None) -> DataFrame:
             result("silver", "total_expectations", enrichment.alias("enrichment_stats")).alias("silver"),
             result("gold", "total_aggregations").alias("gold"),
         ).alias("validation_results"),
+        maybe("failed_stage", "string").alias("failed_stage"),
+        maybe("error", "string").alias("error"),
     )
 
 

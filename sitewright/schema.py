@@ -150,43 +150,71 @@ def _suite_result(total: str, *more: T.StructField) -> T.StructType:
     )
 
 
+def _struct(name: str, *parts: list[T.StructField]) -> T.StructField:
+    return T.StructField(name, T.StructType([field for part in parts for field in part]))
+
+
+_FLAG, _NUMBER = T.BooleanType(), T.DoubleType()
+
 RUN_SCHEMA = T.StructType(
     _fields("execution_timestamp execution_date dag_run_id status", _TEXT)
     + [
-        T.StructField("validations", T.StructType(_fields("bronze silver gold", T.BooleanType()))),
-        T.StructField(
+        _struct("validations", _fields("bronze silver gold", _FLAG)),
+        _struct(
             "data_quality",
-            T.StructType(
-                _fields("records_ingested records_transformed aggregations_created", _LONG)
-                + _fields("data_loss_rate", T.DoubleType())
-            ),
+            _fields("records_ingested records_transformed aggregations_created", _LONG),
+            _fields("data_loss_rate", _NUMBER),
         ),
-        T.StructField(
+        _struct(
+            "rule_results",
+            _fields("bronze_success silver_success gold_success", _FLAG),
+            _fields("bronze_success_rate silver_success_rate gold_success_rate", _NUMBER),
+        ),
+        _struct("bronze_layer", _fields("records", _LONG), _fields("path", _TEXT), _fields("quality_success", _FLAG)),
+        _struct(
+            "silver_layer",
+            _fields("records countries types", _LONG),
+            _fields("path", _TEXT),
+            _fields("quality_success", _FLAG),
+            [T.StructField("enrichment", _RATES)],
+            [
+                _struct(
+                    "quality",
+                    _fields(
+                        "unique_ids null_names null_types null_countries null_states with_coordinates with_contact"
+                        " complete_records completeness_rate coordinate_coverage contact_coverage",
+                        _NUMBER,
+                    ),
+                ),
+                _struct(
+                    "lookup",
+                    _fields(
+                        "before_with after_with new_coordinates attempted successful failed success_rate"
+                        " improvement_percent",
+                        _NUMBER,
+                    ),
+                ),
+            ],
+        ),
+        _struct(
+            "gold_layer", _fields("aggregations", _LONG), _fields("processing_time", _NUMBER), _fields("quality_success", _FLAG)
+        ),
+        _struct(
             "execution_times",
-            T.StructType(
-                _fields(
-                    "bronze_ingestion_time silver_transformation_time gold_aggregation_time"
-                    " total_pipeline_time",
-                    T.DoubleType(),
-                )
+            _fields(
+                "bronze_ingestion_time silver_transformation_time gold_aggregation_time total_pipeline_time", _NUMBER
             ),
         ),
-        T.StructField(
+        _struct(
             "validation_results",
-            T.StructType(
-                [
-                    T.StructField("bronze", _suite_result("total_expectations")),
-                    T.StructField(
-                        "silver",
-                        _suite_result(
-                            "total_expectations", T.StructField("enrichment_stats", _RATES)
-                        ),
-                    ),
-                    T.StructField("gold", _suite_result("total_aggregations")),
-                ]
-            ),
+            [
+                T.StructField("bronze", _suite_result("total_expectations")),
+                T.StructField("silver", _suite_result("total_expectations", T.StructField("enrichment_stats", _RATES))),
+                T.StructField("gold", _suite_result("total_aggregations")),
+            ],
         ),
     ]
+    + _fields("failed_stage error", _TEXT)
 )
 
 RETAINED_RUNS = 100

@@ -5,7 +5,7 @@ from typing import Any
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql.types import StructType
 
 from sitewright.operators.select import equal_to
@@ -22,17 +22,26 @@ log = logging.getLogger(__name__)
 
 
 def write_silver(
-    df: DataFrame, path: str, partition_by: list[str] | None = None, mode: str = "overwrite"
+    df: DataFrame,
+    path: str,
+    partition_by: list[str] | None = None,
+    mode: str = "overwrite",
+    observe: tuple[Observation, list[Column]] | None = None,
 ) -> str:
     """Write the curated listings, partitioned by country and state unless told otherwise.
 
     Rows are rebalanced on the partition columns: a small state becomes one
     file, and a state with much of the data is written by as many tasks as its
     size needs. The table is replaced when all is written (see versions);
-    `mode="append"` adds to what is there.
+    `mode="append"` adds to what is there. `observe` names aggregates to gather
+    while the rows go by, behind the shuffle, where a row of a task that is run
+    again counts once.
     """
     columns = partition_by or SILVER_PARTITIONS
-    _write(df.hint("rebalance", *columns), path, mode, columns)
+    rows = df.hint("rebalance", *columns)
+    if observe:
+        rows = rows.observe(observe[0], *observe[1])
+    _write(rows, path, mode, columns)
     return path
 
 

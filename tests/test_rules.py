@@ -140,11 +140,51 @@ def test_summaries(values):
 
 def test_a_suite_that_cannot_run_has_failed(values, caplog):
     df = values("a").selectExpr("raise_error('broken') AS v")
-    row = one(rules.summary_or_failure(rules.run_suite(df, "x", [rules.Unique("v")]), "x"))
-    assert (row["suite"], row["total_expectations"], row["success"]) == ("x", 0, False)
-    assert "broken" in caplog.text
-    fine = rules.summary_or_failure(rules.run_suite(values("a"), "x", [rules.Unique("v")]), "x")
-    assert one(fine)["success"]
+    spark = df.sparkSession
+
+    def of(build):
+        return one(rules.summary_or_failure(spark, "x", build))
+
+    # When it runs, when it is built, and for want of rules or tables.
+    for build in (
+        lambda: rules.run_suite(df, "x", [rules.Unique("v")]),
+        lambda: rules.run_suite(values("a").select("v").where("nothing = 1"), "x", [rules.Unique("v")]),
+        lambda: rules.validate_gold({}),
+    ):
+        row = of(build)
+        assert (row["suite"], row["total_expectations"], row["success"]) == ("x", 0, False)
+    assert "broken" in caplog.text and "nothing" in caplog.text
+    assert of(lambda: rules.run_suite(values("a"), "x", [rules.Unique("v")]))["success"]
+
+
+def test_no_tables_are_no_success(spark):
+    none = rules.validate_gold({})
+    assert none.columns == rules.COLUMNS and none.collect() == []
+    row = one(rules.combined_summary(rules.suite_summary(none)))
+    assert (row["total_aggregations"], row["success"]) == (0, False)
+
+
+def test_limits_can_be_given(spark, listings):
+    rows = listings(*[{"id": str(i), "name": "n", "brewery_type": "micro"} for i in range(30)])
+    volume = lambda df: one(df.where("rule = 'row_count'"))
+    assert not volume(rules.validate_bronze(rows))["success"]
+    fits = rules.Limits(bronze_rows=(10, 60_000_000), silver_rows=(1, 29), silver_kept=0.5, gold_rows=(1, 2), gold_count=9)
+    assert volume(rules.validate_bronze(rows, fits))["threshold"] == "10..60000000"
+    assert volume(rules.validate_bronze(rows, fits))["success"]
+    assert not volume(rules.validate_silver(rows, None, fits))["success"]
+    assert volume(rules.validate_silver(rows, 60, fits))["success"]
+    groups = spark.createDataFrame([("a", 5), ("b", 10), ("c", 1)], "brewery_type_normalized string, brewery_count long")
+    got = by(rules.validate_gold({"breweries_by_type_and_state": groups}, limits=fits), "rule")
+    assert not got["row_count"]["success"] and got["between"]["unexpected"] == 1
+
+
+def test_observed_measures_judge_like_a_suite(spark, listings):
+    rows = listings({"id": "1", "latitude": 1.0, "longitude": 2.0}, {"id": "2"})
+    suite = [rules.NotNull("id"), rules.PairPresent("latitude", 0.85, "longitude"), rules.RowCount(low=1, high=9), rules.NotNull("gone")]
+    measured = rows.agg(*rules.row_measures(rows, "s", suite))
+    assert rules.judge_measured(rows, measured, "s", suite).collect() == rules.run_suite(rows, "s", suite).collect()
+    with pytest.raises(ValueError, match="groups"):
+        rules.row_measures(rows, "s", [rules.Unique("id")])
 
 
 def test_volume_anomaly(spark):

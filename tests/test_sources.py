@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 from test_clean import COMPLETE, ENGLISH, PADDED
 
-from sitewright.operators import metrics, select
+from sitewright.operators import metrics, rules, select
 from sitewright.plans.curate import curated, transform_listings
 from sitewright.sources import keyed, landing, tables, versions
 from sitewright.streaming.incremental import incremental_gold, incremental_silver, read_incremental
@@ -220,22 +220,38 @@ def test_states_that_look_like_numbers_stay_text(spark, listings, tmp_path):
 
 def test_transform_reports_quality(spark, listings, tmp_path):
     path = str(tmp_path / "silver")
-    quality, coverage = transform_listings(spark, listings(COMPLETE, PADDED, ENGLISH), path, RUN_AT)
-    row = one(quality)
-    assert coverage is None
+    made = transform_listings(spark, listings(COMPLETE, PADDED, ENGLISH), path, RUN_AT)
+    row = one(made.quality)
+    assert made.coverage is None
+    # What was observed in the write is what the written table says.
+    silver = tables.read_silver(spark, path)
+    for name, value in one(metrics.silver_quality_metrics(silver)).asDict().items():
+        assert row[name] == value, name
+    assert (row["countries"], row["types"]) == (2, 2) or row["countries"] == 2
+    assert one(made.rates) == one(metrics.enrichment_rates(silver))
+    assert made.rules.collect() == rules.validate_silver(silver).collect()
     assert (row["total_records"], row["unique_ids"], row["complete_records"]) == (3, 3, 1)
     assert row["coordinate_coverage"] == 66.67
     by_city = spark.createDataFrame(
         [("Boise, United States", 43.6, -116.2)], "key string, latitude double, longitude double"
     )
-    quality, coverage = transform_listings(
+    made = transform_listings(
         spark, listings(COMPLETE, PADDED, ENGLISH), path, RUN_AT, (by_city.limit(0), by_city)
     )
-    assert one(quality)["with_coordinates"] == 3
-    assert (one(coverage)["before_with"], one(coverage)["after_with"]) == (2, 3)
+    assert one(made.quality)["with_coordinates"] == 3
+    assert (one(made.coverage)["before_with"], one(made.coverage)["after_with"]) == (2, 3)
     assert by(tables.read_silver(spark, path), "id")["n-18"]["coordinates_valid"]
 
 
+def test_one_row_per_id_if_asked_for(spark, listings, tmp_path):
+    path = str(tmp_path / "silver")
+    twice = listings(COMPLETE, {**COMPLETE, "latitude": None, "longitude": None, "name": "A"}, PADDED, {"name": "no id"}, {"name": "no id"})
+    made = transform_listings(spark, twice, path, RUN_AT, unique_ids=True)
+    assert one(made.quality)["total_records"] == 4
+    kept = tables.read_silver(spark, path).where("id = 'n-17'")
+    assert one(kept)["is_complete"]
+
+
 def test_csv_has_a_header(spark, listings, tmp_path):
     path = str(tmp_path / "csv")
     quoted = {**COMPLETE, "name": 'The "Best", Inc'}
