@@ -195,7 +195,9 @@ def rare_pairs(
         return df.select("v", slot.alias("slot"), *[F.col(c).alias(name) for c, name in names.items()])
 
     left = side(rows.where("short"), "a", F.pmod(F.xxhash64("h"), F.col("slots")).cast("int"))
-    right = side(rows, "b", F.explode(F.sequence(F.lit(0), F.col("slots") - 1)))
+    # Nearly all shingles have one slot; only rows of the others are copied.
+    right = side(rows.where("slots = 1"), "b", F.lit(0))
+    right = right.unionByName(side(rows.where("slots > 1"), "b", F.explode(F.sequence(F.lit(0), F.col("slots") - 1))))
     shared = _shared("n_a", "n_b", similarity)
     fits = (F.col("root_a") != F.col("root_b")) & (F.col("n_a") <= F.col("n_b")) & (F.col("n_a") >= F.col("n_b") * similarity - 1e-6)
     fits = fits & (F.col("n_a") - F.col("at_a") >= shared) & (F.col("n_b") - F.col("at_b") >= shared) & _agree("a", "b")

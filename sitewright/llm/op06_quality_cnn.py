@@ -193,6 +193,9 @@ def sample(docs: DataFrame, labels: DataFrame, target: str = "quality", most: in
     known = known.groupBy(F.col("doc_id").alias("_id")).agg(F.min(target).cast("int").alias("_label"))
     picked = F.broadcast(known.orderBy(F.xxhash64("_id"), "_id").limit(most))  # bounded by `most`
     rows = docs.select("doc_id", "text").join(picked, F.col("doc_id") == F.col("_id")).select("doc_id", "text", "_label")
+    # Of an id that repeats one text, so that no more than `most` come to the driver. Only hashes are grouped.
+    prints = rows.groupBy("doc_id").agg(F.min(F.xxhash64("text")).alias("_print"))
+    rows = rows.join(F.broadcast(prints), "doc_id").where(F.xxhash64("text") == F.col("_print")).select("doc_id", "text", "_label")
 
     def make():
         def work(batch):
@@ -208,9 +211,11 @@ def sample(docs: DataFrame, labels: DataFrame, target: str = "quality", most: in
 
         return work
 
-    found = map_texts(rows, make, "doc_id long, pieces array<binary>, label int").collect()
-    found.sort(key=lambda r: (r["doc_id"], r["pieces"]))
-    return [([bytes(p) for p in r["pieces"]], r["label"]) for r in found[:most]]
+    found = map_texts(rows, make, "doc_id long, pieces array<binary>, label int")
+    # Equal rows are left, which are one.
+    found = found.groupBy("doc_id").agg(F.first("pieces").alias("pieces"), F.first("label").alias("label")).collect()
+    found.sort(key=lambda r: r["doc_id"])
+    return [([bytes(p) for p in r["pieces"]], r["label"]) for r in found]
 
 
 def score(docs: DataFrame, net: Net) -> DataFrame:

@@ -1,7 +1,9 @@
 """Secret scans: long tokens as candidates, false positives removed by a random forest.
 
 A candidate is a run of at least MIN_LENGTH letters, digits, `+/_-` and closing
-`=`. Splitting the text at its candidates gives what stands between them, and so
+`=`, or, where a secret word and an assignment stand before it, a run of at least
+MIN_ASSIGNED characters up to white space, a quote, a bracket, `,` or `;`. A shorter
+value, one that holds such a character, and a short one that nothing names are lost. Splitting the text at its candidates gives what stands between them, and so
 each candidate's neighbours, in linear time and without positions. Features are
 its length, its changes between kinds of characters, how much of it words of the
 corpus cover, signs of a path, and the words beside it. The forest is trained on
@@ -12,8 +14,9 @@ The corpus's DICTIONARY most frequent words are counted over all texts. Findings
 learn from are any table of `candidate, before, behind, is_secret`. Where there
 is none, `labelled_findings` labels candidates of the corpus by the formats of
 known kinds of secrets, and adds the same strings in harmless places (commits,
-checksums, paths) and harmless words in the places of secrets; at most
-FINDINGS rows of each kind are taken, by their hashes.
+checksums, paths), short strings cut from them and words with digits and signs in the
+places of secrets, and harmless words there; at most FINDINGS rows of each kind are taken, by their hashes. So without
+findings of one's own the forest spreads what the formats know, no more.
 
 Defined results: null and empty texts have no candidates; every row of the input
 is a row of the result; without findings of both kinds there is no forest and
@@ -22,6 +25,7 @@ are left as they are.
 """
 
 import re
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.ml.classification import RandomForestClassifier
@@ -33,7 +37,11 @@ from sitewright.sources.files import staged
 
 MIN_LENGTH = 16
 _RUN = r"\p{L}\p{N}+/_\-"
-CANDIDATE = rf"(?<![{_RUN}])[{_RUN}]{{{MIN_LENGTH},}}+=*"
+#: What is assigned to something that a secret word names may be shorter and hold other characters.
+MIN_ASSIGNED = 6
+_NAMED = r"""(?i:pass(?:word|wd|phrase)?|pwd|secret|token|credentials?|auth|bearer|key)["']?\s?[=:]\s?["']?"""
+_ASSIGNED = rf"""(?<=[=:]\s?["']?)(?<={_NAMED})[^\s"'`,;<>(){{}}\[\]]{{{MIN_ASSIGNED},}}+"""
+CANDIDATE = rf"{_ASSIGNED}|(?<![{_RUN}])[{_RUN}]{{{MIN_LENGTH},}}+=*"
 NEAR = 40  # characters of text beside a candidate that are looked at
 DICTIONARY, FINDINGS = 300, 4_000
 TREES, DEPTH, SEED = 12, 6, 11
@@ -46,7 +54,7 @@ HARMLESS_WORDS = r"(?i)(commit|sha-?[0-9]*|md5|checksum|digest|hash|revision|uui
 KNOWN_FORMATS = (
     (r"^AKIA[0-9A-Z]{16}$", r""),
     (r"^(gh[pousr]_[0-9A-Za-z]{36}|sk-[0-9A-Za-z]{20,}|xox[abp]-[0-9A-Za-z-]{10,}|AIza[0-9A-Za-z_-]{35})$", r""),
-    (r"^(?=.*[0-9])(?=.*[a-zA-Z])[0-9A-Za-z+/_-]{16,}=*$", SECRET_WORDS + r"""\s?[=:]\s?["']?$"""),
+    (r"^(?=.*[0-9])(?=.*[a-zA-Z])\S{8,}$", SECRET_WORDS + r"""\s?[=:]\s?["']?$"""),
 )
 
 
@@ -108,8 +116,14 @@ def all_candidates(docs: DataFrame) -> DataFrame:
     )
 
 
-def labelled_findings(docs: DataFrame, most: int = FINDINGS) -> DataFrame:
-    """candidate, before, behind, is_secret (see the module's text)."""
+def secret_places() -> Column:
+    """What stands beside a value that is named a secret."""
+    places = (("password=", " "), ('token = "', '"'), ("secret: ", "\n"))
+    return F.array(*[F.struct(F.lit(b).alias("before"), F.lit(a).alias("behind")) for b, a in places])
+
+
+def labelled_findings(docs: DataFrame, most: int = FINDINGS, frequent: Sequence[str] = ()) -> DataFrame:
+    """candidate, before, behind, is_secret (see the module's text); `frequent` are words of the corpus."""
     own = F.col("candidate")
     known = reduce(lambda a, b: a | b, (own.rlike(c) & F.col("before").rlike(b) for c, b in KNOWN_FORMATS))
     marked = all_candidates(docs).withColumn("is_secret", known.cast("int"))
@@ -128,13 +142,26 @@ def labelled_findings(docs: DataFrame, most: int = FINDINGS) -> DataFrame:
     )
     moved = some.where("is_secret = 1").select("candidate", F.explode(harmless).alias("p"))
     moved = moved.select("candidate", "p.before", "p.behind", F.lit(0).alias("is_secret"))
-    secret = F.array(
-        *[F.struct(F.lit(b).alias("before"), F.lit(a).alias("behind")) for b, a in (("password=", " "), ('token = "', '"'))]
-    )
+    # Short ones of the same characters: a secret where a secret word names them, and none elsewhere.
+    size = 6 + F.pmod(F.xxhash64("candidate"), F.lit(7)).cast("int")
+    cut = F.concat(F.substring("candidate", 1, 4), F.element_at(F.array(*map(F.lit, ("!", "$", "", "_", "@"))), 1 + size % 5), F.substring(own, F.lit(5), size - 4))
+    short = some.where("is_secret = 1").select(cut.alias("candidate"))
+    short = short.where(F.col("candidate").rlike(r"\p{N}")).select("candidate", F.explode(secret_places()).alias("p"))
+    short = short.select("candidate", "p.before", "p.behind", F.lit(1).alias("is_secret"))
+    some = some.unionByName(short)
     words = some.where(F.col("is_secret") == 0).where(~own.rlike(r"\p{N}")).limit(most)
-    words = words.select("candidate", F.explode(secret).alias("p"))
+    words = words.select("candidate", F.explode(secret_places()).alias("p"))
     words = words.select("candidate", "p.before", "p.behind", F.lit(0).alias("is_secret"))
-    return some.unionByName(moved).unionByName(words)
+    names = [*frequent, *(f"{a}{'-_.'[i % 3]}{b}" for i, (a, b) in enumerate(zip(frequent, frequent[1:])))]
+    # And words that are none of the corpus's frequent ones.
+    names += [f"{a[::-1]}{b[:2]}" for a, b in zip(frequent, frequent[1:])] + [f"{a[:3]}{b[-4:]}" for a, b in zip(frequent, frequent[1:])]
+    plain = [(w, 0) for w in names if len(w) >= MIN_ASSIGNED]
+    # Words with digits and signs in them are what people choose.
+    chosen = [f"{a[:4]}{i % 90 + 10}{'!$@_.%'[i % 6]}{(b[:5].upper(), b[:3], '')[i % 3]}" for i, (a, b) in enumerate(zip(frequent, frequent[1:]))]
+    plain = docs.sparkSession.createDataFrame(plain + [(w, 1) for w in chosen if len(w) >= MIN_ASSIGNED], "candidate string, is_secret int")
+    plain = plain.select("candidate", F.explode(secret_places()).alias("p"), "is_secret")
+    plain = plain.select("candidate", "p.before", "p.behind", "is_secret")
+    return some.unionByName(moved).unionByName(words).unionByName(plain)
 
 
 def train(findings: DataFrame, words: list[str]) -> list[str]:
@@ -190,7 +217,7 @@ def scanned(docs: DataFrame, trees: list[str], words: list[str]) -> DataFrame:
 def prepared(docs: DataFrame, findings: DataFrame | None = None) -> tuple[list[str], list[str]]:
     """The forest and the dictionary for a corpus."""
     words = frequent_words(docs)
-    return train(labelled_findings(docs) if findings is None else findings, words), words
+    return train(labelled_findings(docs, frequent=words) if findings is None else findings, words), words
 
 
 def scan(docs: DataFrame, findings: DataFrame | None = None) -> DataFrame:

@@ -56,7 +56,7 @@ def test_fingerprints_and_groups(odd):
     group = {r.doc_id: r.component_id for r in rows if r.doc_id}
     assert group[1] == group[2] == group[3] == 1 and group[4] == group[5] == 4 and group[7] == 7
     assert op01_simhash.near_duplicates(odd.limit(0)).collect() == []
-    kept = op01_simhash.representatives(odd)
+    kept = op01_simhash.representatives(odd, op01_simhash.near_duplicates(odd))
     assert kept.columns == odd.columns and {1, 4, 7, 8} <= {r.doc_id for r in kept.collect()}
 
 
@@ -79,6 +79,41 @@ def test_no_link_between_fingerprints_is_lost(spark, hot):
     assert union(len(fps), [(at[r.a], at[r.b]) for r in links]) == union(len(fps), near)
 
 
+def five_word_similarity(a, b):
+    a, b = ({tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} for w in (a.split(), b.split()))
+    return len(a & b) / len(a | b)
+
+
+def test_near_copies_at_eight_tenths(documents):
+    """Of texts at similarities of 0.8 and more at least nine in ten are caught; others stay."""
+    rng, docs, near, far = random.Random(3), [], set(), 0
+    for k in range(150):
+        words = prose(3000 + k, rng.choice([120, 200, 400]))
+        other = list(words)
+        edits = rng.choice([1, 2, 3, 4]) * len(words) // 200 or 1
+        for at in rng.sample(range(5, len(words) - 5), edits if k % 5 else len(words) // 12):
+            other[at] = rng.choice(["x1", "y2", "z3"])
+        docs += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(other).upper() if k % 7 == 0 else " ".join(other))]
+        if five_word_similarity(docs[-2][1].lower(), docs[-1][1].lower()) >= 0.8:
+            near.add(2 * k)
+        else:
+            far += 1
+    got = {r.doc_id: r.component_id for r in op01_simhash.near_copies(documents(*docs)).collect()}
+    caught = {i for i in range(0, 300, 2) if got[i + 1] == i}
+    assert len(near) > 80 and far > 20
+    assert caught <= near and len(caught) >= 0.9 * len(near)
+    assert all(got[i] in (i, i - 1) for i in got)
+
+
+def test_near_copies_of_odd_rows(odd):
+    out = op01_simhash.representatives(odd)
+    assert out.columns == odd.columns
+    ids = sorted(str(r.doc_id) for r in out.collect())
+    # 1, 2 and 3 have no words, 4 to 6 are near copies, one with and one without an id.
+    assert ids == sorted(map(str, [1, 4, 7, 8, 9, 10, 11]))
+    assert op01_simhash.representatives(odd.limit(0)).collect() == []
+
+
 def plain_removed(docs):
     places = [(i, n, line.strip(" ")) for i, text in docs for n, line in enumerate((text or "").split("\n")) if line.strip(" ")]
     lines = sorted({p[2] for p in places})
@@ -260,7 +295,7 @@ def test_pipeline(spark):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     assert [len(corpus_pipeline.STAGES), corpus_pipeline.ORACLE_SQL] == [5, None]
     out = corpus_pipeline.run(spark, sf_dir)
-    assert {"doc_id", "piece", "sequence_id", "offset"} <= set(out.columns)
+    assert {"doc_id", "piece", "sequence_id", "offset", "ids"} <= set(out.columns)
     ids = {r.doc_id for r in out.select("doc_id").distinct().collect()}
     assert 100 < len(ids) < docs.count()
     labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{sf_dir}/labels.parquet").collect()}

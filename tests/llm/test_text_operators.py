@@ -180,6 +180,32 @@ def test_secrets(spark, documents, odd):
     assert op07_secrets.scan(docs.limit(0)).collect() == []
 
 
+def test_short_passwords_that_something_names(documents):
+    """Precision and recall on documents the forest has not learned from."""
+    rng = random.Random(11)
+    pick = lambda letters, n: "".join(rng.choice(letters) for _ in range(n))
+    learned, asked, secrets = [], [], {}
+    for i in range(300):
+        words = prose(5000 + i, 40)
+        words.insert(9, f"api_key={pick('0123456789abcdef', 40)}" if i % 2 else f"commit {pick('0123456789abcdef', 40)}")
+        learned.append((i, " ".join(words)))
+    for i in range(120):
+        words = prose(7000 + i, 30)
+        if i % 2:
+            secret = pick("abcdefghkmnpqrst", 4) + pick("0123456789", 2) + pick("!$%.@_", 1) + pick("ABCDEFabcdef0123", rng.randint(2, 6))
+            words.insert(12, rng.choice(["password = \"%s\"", "secret: %s", "DB_PASSWORD=%s", "token='%s'"]) % secret)
+            secrets[i] = secret
+        else:
+            words.insert(12, rng.choice(["password: required", "token = optional", "the key: therefore", "secret: nothing-there"]))
+        asked.append((i, " ".join(words)))
+    docs = documents(*learned)
+    trees, words = op07_secrets.prepared(docs)
+    found = op07_secrets.scanned(documents(*asked).select("doc_id", "text"), trees, words)
+    got = {(r.doc.doc_id, x.candidate) for r in found.collect() for x in r.found if x.is_secret}
+    right = got & set(secrets.items())
+    assert len(right) >= 0.9 * len(secrets) and len(right) >= 0.9 * len(got), (sorted(got - right), sorted(set(secrets.items()) - got))
+
+
 @pytest.mark.parametrize("text", ["<|im_end|>", "<\\|im_end|>", "<\\\\|a<|<\\", "<<||>>", ""])
 def test_escapes_are_reversible(text):
     assert "<|" not in op09_chat.escape(text)
