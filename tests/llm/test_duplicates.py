@@ -272,6 +272,25 @@ def test_passages(documents):
     assert op08_passages.repeated_passages(documents((1, None)).limit(0)).collect() == []
 
 
+@pytest.mark.parametrize("where", ["behind", "before", "both"])
+def test_longer_passages_in_common_boilerplate(documents, where):
+    """A hundred texts share 45 words, too few; two of them share six more, in each of several trials."""
+    rows, pairs = [], {}
+    for trial in range(6):
+        common, more = prose(9000 + trial, 45), prose(9100 + trial, 6)
+        texts = [[prose(trial * 1000 + i, 20), common, prose(trial * 1000 + 500 + i, 25)] for i in range(100)]
+        for i in (17, 71):
+            before, own, behind = texts[i]
+            ahead = {"behind": 0, "before": 6, "both": 3}[where]
+            texts[i] = [before, [*more[:ahead], *own, *more[ahead:]], behind]
+        rows += [(1000 * trial + i, " ".join(w for part in text for w in part)) for i, text in enumerate(texts)]
+        pairs[trial] = {1000 * trial + 17, 1000 * trial + 71}
+    got = {}
+    for r in op08_passages.repeated_passages(documents(*rows)).collect():
+        got.setdefault(r.class_id, set()).add(r.doc_id)
+    assert sorted(map(sorted, got.values())) == sorted(map(sorted, pairs.values()))
+
+
 def test_passages_that_repeat_each_other_are_a_class(documents):
     one, two = prose(70, 90), prose(71, 90)
     rows = [(i, " ".join([*prose(800 + i, 20 + i), *one, *prose(850 + i, 30)])) for i in range(1, 9)]
