@@ -30,6 +30,8 @@ QUERY_NAMES = [
     "gold_by_type", "gold_by_country", "gold_by_state", "gold_by_type_and_country",
     "gold_by_type_and_state", "gold_summary", "density_grid", "top_cities", "state_coverage",
     "profile_table", "validate_bronze", "validate_silver", "volume_anomaly", "run_history_flat",
+    "page_slice", "lookup_capped", "lookup_coordinates", "header_metrics", "country_share", "validate_gold",
+    "validation_summary", "gold_build_report",
 ]
 
 
