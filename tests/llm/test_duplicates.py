@@ -12,7 +12,7 @@ import corpus_pipeline
 from sitewright.llm import op01_simhash, op04_lines, op08_passages
 from sitewright.llm.common import Scratch
 from sitewright.llm.components import components
-from sitewright.sources.files import names, shared_folder
+from sitewright.sources.files import names, shared_folder, staged
 
 from llm.conftest import prose
 
@@ -319,3 +319,19 @@ def test_pipeline(spark):
     assert 100 < len(ids) < docs.count()
     labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{sf_dir}/labels.parquet").collect()}
     assert sum(labels.get(i) == 0 for i in ids) <= 2
+
+
+@pytest.mark.parametrize("rows", ["odd", "none"])
+def test_pipeline_of_odd_tables(spark, odd, tmp_path, rows):
+    """Null and empty texts, repeated rows and ids, clashing columns, labels that say nothing, and no rows at all."""
+    docs = odd if rows == "odd" else odd.limit(0)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    labels = spark.createDataFrame([(4, 1, 0, "x"), (None, 0, 0, "y"), (9, None, None, "z")], "doc_id long, quality int, toxic int, text string")
+    (labels if rows == "odd" else labels.limit(0)).write.parquet(f"{tmp_path}/labels.parquet")
+    frame = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        frame = staged(stage(spark, frame, str(tmp_path)), name)
+        assert frame.columns == docs.columns
+    out = corpus_pipeline.STAGES[-1][1](spark, frame, str(tmp_path))
+    assert {"doc_id", "piece", "start", "length", "ids", "sequence_id", "offset"} <= set(out.columns)
+    assert (out.count() == 0) == (rows == "none")
