@@ -8,16 +8,24 @@ compact window matters if it can hold a passage of LEAST words; these nodes are
 the distinct minima of a window of that length that slides over the text, which
 gives them and their intervals in linear time, without the rest of the tree.
 
-Windows meet by min-hash in a stream, sorted by what follows the shingle they share, or,
-under every other function, by what goes before it: LEVELS blocks of two shingles, a byte each,
-from the shingle outwards. So of all texts that have it the ones with the longest common passage on that
-side stand next to each other, as in an array of suffixes. Each window is linked with the one before it,
-and with the group's first, and never with all others. A passage that many texts share hides
-no longer one that a few of them share beyond it: these are neighbours. The links of two texts are joined by overlap: where windows of at least
-ENOUGH of the HASHES functions overlap in both texts, there is a candidate. It is
-verified on the texts' words: a passage is a stretch of LEAST words or more of
-which the shared shingles make up 80 %, and whose Jaccard similarity with the other
-text's stretch is 0.8 or more.
+Windows meet by min-hash in two rounds. In the first they are a stream, sorted by a
+code of what follows the shingle they share, or, under every other function, of what
+goes before it; each window is linked with the one before it and with the group's
+first. Links of two texts are joined by overlap: where windows of at least ENOUGH of
+the HASHES functions overlap in both texts, there is a candidate. It is verified on
+the texts' words: a passage is a stretch of LEAST words or more of which the shared
+shingles make up 80 %, and whose Jaccard similarity with the other text's stretch is
+0.8 or more. Passages that were verified against each other are a class.
+
+The second round takes all that the first left out, once with one partner for each window, so that
+copies come into one class, and then with all: in every group, all pairs of windows
+that are not in passages of one class are compared, in blocks of a code of one byte for each
+shingle within reach of the shared one. Of 46 shingles of a stretch that is similar, 41 at least are shared,
+in the same order and moved by SHIFT places at most; pairs whose codes hold no such 46 places are
+no passages. All others are verified, whether a second function links them or not. Windows of one
+class are never compared, so that copies of a passage make no pairs of pairs; groups of
+more than HOT windows are dealt over slots. The comparisons are quadratic in the
+windows of a group that are in no common class, the links are not.
 
 Texts are named by a 64-bit hash, so that copies are one text; a task deals a
 text's windows once, however many copies it has. A text with several documents is
@@ -36,14 +44,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sitewright.llm.common import WORD, map_texts
+from sitewright.llm.common import WORD, Scratch, map_texts
 from sitewright.llm.components import components
 from sitewright.sources.files import staged
 
 SHINGLE, LEAST, SIMILARITY = 5, 50, 0.8
 HASHES, ENOUGH = 5, 2
-#: Blocks of two shingles on one side of a window's shingle, by which windows are sorted.
-LEVELS = 22
+#: Shingles in one step of the code by which windows are sorted, and the number of steps, a byte each.
+STEP, STEPS = 11, 4
+#: Places by which a stretch of least length moves where words were put in or left out.
+SHIFT = 2
+#: Windows of one group in one slot, and pairs compared at a time.
+HOT, PAIRS = 2048, 50_000
 #: Distinct words whose hashes a worker keeps.
 WORDS = 500_000
 
@@ -130,21 +142,19 @@ def compact_windows(values: np.ndarray, sizes: np.ndarray, least: int) -> tuple[
     return starts[change], centre, starts[last] + least - 1
 
 
-def contexts(own: np.ndarray, c: np.ndarray, low: np.ndarray, high: np.ndarray, after: bool) -> pa.Array:
-    """One byte for each of LEVELS blocks of two shingles after the places c, or before them; none beyond low or high - 1."""
-    block = (own[:-1] * _ODD[0]) ^ (own[1:] * _ODD[1])
-    block ^= block >> np.uint64(29)
-    codes = ((block * _ODD[2]) >> np.uint64(56)).astype(np.uint8) | np.uint8(1)
-    steps = np.arange(LEVELS) * 2
-    at = c[:, None] + (1 + steps if after else -2 - steps)
-    within = (at >= low[:, None]) & (at + 1 < high[:, None])
-    out = np.where(within, codes[np.clip(at, 0, max(0, len(codes) - 1))] if len(codes) else np.uint8(0), np.uint8(0))
-    offsets = np.arange(0, (len(c) + 1) * LEVELS, LEVELS, dtype=np.int32)
-    return pa.Array.from_buffers(pa.binary(), len(c), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(out.astype(np.uint8).tobytes())])
+def order_codes(own: np.ndarray, c: np.ndarray, low: np.ndarray, high: np.ndarray, after: bool) -> np.ndarray:
+    """A number for what is after the places c, or before them: places with more in common there have more leading bytes in common."""
+    total = np.concatenate([[np.uint64(0)], np.cumsum(mixed(own, HASHES), dtype=np.uint64)])
+    out = np.zeros(len(c), dtype=np.int64)
+    for k in range(1, STEPS + 1):
+        x, y = (c + 1, np.minimum(c + 1 + k * STEP, high)) if after else (np.maximum(c - k * STEP, low), c)
+        part = (total[y] - total[x]) * _ODD[1]
+        out = (out << 8) | (part >> np.uint64(56)).astype(np.int64)
+    return out - (1 << 31)
 
 
 def windows(docs: DataFrame, hashes: int = HASHES, least: int = LEAST) -> DataFrame:
-    """key (min-hash, with its function's number below), print, l, c, r and beside (see contexts) of all compact windows."""
+    """key (min-hash, with its function's number below), print, l, c, r and beside (see order_codes) of all compact windows."""
     span = least - SHINGLE + 1
 
     def make():
@@ -167,8 +177,7 @@ def windows(docs: DataFrame, hashes: int = HASHES, least: int = LEAST) -> DataFr
             own = shingles_of(word_hashes(words))[within]
             sizes = sizes - SHINGLE + 1
             offsets = np.cumsum(sizes) - sizes
-            columns: list[list[np.ndarray]] = [[], [], [], [], []]
-            beside: list[pa.Array] = []
+            columns: list[list[np.ndarray]] = [[], [], [], [], [], []]
             for j in range(hashes if prints else 0):
                 values = mixed(own, j)
                 l, c, r = compact_windows(values, sizes, span)
@@ -176,55 +185,211 @@ def windows(docs: DataFrame, hashes: int = HASHES, least: int = LEAST) -> DataFr
                 text = np.searchsorted(offsets, c, side="right") - 1
                 base = offsets[text]
                 names = np.array(prints, dtype=np.int64)[text]
-                for column, x in zip(columns, (key.view(np.int64), names, l - base, c - base, r - base)):
+                beside = order_codes(own, c, base, base + sizes[text], after=j % 2 == 0)
+                for column, x in zip(columns, (key.view(np.int64), names, l - base, c - base, r - base, beside)):
                     column.append(x)
-                beside.append(contexts(own, c, base, base + sizes[text], after=j % 2 == 0))
-            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32())
+            kinds = (pa.int64(), pa.int64(), *[pa.int32()] * 4)
             arrays = [pa.array(np.concatenate(c) if c else [], k) for c, k in zip(columns, kinds)]
-            arrays.append(pa.concat_arrays(beside) if beside else pa.array([], pa.binary()))
             return pa.record_batch(arrays, ["key", "print", "l", "c", "r", "beside"])
 
         return work
 
     rows = docs.where(F.col("text").isNotNull()).select(F.xxhash64("text").alias("print"), "text")
-    return map_texts(rows, make, "key long, print long, l int, c int, r int, beside binary")
+    return map_texts(rows, make, "key long, print long, l int, c int, r int, beside int")
 
 
 LINKS = "a long, b long, j int, al int, ar int, bl int, br int"
+MET = "key long, print long, l int, c int, r int, first long, first_l int, first_r int, last long, last_l int, last_r int"
+
 
+def met(found: DataFrame) -> DataFrame:
+    """The windows (key, print, l, c, r) of groups of two texts or more, with the group's first and the one before the text's.
 
-def linked(found: DataFrame) -> DataFrame:
-    """Links of texts that share a min-hash, from windows (key, print, l, c, r) sorted by key and what is beside them."""
+    Rows are sorted by key and what is beside them. Of the first text, both are the window itself.
+    """
 
     def run(batches):
-        carry = None  # the key's first window and the last one of its last text
-        for batch in batches:
-            if not batch.num_rows:
+        carry, told = np.zeros((5, 0), dtype=np.int64), 0  # the last key's rows so far, or its first and last if it is told
+        for batch in _with_end(batches):
+            rows = carry
+            if batch is not None:
+                if not batch.num_rows:
+                    continue
+                rows = np.hstack([carry, np.stack([c.to_numpy(zero_copy_only=False).astype(np.int64) for c in batch.columns])])
+            n = rows.shape[1]
+            if not n:
                 continue
-            rows = np.stack([c.to_numpy(zero_copy_only=False).astype(np.int64) for c in batch.columns])
-            if carry is not None:
-                rows = np.hstack([carry, rows])
             key, text = rows[0], rows[1]
-            n = len(key)
             new_key = np.append(True, key[1:] != key[:-1])
-            new_text = new_key | np.append(True, text[1:] != text[:-1])
-            first = np.maximum.accumulate(np.where(new_key, np.arange(n), 0))
-            fresh = np.arange(n) >= (0 if carry is None else carry.shape[1])
-            own = np.flatnonzero((text[first] != text) & fresh)
-            # The window before the text's own run; its first row speaks for the run.
-            run_start = np.flatnonzero(new_text & ~new_key & fresh)
-            before = run_start - 1
-            other = before != first[run_start]
-            a = np.concatenate([own, run_start[other]])
-            b = np.concatenate([first[own], before[other]])
-            swap = text[a] < text[b]  # a pair has one order, whichever function finds it
-            a, b = np.where(swap, b, a), np.where(swap, a, b)
-            columns = (text[a], text[b], key[a] & 7, rows[2][a], rows[4][a], rows[2][b], rows[4][b])
-            kinds = (pa.int64(), pa.int64(), *[pa.int32()] * 5)
-            yield pa.record_batch([pa.array(x, k) for x, k in zip(columns, kinds)], ["a", "b", "j", "al", "ar", "bl", "br"])
-            carry = rows[:, sorted({int(first[-1]), n - 1})]
-
-    return found.mapInArrow(run, LINKS)
+            starts = np.flatnonzero(new_key)
+            first = starts[np.cumsum(new_key) - 1]
+            several = np.logical_or.reduceat(text != text[first], starts)[np.cumsum(new_key) - 1]
+            if told:
+                several |= key == key[0]
+            # The window before the text's own run; its last row speaks for the run.
+            run_start = np.flatnonzero(new_key | np.append(True, text[1:] != text[:-1]))
+            run = np.repeat(run_start, np.diff(np.append(run_start, n)))
+            before = np.where(run > first, run - 1, first)
+            out = np.flatnonzero(several & (np.arange(n) >= told))
+            columns = [*rows[:, out], *rows[[1, 2, 4]][:, first[out]], *rows[[1, 2, 4]][:, before[out]]]
+            kinds = [pa.int64(), pa.int64(), *[pa.int32()] * 3, *[pa.int64(), pa.int32(), pa.int32()] * 2]
+            names = [x.split()[0] for x in MET.split(", ")]
+            yield pa.record_batch([pa.array(x, k) for x, k in zip(columns, kinds)], names)
+            if several[-1]:
+                ends = sorted({int(first[-1]), n - 1})
+                carry, told = rows[:, ends], len(ends)
+            else:
+                carry, told = rows[:, first[-1] :], 0
+
+    return found.mapInArrow(run, MET)
+
+
+def linked(windows: DataFrame) -> DataFrame:
+    """The links of the first round, from the windows that met."""
+    sides = [windows.where(f"{x} <> print").select(*_link("print", "l", "r", x, f"{x}_l", f"{x}_r")) for x in ("first", "last")]
+    return sides[0].unionByName(sides[1].where("last <> first"))
+
+
+def _link(a: str, al: str, ar: str, b: str, bl: str, br: str) -> list:
+    """A link's columns; a pair has one order, whichever function finds it."""
+    swap = F.col(a) < F.col(b)
+    two = lambda x, y, name: [F.when(swap, F.col(y)).otherwise(F.col(x)).alias(f"a{name}"), F.when(swap, F.col(x)).otherwise(F.col(y)).alias(f"b{name}")]
+    columns = [*two(a, b, ""), F.col("key").bitwiseAND(7).cast("int").alias("j"), *two(al, bl, "l"), *two(ar, br, "r")]
+    return [columns[i] for i in (0, 1, 2, 3, 5, 4, 6)]
+
+
+def apart(windows: DataFrame, classes: DataFrame) -> DataFrame:
+    """The windows, with their class, of groups that are not of one class.
+
+    `classes` has print, start, stop and class of the passages that are known; a window outside them is a class by its text.
+    """
+    inside = (F.col("start") <= F.col("c")) & (F.col("c") + SHINGLE <= F.col("stop"))
+    own = windows.alias("w").join(classes.alias("p"), (F.col("w.print") == F.col("p.print")) & inside, "left")
+    own = own.select("w.*", F.coalesce("p.class", "w.print").alias("class"))
+    ends = own.groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high"))
+    return own.join(ends.where("low < high").select("key"), "key", "left_semi")
+
+
+def with_codes(windows: DataFrame, texts: DataFrame, least: int) -> DataFrame:
+    """The windows with near, the codes of the shingles within reach."""
+    reach = least - SHINGLE
+    by_text = windows.groupBy("print").agg(F.collect_list(F.struct("key", "l", "c", "r")).alias("own"))
+
+    def run(batches):
+        for batch in batches:
+            for print_, text, own in zip(batch.column("print").to_pylist(), batch.column("text").to_pylist(), batch.column("own")):
+                flat = own.values.flatten()
+                key, l, c, r = (x.to_numpy(zero_copy_only=False) for x in flat)
+                codes = (mixed(shingles(words_of(text)), HASHES + 1) >> np.uint64(56)).astype(np.uint8)
+                around = np.arange(-reach, reach + 1)[None, :] + c.astype(np.int64)[:, None]
+                within = (around >= 0) & (around < len(codes))
+                # Zero stands for no shingle, which is shared with none.
+                near = np.where(within, codes[np.clip(around, 0, len(codes) - 1)] | np.uint8(1), np.uint8(0)).astype(np.uint8)
+                arrays = [pa.array(key), pa.array(np.full(len(c), print_, dtype=np.int64)), pa.array(l), pa.array(c), pa.array(r)]
+                width = 2 * reach + 1
+                offsets = np.arange(0, (len(c) + 1) * width, width, dtype=np.int32)
+                arrays.append(pa.Array.from_buffers(pa.binary(), len(c), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(near.tobytes())]))
+                yield pa.record_batch(arrays, ["key", "print", "l", "c", "r", "near"])
+
+    return texts.join(by_text, "print").select("print", "text", "own").mapInArrow(run, "key long, print long, l int, c int, r int, near binary")
+
+
+def similar_places(a: np.ndarray, b: np.ndarray, least: int, similarity: float = SIMILARITY) -> np.ndarray:
+    """Of rows of codes around a shared shingle, which pairs (a row of each) may hold a stretch of `least` places that is similar."""
+    width = a.shape[1]
+    share = int(np.ceil(2 * similarity / (1 + similarity) * least - 1e-6))  # of the places of a least stretch
+    a, b = np.ascontiguousarray(a.T), np.ascontiguousarray(b.T)
+    there = np.zeros(a.shape, dtype=bool)
+    for shift in range(-SHIFT, SHIFT + 1):
+        x, y = slice(max(0, shift), width + min(0, shift)), slice(max(0, -shift), width - max(0, shift))
+        there[x] |= (a[x] == b[y]) & (a[x] != 0)
+    out = there.sum(axis=0, dtype=np.uint8 if width < 256 else np.int32) >= share
+    rest = np.flatnonzero(out)
+    if len(rest):
+        total = np.cumsum(there[:, rest], axis=0, dtype=np.int32)
+        best = (total[least - 1 :] - np.vstack([np.zeros((1, len(rest)), dtype=np.int32), total[: width - least]])).max(axis=0)
+        first, last = there[:, rest].argmax(axis=0), width - 1 - there[::-1, rest].argmax(axis=0)
+        out[rest] = (best >= share) & (last - first + 1 >= least)
+    return out
+
+
+def other_links(rows: DataFrame, least: int, similarity: float = SIMILARITY, every: bool = True, hot: int = HOT) -> DataFrame:
+    """The links between all windows (see apart, with_codes) of a group that are not of one class and may hold a passage.
+
+    Or else, of every window and slot, the first one that was found.
+    """
+    span = least - SHINGLE + 1
+    large = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > hot)
+    rows = rows.join(large, "key", "left")
+    slots = F.coalesce(F.ceil(F.col("n") / hot).cast("int"), F.lit(1))
+    asks = rows.withColumn("slot", F.pmod(F.xxhash64("print"), slots).cast("int")).withColumn("role", F.lit(0))
+    answers = rows.where("n IS NOT NULL").withColumn("slot", F.explode(F.sequence(F.lit(0), slots - 1))).withColumn("role", F.lit(1))
+    # Of a small group those that ask are also those that answer.
+    dealt = asks.unionByName(answers).select("key", "slot", "role", "print", "l", "r", "class", "near", F.col("n").isNull().alias("alone"))
+    dealt = dealt.repartition("key", "slot").sortWithinPartitions("key", "slot", "role")
+    names = ["a", "b", "j", "al", "ar", "bl", "br"]
+
+    def table(key, text, l, r, left, right):
+        columns = (text[left], text[right], key[left] & 7, l[left], r[left], l[right], r[right])
+        kinds = (pa.int64(), pa.int64(), *[pa.int32()] * 5)
+        return pa.record_batch([pa.array(x, k) for x, k in zip(columns, kinds)], names)
+
+    def pairs(columns, near):
+        """Compares those that ask with those that answer, group by group."""
+        key, slot, role, text, l, r, kind, alone = columns
+        starts = np.flatnonzero(np.append(True, (key[1:] != key[:-1]) | (slot[1:] != slot[:-1])))
+        lefts, rights, waiting = [], [], 0
+        for start, stop in zip(starts.tolist(), np.append(starts[1:], len(key)).tolist()):
+            mine = slice(start, stop) if alone[start] else slice(start, start + int((role[start:stop] == 0).sum()))
+            other = mine if alone[start] else slice(mine.stop, stop)
+            step = max(1, PAIRS // max(1, mine.stop - mine.start))
+            for at in range(other.start, other.stop, step):
+                x, y = np.arange(mine.start, mine.stop)[:, None], np.arange(at, min(at + step, other.stop))[None, :]
+                wanted = (kind[x] != kind[y]) & (text[x] > text[y])
+                i, k = np.nonzero(wanted)
+                lefts.append(i + mine.start)
+                rights.append(k + at)
+                waiting += len(i)
+                if waiting >= PAIRS:
+                    yield np.concatenate(lefts), np.concatenate(rights)
+                    lefts, rights, waiting = [], [], 0
+        if waiting:
+            yield np.concatenate(lefts), np.concatenate(rights)
+
+    def run(batches):
+        held, near_held = [np.zeros(0, dtype=np.int64)] * 8, np.zeros((0, 2 * span - 1), dtype=np.uint8)
+        for batch in _with_end(batches):
+            columns, near = held, near_held
+            if batch is not None:
+                if not batch.num_rows:
+                    continue
+                new = [batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in (0, 1, 2, 3, 4, 5, 6, 8)]
+                columns = [np.concatenate(x) for x in zip(held, new)]
+                codes = np.frombuffer(b"".join(batch.column(7).to_pylist()), dtype=np.uint8).reshape(batch.num_rows, -1)
+                near = np.concatenate([near_held, codes])
+            key, slot, role, text, l, r, kind, alone = columns
+            if not len(key):
+                continue
+            # What is left for the next batch: the last group, without those that have answered.
+            last = (key == key[-1]) & (slot == slot[-1])
+            done = np.ones(len(key), dtype=bool)
+            if batch is not None and (alone[-1] or role[-1] == 0):
+                done = ~last
+            now = [c[done] for c in columns]
+            if len(now[0]):
+                now_near = near[done]
+                for left, right in pairs(now, now_near):
+                    holds = similar_places(now_near[left], now_near[right], span, similarity)
+                    left, right = left[holds], right[holds]
+                    if not every:
+                        right, at = np.unique(right, return_index=True)
+                        left = left[at]
+                    if len(left):
+                        yield table(now[0], now[3], now[4], now[5], left, right)
+            stay = last & ((alone == 1) | (role == 0))
+            held, near_held = [c[stay] for c in columns], near[stay]
+
+    return dealt.mapInArrow(run, LINKS)
 
 
 CANDIDATES = "a long, b long, al int, ar int, bl int, br int"
@@ -328,11 +493,8 @@ def _there(own: np.ndarray, b: np.ndarray, order: np.ndarray, ranked: np.ndarray
     return None
 
 
-def verified(found: DataFrame, docs: DataFrame, least: int = LEAST, similarity: float = SIMILARITY) -> DataFrame:
-    """print, start, stop (words) and other, other_start, other_stop of the passages that hold, once for each pair."""
-    wanted = found.select(F.explode(F.array("a", "b")).alias("print")).distinct()
-    texts = docs.where(F.col("text").isNotNull()).select(F.xxhash64("text").alias("print"), "text")
-    texts = staged(texts.join(wanted, "print", "left_semi").dropDuplicates(["print"]), "passage-texts")
+def verified(found: DataFrame, texts: DataFrame, least: int = LEAST, similarity: float = SIMILARITY) -> DataFrame:
+    """print, start, stop (words) and other, other_start, other_stop of the passages that hold, once for each pair; texts has print and text."""
 
     def cut(batches):
         for batch in batches:
@@ -371,6 +533,25 @@ def verified(found: DataFrame, docs: DataFrame, least: int = LEAST, similarity:
     return together.mapInArrow(compare, "print long, start int, stop int, other long, other_start int, other_stop int")
 
 
+def _passages(spans: DataFrame, whole: DataFrame) -> DataFrame:
+    """print, start, stop, link, passage (overlapping stretches of a text are one, numbered from 0) and node of verified pairs and whole texts."""
+    link = F.xxhash64("print", "start", "stop", "other", "other_start", "other_stop")
+    sides = F.array(F.struct("print", "start", "stop"), F.struct(F.col("other").alias("print"), F.col("other_start").alias("start"), F.col("other_stop").alias("stop")))
+    spans = spans.select(F.explode(sides).alias("s"), link.alias("link")).select("s.print", "s.start", "s.stop", "link")
+    spans = spans.unionByName(whole.withColumn("link", F.lit(None).cast("long")))
+    ordered = Window.partitionBy("print").orderBy("start", "stop")
+    reach = F.max("stop").over(ordered.rowsBetween(Window.unboundedPreceding, -1))
+    spans = spans.withColumn("new", F.when(F.col("start") < reach, 0).otherwise(1))
+    spans = spans.withColumn("passage", F.sum("new").over(ordered.rowsBetween(Window.unboundedPreceding, 0)).cast("int") - 1)
+    return spans.drop("new").withColumn("node", F.xxhash64("print", "passage"))
+
+
+def _classes(sides: DataFrame) -> DataFrame:
+    """The sides of verified pairs (see _passages) with the class of their passages."""
+    ends = sides.where(F.col("link").isNotNull()).groupBy("link").agg(F.min("node").alias("a"), F.max("node").alias("b"))
+    return sides.join(components(ends.select("a", "b")), "node", "left").withColumn("class", F.coalesce("root", "node")).drop("root")
+
+
 def repeated_passages(docs: DataFrame, least: int = LEAST, similarity: float = SIMILARITY) -> DataFrame:
     """doc_id, passage (from 0), start_word, n_words, first_doc_id and class_id of every stretch that repeats in another document.
 
@@ -385,29 +566,34 @@ def repeated_passages(docs: DataFrame, least: int = LEAST, similarity: float = S
         F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("copies"), F.max("n_words").alias("n_words")
     )
     first = staged(first, "passage-first")
-    found = windows(docs.select("text"), HASHES, least).repartition("key")
-    found = found.sortWithinPartitions("key", "beside", "print", "c").select("key", "print", "l", "c", "r")
-    links = staged(linked(found), "passage-links")
-    pairs = candidates(links.repartition("a", "b").sortWithinPartitions("a", "b", "al"))
-    spans = staged(verified(staged(pairs, "passage-candidates"), docs, least, similarity), "passage-spans")
-
-    link = F.xxhash64("print", "start", "stop", "other", "other_start", "other_stop")
-    sides = F.array(F.struct("print", "start", "stop"), F.struct(F.col("other").alias("print"), F.col("other_start").alias("start"), F.col("other_stop").alias("stop")))
-    spans = spans.select(F.explode(sides).alias("s"), link.alias("link")).select("s.print", "s.start", "s.stop", "link")
     whole = first.where(F.col("copies") > 1).where(F.col("n_words") >= least)
-    none = F.lit(None).cast("long").alias("link")
-    spans = spans.unionByName(whole.select("print", F.lit(0).alias("start"), F.col("n_words").alias("stop"), none))
-    ordered = Window.partitionBy("print").orderBy("start", "stop")
-    reach = F.max("stop").over(ordered.rowsBetween(Window.unboundedPreceding, -1))
-    spans = spans.withColumn("new", F.when(F.col("start") < reach, 0).otherwise(1))
-    spans = spans.withColumn("passage", F.sum("new").over(ordered.rowsBetween(Window.unboundedPreceding, 0)).cast("int") - 1)
-    spans = staged(spans.withColumn("node", F.xxhash64("print", "passage")), "passage-sides")
-    ends = spans.where(F.col("link").isNotNull()).groupBy("link").agg(F.min("node").alias("a"), F.max("node").alias("b"))
-    roots = components(ends.select("a", "b"))
-    merged = spans.groupBy("print", "passage", "node").agg(
+    whole = whole.select("print", F.lit(0).alias("start"), F.col("n_words").alias("stop"))
+    with Scratch(docs.sparkSession, "passages") as scratch:
+        found = windows(docs.select("text"), HASHES, least).repartition("key")
+        found = found.sortWithinPartitions("key", "beside", "print", "c").select("key", "print", "l", "c", "r")
+        found = scratch.staged(met(found), "windows")
+        texts = docs.where(F.col("text").isNotNull()).select(F.xxhash64("text").alias("print"), "text")
+        texts = texts.join(found.select("print").distinct(), "print", "left_semi").dropDuplicates(["print"])
+        texts = scratch.staged(texts, "texts")
+        pairs = candidates(linked(found).repartition("a", "b").sortWithinPartitions("a", "b", "al"))
+        pairs = scratch.staged(pairs, "candidates")
+        spans = scratch.staged(verified(pairs, texts, least, similarity), "spans")
+        rest = None
+        for every in (False, True):
+            classes = _classes(scratch.staged(_passages(spans, whole), "passages"))
+            classes = classes.groupBy("print", "passage", "class").agg(F.min("start").alias("start"), F.max("stop").alias("stop"))
+            classes = scratch.staged(classes, "classes")
+            if rest is None:
+                coded = scratch.staged(with_codes(apart(found, classes), texts, least), "codes")
+            rest = scratch.staged(apart(coded, classes), "apart")
+            more = other_links(rest, least, similarity, every).repartition("a", "b").sortWithinPartitions("a", "b", "al")
+            more = scratch.staged(candidates(more, 1), "more-candidates")
+            spans = scratch.staged(spans.unionByName(verified(more, texts, least, similarity)).distinct(), "more-spans")
+        spans = staged(_passages(spans, whole), "passage-sides")
+    spans = _classes(spans)
+    merged = spans.groupBy("print", "passage", F.col("class").alias("class_id")).agg(
         F.min("start").alias("start_word"), (F.max("stop") - F.min("start")).cast("int").alias("n_words")
     )
-    merged = merged.join(roots, "node", "left").withColumn("class_id", F.coalesce("root", "node"))
     merged = staged(merged.select("print", "passage", "start_word", "n_words", "class_id"), "passage-merged")
     smallest = merged.join(first.select("print", "first"), "print").groupBy("class_id").agg(F.min("first").alias("first_doc_id"))
     merged = merged.join(smallest, "class_id")

@@ -291,6 +291,35 @@ def test_longer_passages_in_common_boilerplate(documents, where):
     assert sorted(map(sorted, got.values())) == sorted(map(sorted, pairs.values()))
 
 
+def test_changed_passages_in_common_boilerplate(documents):
+    """Sixty texts share 45 words; two of them have twelve more behind, after a word that one of them has changed."""
+    rows, pairs = [], {}
+    for trial in range(12):
+        common, more = prose(9300 + trial, 45), prose(9400 + trial, 12)
+        behind = {17: ["former", *more], 41: ["changed", *more]}
+        for i in range(60):
+            text = [*prose(trial * 1000 + i, 20), *common, *behind.get(i, []), *prose(trial * 1000 + 500 + i, 25)]
+            rows.append((1000 * trial + i, " ".join(text)))
+        pairs[trial] = {1000 * trial + 17, 1000 * trial + 41}
+    got = {}
+    for r in op08_passages.repeated_passages(documents(*rows)).collect():
+        got.setdefault(r.class_id, set()).add(r.doc_id)
+    assert sorted(map(sorted, got.values())) == sorted(map(sorted, pairs.values()))
+
+
+def test_windows_of_a_group_are_dealt_over_slots(spark):
+    """All pairs of texts but those of one class, however the group is dealt."""
+    rng = np.random.default_rng(4)
+    near = rng.integers(1, 256, 91, dtype=np.uint8)
+    far = rng.integers(1, 256, 91, dtype=np.uint8)
+    rows = [(8, i, 0, 45, 90, bytes((far if i % 9 == 4 else near).tobytes()), i % 4) for i in range(60)]
+    frame = spark.createDataFrame(rows, "key long, print long, l int, c int, r int, near binary, class long")
+    want = {(i, j) for i in range(60) for j in range(i) if i % 4 != j % 4 and (i % 9 == 4) == (j % 9 == 4)}
+    for hot in (2048, 7):
+        links = op08_passages.other_links(frame, 50, hot=hot).collect()
+        assert {(r.a, r.b) for r in links} == want and len(links) == len(want)
+
+
 def test_passages_that_repeat_each_other_are_a_class(documents):
     one, two = prose(70, 90), prose(71, 90)
     rows = [(i, " ".join([*prose(800 + i, 20 + i), *one, *prose(850 + i, 30)])) for i in range(1, 9)]
