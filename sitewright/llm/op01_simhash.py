@@ -22,7 +22,13 @@ fingerprints of WIDE_SHINGLE-word shingles, which differ less, a radius of
 WIDE_DISTANCE and rings of WIDE_PARTS segments, and keys of two consecutive segments as they are. Two near
 fingerprints have such a key in common more often than not; with FUNCTIONS independent ones
 a pair at 0.82 is missed in about one case of twenty. Chains and the full check
-prune the pairs, and links are verified on whole texts.
+prune the pairs, and links are verified on whole texts. What the fingerprints missed is
+found by an exact join, over all texts, of pairs that are not in one component by then. Of two texts
+with n and m different shingles that are similar, k = 0.8 / 1.8 (n + m) at least are
+shared; so, in any order of all shingles, the first n - 0.8 n + 1 of the one and the
+first m - 0.8 m + 1 of the other have one in common. The order puts the most common
+shingles, COMMON_MOST at most, behind all others, and goes by hash among those; it decides
+how many pairs meet and not which are found. Shingles that many texts have are dealt over slots.
 
 Defined results: a null text, or one without words, has fingerprint zero; rows
 with a null doc_id have a fingerprint and a component_id as well, which is null
@@ -34,11 +40,12 @@ from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sitewright.llm.common import map_texts
 from sitewright.llm.components import components, forest
+from sitewright.llm.op08_passages import shingles, words_of
 from sitewright.sources.files import staged
 
 BITS, SHINGLE, SEED, DISTANCE = 64, 4, 42, 4
@@ -49,6 +56,8 @@ PAIRS = 1_000_000
 #: For near_copies: shingles of the fingerprints, their radius, ring and number; shingles that are compared in the end.
 WIDE_SHINGLE, WIDE_DISTANCE, WIDE_PARTS, FUNCTIONS = 2, 12, 6, 5
 EXACT_SHINGLE, SIMILARITY = 5, 0.8
+#: Shingles with more texts than this are common; so many of them are put behind the others.
+COMMON, COMMON_MOST = 16, 500_000
 
 
 def shingle_hashes(words: list[bytes], shingle: int = SHINGLE) -> np.ndarray:
@@ -276,6 +285,82 @@ def exactly_similar(pairs: DataFrame, docs: DataFrame, similarity: float = SIMIL
     return both.mapInArrow(run, "a long, b long")
 
 
+def _own_shingles(texts: list[str | None]) -> list[np.ndarray]:
+    """The different shingles of each text, as sorted hashes; none of texts with fewer words than one has, which only equal themselves."""
+    return [np.unique(shingles(words_of(text))).view(np.int64) for text in texts]
+
+
+def common_shingles(docs: DataFrame, common: int = COMMON, most: int = COMMON_MOST) -> np.ndarray:
+    """The shingles of more than `common` texts, or the `most` most common of them, as sorted hashes."""
+
+    def make():
+        def work(batch):
+            own = _own_shingles(list(set(batch.column(1).to_pylist())))
+            found, times = np.unique(np.concatenate([np.zeros(0, dtype=np.int64), *own]), return_counts=True)
+            return pa.record_batch([pa.array(found), pa.array(times)], ["v", "times"])
+
+        return work
+
+    counted = map_texts(docs.select("doc_id", "text"), make, "v long, times long").groupBy("v").agg(F.sum("times").alias("times"))
+    found = counted.where(F.col("times") > common).orderBy(F.desc("times"), "v").limit(most).select("v").toArrow()
+    return np.sort(found.column("v").to_numpy())
+
+
+def prefixes(docs: DataFrame, similarity: float = SIMILARITY, common: int = COMMON) -> DataFrame:
+    """v (shingle), print, n (different shingles) and at (v's place) of the first shingles of every text, as many as it takes."""
+    last = docs.sparkSession.sparkContext.broadcast(common_shingles(docs, common))
+
+    def make():
+        seen: set[int] = set()
+
+        def work(batch):
+            texts = batch.column(1).to_pylist()
+            columns = [[np.zeros(0, dtype=np.int64)] for _ in range(4)]
+            for print_, text in zip(word_prints(texts).to_pylist(), texts):
+                own = _own_shingles([text])[0] if print_ not in seen else ()
+                seen.add(print_)
+                n = len(own)
+                if n:
+                    size = n - int(np.ceil(similarity * n - 1e-6)) + 1
+                    rank = np.minimum(np.searchsorted(last.value, own), len(last.value) - 1)
+                    behind = last.value[rank] == own if len(last.value) else np.zeros(n, dtype=bool)
+                    first = own[np.argsort(behind, kind="stable")[:size]]
+                    for column, x in zip(columns, (first, np.full(size, print_), np.full(size, n), np.arange(size))):
+                        column.append(x)
+            arrays = [pa.array(np.concatenate(c), k) for c, k in zip(columns, (pa.int64(), pa.int64(), pa.int32(), pa.int32()))]
+            return pa.record_batch(arrays, ["v", "print", "n", "at"])
+
+        return work
+
+    return map_texts(docs.select("doc_id", "text"), make, "v long, print long, n int, at int")
+
+
+def missed_pairs(found: DataFrame, roots: DataFrame, similarity: float = SIMILARITY, hot: int = HOT) -> DataFrame:
+    """Pairs (a, b) of texts of different components: all that are similar, and others; found has prefixes, roots node and root."""
+    named = roots.select(F.col("node").alias("print"), "root")
+    rows = found.join(named, "print", "left").withColumn("root", F.coalesce("root", "print"))
+    rows = staged(rows.dropDuplicates(["v", "print"]), "prefix-rows")
+    sizes = rows.groupBy("v", "root").agg(F.count(F.lit(1)).alias("times")).groupBy("v").agg(
+        F.max(F.struct("times", "root")).alias("most"), F.sum("times").alias("times"), F.count(F.lit(1)).alias("roots")
+    )
+    slots = F.ceil(F.col("times") / hot).cast("int").alias("slots")
+    sizes = sizes.where("roots > 1").select("v", F.col("most.root").alias("main"), slots)
+    rows = rows.join(sizes, "v").withColumn("main", F.col("root") == F.col("main"))
+
+    def side(x: str, slot):
+        names = {"print": x, "n": f"n_{x}", "at": f"at_{x}", "root": f"root_{x}", "main": f"main_{x}"}
+        return rows.select("v", slot.alias("slot"), *[F.col(c).alias(name) for c, name in names.items()])
+
+    left = side("a", F.pmod(F.xxhash64("print"), F.col("slots")).cast("int"))
+    right = side("b", F.explode(F.sequence(F.lit(0), F.col("slots") - 1)))
+    shared = (F.col("n_a") + F.col("n_b")) * (similarity / (1 + similarity)) - 1e-6
+    fits = (F.col("root_a") != F.col("root_b")) & (F.least(F.col("n_a") - F.col("at_a"), F.col("n_b") - F.col("at_b")) >= shared)
+    # Two texts of the component that has most of a shingle's texts never meet; all other pairs meet in one order at least.
+    parts = [(left.where("NOT main_a"), right.where("main_b")), (left.where("NOT main_a"), right.where("NOT main_b"))]
+    first, second = (x.join(y, ["v", "slot"]).where(fits).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")) for x, y in parts)
+    return first.unionByName(second).distinct()
+
+
 def near_copies(docs: DataFrame, functions: int = FUNCTIONS, distance: int = WIDE_DISTANCE, similarity: float = SIMILARITY) -> DataFrame:
     """doc_id and component_id, the smallest doc_id of all near copies of a text, one row per row of docs.
 
@@ -298,6 +383,13 @@ def near_copies(docs: DataFrame, functions: int = FUNCTIONS, distance: int = WID
         pairs = own if pairs is None else pairs.unionByName(own)
     pairs = staged(pairs.select(F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b")).distinct(), "near-pairs")
     links = staged(exactly_similar(pairs, _with_print(docs), similarity), "near-links")
+    # Only shingles that several texts have can bring them together.
+    found = prefixes(docs, similarity)
+    by_shingle = Window.partitionBy("v")
+    found = found.select("*", F.min("print").over(by_shingle).alias("low"), F.max("print").over(by_shingle).alias("high"))
+    found = staged(found.where("low < high").drop("low", "high"), "prefixes")
+    missed = staged(missed_pairs(found, components(links), similarity), "missed-pairs")
+    links = staged(links.unionByName(exactly_similar(missed, _with_print(docs), similarity)), "all-links")
     roots = components(links)
     labelled = texts.join(roots, texts["print"] == roots["node"], "left").select("print", "first", F.coalesce("root", "print").alias("root"))
     labelled = staged(labelled, "near-labelled")

@@ -105,6 +105,41 @@ def test_near_copies_at_eight_tenths(documents):
     assert all(got[i] in (i, i - 1) for i in got)
 
 
+@pytest.mark.parametrize("functions", [1, op01_simhash.FUNCTIONS])
+def test_near_copies_at_the_threshold_are_all_found(documents, functions):
+    """Pairs just above a similarity of 0.8, and texts that share long parts; none may be missed, however few fingerprints."""
+    rng, docs, near = random.Random(11), [], set()
+    part = prose(77, 60)
+    for k in range(120):
+        words = [*prose(5000 + k, rng.choice([60, 90, 150])), *(part if k % 3 else [])]
+        other = list(words)
+        for at in range(20, len(words) - 7, 48):
+            other[at] = "changed"
+        docs += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(other))]
+        if five_word_similarity(docs[-2][1], docs[-1][1]) >= 0.8:
+            near.add(2 * k)
+    got = {r.doc_id: r.component_id for r in op01_simhash.near_copies(documents(*docs), functions).collect()}
+    assert 60 < len(near) and {i for i in range(0, 240, 2) if got[i + 1] == i} == near
+    assert all(got[i] in (i, i - 1) for i in got)
+
+
+@pytest.mark.parametrize("hot", [op01_simhash.HOT, 3])
+def test_missed_pairs_are_all_that_are_similar(spark, documents, hot):
+    rng = random.Random(hot)
+    bases = [prose(6000 + k, 80) for k in range(6)]
+    texts = sorted({" ".join([*b[:i], *prose(i, rng.randint(0, 2)), *b[i:]]) for b in bases for i in (rng.randint(0, 80) for _ in range(10))})
+    docs = documents(*enumerate(texts))
+    prints = op01_simhash.word_prints(texts).to_pylist()
+    roots = spark.createDataFrame([(p, prints[i - i % 4]) for i, p in enumerate(prints)], "node long, root long")
+    found = op01_simhash.prefixes(docs, common=4)
+    got = {(r.a, r.b) for r in op01_simhash.missed_pairs(found, roots, hot=hot).collect()}
+    want = {
+        tuple(sorted((prints[i], prints[j]))) for i in range(len(texts)) for j in range(i)
+        if i // 4 != j // 4 and five_word_similarity(texts[i], texts[j]) >= 0.8
+    }
+    assert len(want) > 30 and want <= got
+
+
 def test_near_copies_of_odd_rows(odd):
     out = op01_simhash.representatives(odd)
     assert out.columns == odd.columns
