@@ -23,12 +23,20 @@ that are not in passages of one class are compared, in blocks of a code of one b
 shingle within reach of the shared one. Of 46 shingles of a stretch that is similar, 41 at least are shared,
 in the same order and moved by SHIFT places at most; pairs whose codes hold no such 46 places are
 no passages. All others are verified, whether a second function links them or not. Windows of one
-class are never compared, so that copies of a passage make no pairs of pairs; groups of
-more than HOT windows are dealt over slots. The comparisons are quadratic in the
-windows of a group that are in no common class, the links are not.
-
-Texts are named by a 64-bit hash, so that copies are one text; a task deals a
-text's windows once, however many copies it has. A text with several documents is
+class are never compared, so that copies of a passage make no pairs of pairs.
+
+Groups of more than DIVIDE windows are divided before that, without the loss of a pair: of two stretches
+that share so many shingles, the first shared one in some order of all shingles is among the
+first few of both. So a window goes to the subgroups of the first few shingles of all stretches it
+can hold, and meets there those that share one. In a group's order those that many of a sample of its windows have
+come last. Windows that such a common shingle may have to bring together (or that are all in
+one long passage too short to count) meet in one subgroup more. One with a
+shingle that repeats within SHIFT places may match more than one place for one; it is compared with its whole group.
+Subgroups of more than HOT windows are dealt over slots; within a subgroup comparisons are still quadratic
+in the windows that are in no common class.
+
+Texts are named by a 64-bit hash, so that copies are one text, and their windows are one, whichever
+tasks they come from. A text with several documents is
 a passage by itself. Passages (a text and the stretch of it) that were verified
 against each other, directly or by way of others, are a class, found by
 distributed union-find.
@@ -44,7 +52,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sitewright.llm.common import WORD, Scratch, map_texts
+from sitewright.llm.common import WORD, Scratch, in_chunks, map_texts
 from sitewright.llm.components import components
 from sitewright.sources.files import staged
 
@@ -56,6 +64,10 @@ STEP, STEPS = 11, 4
 SHIFT = 2
 #: Windows of one group in one slot, and pairs compared at a time.
 HOT, PAIRS = 2048, 50_000
+#: Windows of a group that is not divided; windows of a group that are looked at for common shingles, and how many of them have one.
+DIVIDE, LOOK, COMMON = 512, 256, 4
+#: Places of a stretch's half that are compared before the others.
+PROBE = 10
 #: Distinct words whose hashes a worker keeps.
 WORDS = 500_000
 
@@ -216,9 +228,11 @@ def met(found: DataFrame) -> DataFrame:
                 if not batch.num_rows:
                     continue
                 rows = np.hstack([carry, np.stack([c.to_numpy(zero_copy_only=False).astype(np.int64) for c in batch.columns])])
-            n = rows.shape[1]
-            if not n:
+            if not rows.shape[1]:
                 continue
+            # Copies of a text in several tasks give equal windows, one behind the other.
+            rows = rows[:, np.append(True, (rows[:, 1:] != rows[:, :-1]).any(axis=0))]
+            n = rows.shape[1]
             key, text = rows[0], rows[1]
             new_key = np.append(True, key[1:] != key[:-1])
             starts = np.flatnonzero(new_key)
@@ -258,7 +272,7 @@ def _link(a: str, al: str, ar: str, b: str, bl: str, br: str) -> list:
     return [columns[i] for i in (0, 1, 2, 3, 5, 4, 6)]
 
 
-def apart(windows: DataFrame, classes: DataFrame) -> DataFrame:
+def apart(windows: DataFrame, classes: DataFrame, by: tuple[str, ...] = ("key",)) -> DataFrame:
     """The windows, with their class, of groups that are not of one class.
 
     `classes` has print, start, stop and class of the passages that are known; a window outside them is a class by its text.
@@ -266,38 +280,134 @@ def apart(windows: DataFrame, classes: DataFrame) -> DataFrame:
     inside = (F.col("start") <= F.col("c")) & (F.col("c") + SHINGLE <= F.col("stop"))
     own = windows.alias("w").join(classes.alias("p"), (F.col("w.print") == F.col("p.print")) & inside, "left")
     own = own.select("w.*", F.coalesce("p.class", "w.print").alias("class"))
-    ends = own.groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high"))
-    return own.join(ends.where("low < high").select("key"), "key", "left_semi")
+    ends = own.groupBy(*by).agg(F.min("class").alias("low"), F.max("class").alias("high"))
+    return own.join(ends.where("low < high").select(*by), [*by], "left_semi")
+
+
+def codes(texts: DataFrame, least: int = LEAST) -> DataFrame:
+    """print and codes, a byte for each shingle of a text, with as many zeros before and behind as a window can reach."""
+    around = bytes(least - SHINGLE)
+
+    def make():
+        def work(batch):
+            own = [mixed(shingles(words_of(t)), HASHES + 1) >> np.uint64(56) for t in batch.column(1).to_pylist()]
+            # Zero stands for no shingle, which is shared with none.
+            own = [around + (x.astype(np.uint8) | np.uint8(1)).tobytes() + around for x in own]
+            return pa.record_batch([batch.column(0), pa.array(own, pa.binary())], ["print", "codes"])
+
+        return work
+
+    return map_texts(texts.select("print", "text"), make, "print long, codes binary")
 
 
-def with_codes(windows: DataFrame, texts: DataFrame, least: int) -> DataFrame:
+def with_codes(windows: DataFrame, coded: DataFrame, least: int = LEAST) -> DataFrame:
     """The windows with near, the codes of the shingles within reach."""
-    reach = least - SHINGLE
-    by_text = windows.groupBy("print").agg(F.collect_list(F.struct("key", "l", "c", "r")).alias("own"))
+    near = F.substring("codes", F.col("c") + 1, F.lit(2 * (least - SHINGLE) + 1))
+    return windows.join(coded, "print").withColumn("near", near).drop("codes")
+
+
+def first_shingles(order: np.ndarray, least: int, share: int) -> np.ndarray:
+    """The different values that any stretch of `least` places, with SHIFT more on either side, needs to have one in common
+    with another that shares `share` places; `order` has the values of all places within reach, NONE where there is none."""
+    size = least + 2 * SHIFT
+    padded = np.concatenate([np.full(SHIFT, NONE), order, np.full(SHIFT, NONE)])
+    stretches = np.lib.stride_tricks.sliding_window_view(padded, size)
+    found = np.unique(np.partition(stretches, size - share, axis=1)[:, : size - share + 1])
+    return found[found != NONE]
+
+
+NONE = np.int64(1 << 40)
+#: Added to the value of a common shingle, so that it comes last.
+LAST = np.int64(1 << 33)
+#: Instead of a shingle: windows that common shingles may have to bring together, and those that their whole group is compared with.
+STUCK, WHOLE = -1, -2
+MARKS = "key long, v long, role int, print long, l int, c int, r int, class long"
+
+
+def marks(windows: DataFrame, texts: DataFrame, least: int, similarity: float, every: bool) -> DataFrame:
+    """The subgroups (key, v) of windows (key, print, l, c, r, class, common); or, of `every` window, all shingles within reach."""
+    reach, span = least - SHINGLE, least - SHINGLE + 1
+    share = _share(span, similarity)
+    by_text = windows.groupBy("print").agg(F.collect_list(F.struct("key", "l", "c", "r", "class", "common")).alias("own"))
+    names = ["key", "v", "role", "print", "l", "c", "r", "class"]
+    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), *[pa.int32()] * 3, pa.int64()]
+
+    def values_of(found, c):
+        order = np.full(2 * reach + 1, NONE)
+        low, high = max(0, c - reach), min(len(found), c + reach + 1)
+        order[low - c + reach : high - c + reach] = found[low:high]
+        return order
 
     def run(batches):
         for batch in batches:
-            for print_, text, own in zip(batch.column("print").to_pylist(), batch.column("text").to_pylist(), batch.column("own")):
-                flat = own.values.flatten()
-                key, l, c, r = (x.to_numpy(zero_copy_only=False) for x in flat)
-                codes = (mixed(shingles(words_of(text)), HASHES + 1) >> np.uint64(56)).astype(np.uint8)
-                around = np.arange(-reach, reach + 1)[None, :] + c.astype(np.int64)[:, None]
-                within = (around >= 0) & (around < len(codes))
-                # Zero stands for no shingle, which is shared with none.
-                near = np.where(within, codes[np.clip(around, 0, len(codes) - 1)] | np.uint8(1), np.uint8(0)).astype(np.uint8)
-                arrays = [pa.array(key), pa.array(np.full(len(c), print_, dtype=np.int64)), pa.array(l), pa.array(c), pa.array(r)]
-                width = 2 * reach + 1
-                offsets = np.arange(0, (len(c) + 1) * width, width, dtype=np.int32)
-                arrays.append(pa.Array.from_buffers(pa.binary(), len(c), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(near.tobytes())]))
-                yield pa.record_batch(arrays, ["key", "print", "l", "c", "r", "near"])
-
-    return texts.join(by_text, "print").select("print", "text", "own").mapInArrow(run, "key long, print long, l int, c int, r int, near binary")
+            for piece in in_chunks(batch, 500_000, 1):
+                out: list[list] = [[] for _ in names]
+                for print_, text, own in zip(*(piece.column(n).to_pylist() for n in ("print", "text", "own"))):
+                    found = (mixed(shingles(words_of(text)), HASHES + 1) >> np.uint64(32)).astype(np.int64)
+                    for w in own:
+                        order = values_of(found, w["c"])
+                        if every:
+                            v = np.unique(order[order != NONE])
+                        else:
+                            there = order != NONE
+                            repeats = any(((order[d:] == order[:-d]) & there[d:]).any() for d in range(1, 2 * SHIFT + 1))
+                            if w["common"]:
+                                order[np.isin(order, w["common"])] += LAST
+                            v = first_shingles(order, span, share)
+                            stuck = len(v) and v[-1] >= LAST
+                            v = np.concatenate([v[v < LAST], [STUCK] * bool(stuck), [WHOLE] * repeats]).astype(np.int64)
+                        row = (w["key"], v, 0, print_, w["l"], w["c"], w["r"], w["class"])
+                        for column, x in zip(out, row):
+                            column.append(x if x is v else np.full(len(v), x, dtype=np.int64))
+                columns = [np.concatenate(x) if x else np.zeros(0, dtype=np.int64) for x in out]
+                yield pa.record_batch([pa.array(x, k) for x, k in zip(columns, kinds)], names)
+
+    rows = texts.join(by_text, "print").select("print", "text", "own")
+    return rows.mapInArrow(run, MARKS)
+
+
+def divided(
+    rows: DataFrame, texts: DataFrame, scratch: Scratch, least: int = LEAST, similarity: float = SIMILARITY, divide: int = DIVIDE
+) -> DataFrame:
+    """The windows (see apart) by the subgroups (key, v) in which they are compared.
+
+    `role` is null where all windows of a subgroup are compared with each other, or else 0 for those
+    that are compared with all that have 1. Large groups are divided by shingles, others are one subgroup.
+    """
+    sizes = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > divide)
+    sizes = scratch.staged(sizes, "sizes")
+    whole = lambda df, v, role: df.select("key", F.lit(v).cast("long").alias("v"), F.lit(role).cast("int").alias("role"), "print", "l", "c", "r", "class")
+    small = whole(rows.join(sizes, "key", "left_anti"), 0, None)
+    if sizes.isEmpty():
+        return small
+    large = scratch.staged(rows.join(sizes, "key"), "large")
+    # The sample decides the order only, which any order may be; it is the same for all windows of a group.
+    some = large.where(F.pmod(F.xxhash64("print"), F.ceil(F.col("n") / LOOK)) == 0).withColumn("common", F.lit(None).cast("array<long>"))
+    seen = marks(some, texts, least, similarity, True).groupBy("key", "v").agg(F.count(F.lit(1)).alias("times"))
+    common = seen.where(F.col("times") >= COMMON).groupBy("key").agg(F.collect_list("v").alias("common"))
+    found = marks(large.join(common, "key", "left"), texts, least, similarity, False)
+    group = Window.partitionBy("key", "v")
+    found = found.select("*", F.min("class").over(group).alias("low"), F.max("class").over(group).alias("high"))
+    found = scratch.staged(found.where(f"low < high OR v = {WHOLE}").drop("low", "high"), "marks")
+    asks = found.where(F.col("v") == WHOLE)
+    answers = whole(large.join(asks.select("key").distinct(), "key", "left_semi"), WHOLE, 1)
+    parts = found.withColumn("role", F.when(F.col("v") == WHOLE, F.col("role")))
+    return small.unionByName(parts).unionByName(answers)
+
+
+def _share(least: int, similarity: float) -> int:
+    """Places that a stretch of least length shares at least."""
+    return int(np.ceil(2 * similarity / (1 + similarity) * least - 1e-6))
 
 
 def similar_places(a: np.ndarray, b: np.ndarray, least: int, similarity: float = SIMILARITY) -> np.ndarray:
     """Of rows of codes around a shared shingle, which pairs (a row of each) may hold a stretch of `least` places that is similar."""
     width = a.shape[1]
-    share = int(np.ceil(2 * similarity / (1 + similarity) * least - 1e-6))  # of the places of a least stretch
+    share = _share(least, similarity)
+    likely = _likely(a, b, least, share)
+    if not likely.all():
+        likely[likely] = similar_places(a[likely], b[likely], least, similarity) if likely.any() else False
+        return likely
     a, b = np.ascontiguousarray(a.T), np.ascontiguousarray(b.T)
     there = np.zeros(a.shape, dtype=bool)
     for shift in range(-SHIFT, SHIFT + 1):
@@ -313,20 +423,42 @@ def similar_places(a: np.ndarray, b: np.ndarray, least: int, similarity: float =
     return out
 
 
+def _likely(a: np.ndarray, b: np.ndarray, least: int, share: int) -> np.ndarray:
+    """Whether enough of the outer PROBE places are shared in one of the halves, before and behind, that any stretch has one of in full."""
+    half, middle = (least - 1) // 2, a.shape[1] // 2
+    size = min(PROBE, half - SHIFT)
+    out = np.zeros(len(a), dtype=bool)
+    if size <= least - share:
+        return ~out
+    for start in (middle + half - size + 1, middle - half):
+        x, y = (np.ascontiguousarray(side[:, start - SHIFT : start + size + SHIFT].T) for side in (a, b))
+        own = x[SHIFT : SHIFT + size]
+        there = np.zeros(own.shape, dtype=bool)
+        for shift in range(2 * SHIFT + 1):
+            there |= own == y[shift : shift + size]
+        there &= own != 0
+        out |= there.sum(axis=0, dtype=np.uint8) >= size - (least - share)
+    return out
+
+
 def other_links(rows: DataFrame, least: int, similarity: float = SIMILARITY, every: bool = True, hot: int = HOT) -> DataFrame:
-    """The links between all windows (see apart, with_codes) of a group that are not of one class and may hold a passage.
+    """The links between all windows (see divided, with_codes) of a subgroup that are not of one class and may hold a passage.
 
     Or else, of every window and slot, the first one that was found.
     """
     span = least - SHINGLE + 1
-    large = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > hot)
-    rows = rows.join(large, "key", "left")
+    if "v" not in rows.columns:
+        rows = rows.withColumn("v", F.lit(0).cast("long")).withColumn("role", F.lit(None).cast("int"))
+    asking = F.coalesce(F.col("role"), F.lit(0)) == 0
+    large = rows.where(asking).groupBy("key", "v").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > hot)
+    rows = rows.join(large, ["key", "v"], "left").withColumn("alone", F.col("n").isNull() & F.col("role").isNull())
     slots = F.coalesce(F.ceil(F.col("n") / hot).cast("int"), F.lit(1))
-    asks = rows.withColumn("slot", F.pmod(F.xxhash64("print"), slots).cast("int")).withColumn("role", F.lit(0))
-    answers = rows.where("n IS NOT NULL").withColumn("slot", F.explode(F.sequence(F.lit(0), slots - 1))).withColumn("role", F.lit(1))
+    asks = rows.where(asking).withColumn("slot", F.pmod(F.xxhash64("print"), slots).cast("int")).withColumn("role", F.lit(0))
     # Of a small group those that ask are also those that answer.
-    dealt = asks.unionByName(answers).select("key", "slot", "role", "print", "l", "r", "class", "near", F.col("n").isNull().alias("alone"))
-    dealt = dealt.repartition("key", "slot").sortWithinPartitions("key", "slot", "role")
+    answers = rows.where(~F.col("alone") & F.coalesce(F.col("role") == 1, F.lit(True)))
+    answers = answers.withColumn("slot", F.explode(F.sequence(F.lit(0), slots - 1))).withColumn("role", F.lit(1))
+    dealt = asks.unionByName(answers).select("key", "slot", "role", "print", "l", "r", "class", "near", "alone", "v")
+    dealt = dealt.repartition("key", "v", "slot").sortWithinPartitions("key", "v", "slot", "role")
     names = ["a", "b", "j", "al", "ar", "bl", "br"]
 
     def table(key, text, l, r, left, right):
@@ -336,8 +468,8 @@ def other_links(rows: DataFrame, least: int, similarity: float = SIMILARITY, eve
 
     def pairs(columns, near):
         """Compares those that ask with those that answer, group by group."""
-        key, slot, role, text, l, r, kind, alone = columns
-        starts = np.flatnonzero(np.append(True, (key[1:] != key[:-1]) | (slot[1:] != slot[:-1])))
+        key, slot, role, text, l, r, kind, alone, v = columns
+        starts = np.flatnonzero(np.append(True, (key[1:] != key[:-1]) | (v[1:] != v[:-1]) | (slot[1:] != slot[:-1])))
         lefts, rights, waiting = [], [], 0
         for start, stop in zip(starts.tolist(), np.append(starts[1:], len(key)).tolist()):
             mine = slice(start, stop) if alone[start] else slice(start, start + int((role[start:stop] == 0).sum()))
@@ -357,21 +489,21 @@ def other_links(rows: DataFrame, least: int, similarity: float = SIMILARITY, eve
             yield np.concatenate(lefts), np.concatenate(rights)
 
     def run(batches):
-        held, near_held = [np.zeros(0, dtype=np.int64)] * 8, np.zeros((0, 2 * span - 1), dtype=np.uint8)
+        held, near_held = [np.zeros(0, dtype=np.int64)] * 9, np.zeros((0, 2 * span - 1), dtype=np.uint8)
         for batch in _with_end(batches):
             columns, near = held, near_held
             if batch is not None:
                 if not batch.num_rows:
                     continue
-                new = [batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in (0, 1, 2, 3, 4, 5, 6, 8)]
+                new = [batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in (0, 1, 2, 3, 4, 5, 6, 8, 9)]
                 columns = [np.concatenate(x) for x in zip(held, new)]
                 codes = np.frombuffer(b"".join(batch.column(7).to_pylist()), dtype=np.uint8).reshape(batch.num_rows, -1)
                 near = np.concatenate([near_held, codes])
-            key, slot, role, text, l, r, kind, alone = columns
+            key, slot, role, alone, v = (columns[i] for i in (0, 1, 2, 7, 8))
             if not len(key):
                 continue
             # What is left for the next batch: the last group, without those that have answered.
-            last = (key == key[-1]) & (slot == slot[-1])
+            last = (key == key[-1]) & (v == v[-1]) & (slot == slot[-1])
             done = np.ones(len(key), dtype=bool)
             if batch is not None and (alone[-1] or role[-1] == 0):
                 done = ~last
@@ -438,13 +570,22 @@ def _with_end(batches):
     yield None
 
 
+def _among(values: np.ndarray, ranked: np.ndarray) -> np.ndarray:
+    """Which of the values are among others, which are sorted."""
+    if not len(ranked):
+        return np.zeros(len(values), dtype=bool)
+    return ranked[np.minimum(np.searchsorted(ranked, values), len(ranked) - 1)] == values
+
+
 def passages(a: np.ndarray, b: np.ndarray, least: int, similarity: float) -> list[tuple[int, int, int, int]]:
     """Similar stretches (first and last position in a and in b) of two sequences of shingles.
 
     Runs of shared shingles are joined as long as enough of the stretch is
     shared; a stretch that is not similar in the end is cut at its widest gap.
     """
-    shared = np.isin(a, b)
+    order = np.argsort(b, kind="stable")
+    ranked = b[order]
+    shared = _among(a, ranked)
     if shared.sum() < similarity * least:
         return []
     share = 2 * similarity / (1 + similarity)  # of both stretches, for this Jaccard similarity
@@ -458,8 +599,6 @@ def passages(a: np.ndarray, b: np.ndarray, least: int, similarity: float) -> lis
         else:
             todo.append([(start, stop)])
             total = stop - start
-    order = np.argsort(b, kind="stable")
-    ranked = b[order]
     out = []
     while todo:
         runs = todo.pop()
@@ -487,7 +626,7 @@ def _there(own: np.ndarray, b: np.ndarray, order: np.ndarray, ranked: np.ndarray
     close = spots[np.abs(spots - hits - shift) <= len(own) // 4]
     for low, high in ((int(close.min()), int(close.max())), (max(0, shift), min(len(b), shift + len(own)) - 1)):
         there = np.unique(b[low : high + 1])
-        both = np.isin(mine, there).sum()
+        both = _among(mine, there).sum()
         if both >= similarity * (len(mine) + len(there) - both):
             return low, high
     return None
@@ -584,9 +723,13 @@ def repeated_passages(docs: DataFrame, least: int = LEAST, similarity: float = S
             classes = classes.groupBy("print", "passage", "class").agg(F.min("start").alias("start"), F.max("stop").alias("stop"))
             classes = scratch.staged(classes, "classes")
             if rest is None:
-                coded = scratch.staged(with_codes(apart(found, classes), texts, least), "codes")
-            rest = scratch.staged(apart(coded, classes), "apart")
-            more = other_links(rest, least, similarity, every).repartition("a", "b").sortWithinPartitions("a", "b", "al")
+                coded = scratch.staged(codes(texts, least), "codes")
+                rest = scratch.staged(apart(found, classes).select("key", "print", "l", "c", "r", "class"), "apart")
+                rest = scratch.staged(divided(rest, texts, scratch, least, similarity), "divided")
+            else:
+                rest = scratch.staged(apart(rest.drop("class"), classes, ("key", "v")), "apart")
+            more = other_links(with_codes(rest, coded, least), least, similarity, every)
+            more = more.repartition("a", "b").sortWithinPartitions("a", "b", "al")
             more = scratch.staged(candidates(more, 1), "more-candidates")
             spans = scratch.staged(spans.unionByName(verified(more, texts, least, similarity)).distinct(), "more-spans")
         spans = staged(_passages(spans, whole), "passage-sides")

@@ -355,6 +355,62 @@ def test_windows_of_a_group_are_dealt_over_slots(spark):
         assert {(r.a, r.b) for r in links} == want and len(links) == len(want)
 
 
+def test_equal_windows_of_several_tasks_are_one(spark):
+    """Copies of a text that several tasks hold give equal windows, which meet others once."""
+    rows = [(8, 1, 0, 45, 90), (8, 1, 0, 45, 90), (8, 1, 50, 95, 140), (8, 2, 0, 45, 90), (8, 2, 0, 45, 90), (16, 1, 0, 9, 90), (16, 1, 0, 9, 90)]
+    for size in (1, 2, 100):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+        try:
+            frame = spark.createDataFrame(rows, "key long, print long, l int, c int, r int").coalesce(1)
+            got = [(r.key, r.print, r.c) for r in op08_passages.met(frame).collect()]
+        finally:
+            spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+        assert sorted(got) == [(8, 1, 45), (8, 1, 95), (8, 2, 45)]
+
+
+def test_large_groups_are_divided_without_losing_pairs(spark):
+    """Texts that share words with all others, some of which share a passage with one, some with a word that repeats."""
+    common, rows, pairs = prose(70, 24), [], set()
+    for i in range(60):
+        own = prose(7000 + i // 2, 60) if i % 6 < 2 else prose(7100 + i, 60)
+        if i % 20 == 0:
+            own[3:18] = ["la"] * 15
+        if i % 6 == 1:  # a changed word and one left out
+            own = [*rows[-1][1].split()[44:64], "changed", *rows[-1][1].split()[65:90], *rows[-1][1].split()[91:104]]
+            pairs.add((i - 1, i))
+        rows.append((i, " ".join([*prose(8000 + i, 20), *common, *own])))
+    texts = spark.createDataFrame(rows, "print long, text string")
+    # One group: the windows around a shingle that all have.
+    spots = [(8, i, 0, 42, 99, i) for i, _ in rows]
+    windows = spark.createDataFrame(spots, "key long, print long, l int, c int, r int, class long")
+    coded = op08_passages.codes(texts)
+    every = {(min(r.a, r.b), max(r.a, r.b)) for r in op08_passages.other_links(op08_passages.with_codes(windows, coded), 50).collect()}
+    assert pairs <= every
+    with Scratch(spark, "test") as scratch:
+        rows = op08_passages.divided(windows, texts, scratch, divide=8)
+        sizes = {(r["key"], r["v"]): r["count"] for r in rows.where("role IS NULL").groupBy("key", "v").count().collect()}
+        found = op08_passages.other_links(op08_passages.with_codes(rows, coded), 50).collect()
+    assert pairs <= {(min(r.a, r.b), max(r.a, r.b)) for r in found} <= every
+    # Nobody but those that share a passage meets in a subgroup: no pairs of all with all.
+    assert sizes and max(sizes.values()) <= 12 and sum(n * n for n in sizes.values()) < 60 * 60 // 2
+
+
+def test_first_shingles_have_one_in_common():
+    """Stretches of 46 places of which 41 are shared, moved by two at most, whatever the order."""
+    rng = np.random.default_rng(9)
+    for _ in range(300):
+        a = rng.choice(1 << 20, 91, replace=False).astype(np.int64)
+        start = int(rng.integers(0, 46))
+        own, gone = a[start : start + 46], set(rng.choice(46, 5, replace=False).tolist())
+        stretch = [int(x) if i not in gone else int(rng.integers(1 << 21, 1 << 22)) for i, x in enumerate(own)]
+        cut = [x for i, x in enumerate(stretch) if i not in sorted(gone)[:2]]  # two places are left out
+        b = rng.integers(1 << 22, 1 << 23, 91)
+        b[start : start + len(cut)] = cut
+        share = op08_passages._share(46, 0.8)
+        first = [set(op08_passages.first_shingles(x.astype(np.int64), 46, share).tolist()) for x in (a, b)]
+        assert share == 41 and first[0] & first[1]
+
+
 def test_passages_that_repeat_each_other_are_a_class(documents):
     one, two = prose(70, 90), prose(71, 90)
     rows = [(i, " ".join([*prose(800 + i, 20 + i), *one, *prose(850 + i, 30)])) for i in range(1, 9)]
