@@ -16,9 +16,17 @@ from sitewright.sources.files import staged
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
+#: Documents that go to Python at a time. Executors hold a batch several times over, on both sides.
+BATCH = 1_000
+
+
+def _in_small_batches(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH)
+
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier accepts."""
+    _in_small_batches(spark)
     return op06_quality_cnn.accepted(docs, table(spark, sf_dir, "labels"))
 
 
@@ -29,6 +37,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of every group of near copies: five-word shingles, a similarity of 0.8 or more."""
+    _in_small_batches(spark)
     return op01_simhash.representatives(docs, op01_simhash.near_copies(docs))
 
 
@@ -39,6 +48,7 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents, with their token ids, and their places in sequences."""
+    _in_small_batches(spark)
     return op10_packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), with_ids=True)
 
 

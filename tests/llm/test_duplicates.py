@@ -441,6 +441,18 @@ def test_pipeline(spark):
     assert sum(labels.get(i) == 0 for i in ids) <= 2
 
 
+def test_documents_go_to_python_in_small_batches(spark, documents):
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    try:
+        docs = documents((1, "one"), (2, "two"))
+        corpus_pipeline.STAGES[-1][1](spark, docs, "")
+        rows = spark.range(0, 2500, 1, 1).mapInArrow(lambda batches: (b.slice(0, 1).set_column(0, "id", [b.num_rows]) for b in batches), "id long")
+        assert max(r.id for r in rows.collect()) <= corpus_pipeline.BATCH == 1_000
+    finally:
+        spark.conf.set(key, before)
+
+
 @pytest.mark.parametrize("rows", ["odd", "none"])
 def test_pipeline_of_odd_tables(spark, odd, tmp_path, rows):
     """Null and empty texts, repeated rows and ids, clashing columns, labels that say nothing, and no rows at all."""
