@@ -74,8 +74,13 @@ def distinct_lines(lines: DataFrame) -> DataFrame:
 
 def shingles(raw: str) -> Column:
     """The shingles of a line's bytes, as hashes, with repetitions."""
-    at = F.sequence(F.lit(1), F.greatest(F.octet_length(raw) - SHINGLE + 1, F.lit(1)))
-    return F.transform(at, lambda i: F.xxhash64(F.substring(F.col(raw), i, F.lit(SHINGLE))))
+
+    def of(line: Column) -> Column:
+        at = F.sequence(F.lit(1), F.greatest(F.octet_length(line) - SHINGLE + 1, F.lit(1)))
+        return F.transform(at, lambda i: F.xxhash64(F.substring(line, i, F.lit(SHINGLE))))
+
+    # Bound in a lambda, the line is read once. As a column it would be copied whole for every shingle.
+    return F.get(F.transform(F.array(raw), of), F.lit(0))
 
 
 def signatures(distinct: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -186,6 +187,16 @@ def test_repetitive_lines(documents):
     assert got == plain_removed(docs) and sum(map(len, got.values())) >= 42
 
 
+def test_shingles_of_a_long_line_take_linear_time(spark):
+    """Read as a column in the inner lambda, the line would be copied once for every shingle: a terabyte here."""
+    raw = random.Random(12).randbytes(1_000_000)
+    lines = spark.createDataFrame([(bytearray(raw),), (bytearray(b"short"),), (bytearray(raw[:10]),)], "raw binary")
+    began = time.monotonic()
+    got = [r[0] for r in lines.select(F.size(F.array_distinct(op04_lines.shingles("raw")))).collect()]
+    assert got == [len({raw[i : i + 9] for i in range(len(raw) - 8)}), 1, 2]
+    assert time.monotonic() - began < 30
+
+
 def test_templated_lines(documents):
     """Many lines with a long common part that is not enough, few of which are similar."""
     rng = random.Random(8)
