@@ -11,6 +11,7 @@ import duckdb
 import public_tokenizers as P
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from sitewright.llm import op02_topk, op03_quality_rules, op05_bpe, op06_quality_cnn, op07_secrets, op09_chat, op10_packing
@@ -180,6 +181,29 @@ def test_secrets(spark, documents, odd):
     assert op07_secrets.scan(docs.limit(0)).collect() == []
 
 
+def test_texts_are_searched_once_for_candidates(spark, documents):
+    """As many rows are read as there are, whatever the kinds; places are those of the two kinds of candidates by themselves."""
+    rng = random.Random(17)
+    parts = ["password", "key", "Token", "=", ":", " ", "\n", "\"", "'", "a", "Z9", "é", "中文", "0123456789abcdef", "/_-", "+", "==", ",", "\x01", "$", "😀"]
+    texts = ["".join(rng.choice(parts[: 18 if i % 3 else 21]) for _ in range(rng.randint(1, 60))) for i in range(2000)] + ["", None]
+    docs = documents(*enumerate(texts))
+    either = rf"{op07_secrets._ASSIGNED}|(?<![{op07_secrets._RUN}])[{op07_secrets._RUN}]{{{op07_secrets.MIN_LENGTH},}}+=*"
+    whole = F.coalesce("text", F.lit(""))
+    wanted = docs.select(F.split(whole, either, -1).alias("between"), F.regexp_extract_all(whole, F.lit(f"({either})"), F.lit(1)).alias("found"))
+    wanted = sorted((r.between, r.found) for r in wanted.collect())
+    assert sum(len(found) for _, found in wanted) > 2000 and any("\x01" in x for _, found in wanted for x in found)
+    assert sorted((r.between, r.found) for r in op07_secrets.with_candidates(docs, "text").collect()) == wanted
+    reads = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            reads.add(batch.num_rows)
+            yield batch
+
+    op07_secrets.labelled_findings(docs.select("text").mapInArrow(counted, "text string")).collect()
+    assert reads.value == len(texts)
+
+
 def test_short_passwords_that_something_names(documents):
     """Precision and recall on documents the forest has not learned from."""
     rng = random.Random(11)
