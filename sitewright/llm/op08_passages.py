@@ -23,7 +23,9 @@ that are not in passages of one class are compared, in blocks of a code of one b
 shingle within reach of the shared one. Of 46 shingles of a stretch that is similar, 41 at least are shared,
 in the same order and moved by SHIFT places at most; pairs whose codes hold no such 46 places are
 no passages. All others are verified, whether a second function links them or not. Windows of one
-class are never compared, so that copies of a passage make no pairs of pairs.
+class are never compared, so that copies of a passage make no pairs of pairs. Most pairs are ruled out before that by a
+bit for every code of a half: any stretch has one of the halves before and behind the shared shingle in full, and
+of a half no more places are missing in the other window than of the stretch.
 
 Groups of more than DIVIDE windows are divided before that, without the loss of a pair: of two stretches
 that share so many shingles, the first shared one in some order of all shingles is among the
@@ -62,36 +64,64 @@ HASHES, ENOUGH = 5, 2
 STEP, STEPS = 11, 4
 #: Places by which a stretch of least length moves where words were put in or left out.
 SHIFT = 2
-#: Windows of one group in one slot, and pairs compared at a time.
-HOT, PAIRS = 2048, 50_000
-#: Windows of a group that is not divided; windows of a group that are looked at for common shingles, and how many of them have one.
-DIVIDE, LOOK, COMMON = 512, 256, 4
+#: Windows of one group in one slot, pairs compared at a time, and windows of groups whose pairs are made all at once.
+HOT, PAIRS, FEW = 8192, 50_000, 64
+#: Windows of a group that is not divided: a window is compared in less time than it takes to make its subgroups; windows of a group that are looked at for common shingles, and how many of them have one.
+DIVIDE, LOOK, COMMON = 16_384, 256, 4
 #: Places of a stretch's half that are compared before the others.
 PROBE = 10
-#: Distinct words whose hashes a worker keeps.
-WORDS = 500_000
 
 _MULTIPLIERS = [0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F]
 _ODD = np.array(_MULTIPLIERS, dtype=np.uint64)
 
 
-class WordHashes(dict):
-    """64-bit hashes of words, kept for the words seen last."""
-
-    def __missing__(self, word: bytes) -> int:
-        import xxhash
-
-        if len(self) >= WORDS:
-            self.clear()
-        self[word] = found = xxhash.xxh64_intdigest(word)
-        return found
-
-
-_KNOWN = WordHashes()
+#: The constants of 64-bit xxHash.
+_XX = [np.uint64(x) for x in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5)]
+_BLANK = np.zeros(256, dtype=bool)
+_BLANK[list(b" \t\n\r\x0b\f")] = True
+
+
+def _turned(x: np.ndarray, by: int) -> np.ndarray:
+    return (x << np.uint64(by)) | (x >> np.uint64(64 - by))
+
+
+def _xxh64(text: bytes, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The 64-bit xxHash of every stretch of a text; 7 bytes follow the last one."""
+    import xxhash
+
+    p1, p2, p3, p4, p5 = _XX
+    out = sizes.astype(np.uint64) + p5
+    single = np.frombuffer(text, dtype=np.uint8)
+    fours, eights = (np.ndarray(max(0, len(text) - n + 1), f"<u{n}", text, strides=(1,)) for n in (4, 8))
+    for at in (0, 8, 16):
+        some = np.flatnonzero(sizes >= at + 8)
+        out[some] = _turned(out[some] ^ _turned(eights[starts[some] + at] * p2, 31) * p1, 27) * p1 + p4
+    place, rest = starts + (sizes & ~7), sizes & 7
+    some = np.flatnonzero(rest >= 4)
+    out[some] = _turned(out[some] ^ fours[place[some]].astype(np.uint64) * p1, 23) * p2 + p3
+    place[some] += 4
+    rest &= 3
+    for at in range(3):
+        some = np.flatnonzero(rest > at)
+        out[some] = _turned(out[some] ^ single[place[some] + at].astype(np.uint64) * p5, 11) * p1
+    for by, factor in ((33, p2), (29, p3)):
+        out = (out ^ (out >> np.uint64(by))) * factor
+    out ^= out >> np.uint64(32)
+    for i in np.flatnonzero(sizes >= 32).tolist():
+        out[i] = xxhash.xxh64_intdigest(text[starts[i] : starts[i] + sizes[i]])
+    return out
 
 
-def word_hashes(words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(_KNOWN.__getitem__, words), dtype=np.uint64, count=len(words))
+def hashes_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The 64-bit hashes of the words (see words_of) of several texts, end to end, and the number of words of each text."""
+    whole = b"\n".join([*texts, bytes(8)]).lower()
+    blank = _BLANK[np.frombuffer(whole, dtype=np.uint8)]
+    edges = np.flatnonzero(np.diff(blank.view(np.int8), prepend=1))
+    starts, stops = edges[::2], edges[1::2]  # the last word is what was put behind the texts
+    ends = np.cumsum(np.array([len(t) + 1 for t in texts], dtype=np.int64))
+    counts = np.diff(np.searchsorted(starts, ends), prepend=0)
+    starts = starts[:-1]
+    return _xxh64(whole, starts, stops[: len(starts)] - starts), counts
 
 
 def shingles_of(own: np.ndarray) -> np.ndarray:
@@ -104,8 +134,8 @@ def shingles_of(own: np.ndarray) -> np.ndarray:
     return total
 
 
-def shingles(words: list[bytes]) -> np.ndarray:
-    return shingles_of(word_hashes(words))
+def shingles(text: str | None) -> np.ndarray:
+    return shingles_of(hashes_of([(text or "").encode()])[0])
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -154,9 +184,11 @@ def compact_windows(values: np.ndarray, sizes: np.ndarray, least: int) -> tuple[
     return starts[change], centre, starts[last] + least - 1
 
 
-def order_codes(own: np.ndarray, c: np.ndarray, low: np.ndarray, high: np.ndarray, after: bool) -> np.ndarray:
-    """A number for what is after the places c, or before them: places with more in common there have more leading bytes in common."""
-    total = np.concatenate([[np.uint64(0)], np.cumsum(mixed(own, HASHES), dtype=np.uint64)])
+def order_codes(total: np.ndarray, c: np.ndarray, low: np.ndarray, high: np.ndarray, after: bool) -> np.ndarray:
+    """A number for what is after the places c, or before them: places with more in common there have more leading bytes in common.
+
+    `total` has the sums of the shingles' hashes before each place.
+    """
     out = np.zeros(len(c), dtype=np.int64)
     for k in range(1, STEPS + 1):
         x, y = (c + 1, np.minimum(c + 1 + k * STEP, high)) if after else (np.maximum(c - k * STEP, low), c)
@@ -173,31 +205,33 @@ def windows(docs: DataFrame, hashes: int = HASHES, least: int = LEAST) -> DataFr
         seen: set[int] = set()
 
         def work(batch):
-            prints, words, lengths = [], [], []
-            for print_, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                own = words_of(text) if print_ not in seen else []
-                seen.add(print_)
-                if len(own) >= least:
+            prints, texts = [], []
+            for print_, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist()):
+                if print_ not in seen:
+                    seen.add(print_)
                     prints.append(print_)
-                    words += own
-                    lengths.append(len(own))
-            sizes = np.array(lengths, dtype=np.int64)
+                    texts.append(text)
+            words, sizes = hashes_of(texts)
+            enough = sizes >= least
+            words, sizes = words[np.repeat(enough, sizes)], sizes[enough]
+            prints = np.array(prints, dtype=np.int64)[enough]
             # Shingles of all texts at once, without those that reach over an end.
             within = np.ones(max(0, len(words) - SHINGLE + 1), dtype=bool)
             for end in np.cumsum(sizes)[:-1].tolist():
                 within[end - SHINGLE + 1 : end] = False
-            own = shingles_of(word_hashes(words))[within]
+            own = shingles_of(words)[within]
             sizes = sizes - SHINGLE + 1
             offsets = np.cumsum(sizes) - sizes
             columns: list[list[np.ndarray]] = [[], [], [], [], [], []]
-            for j in range(hashes if prints else 0):
+            total = np.concatenate([[np.uint64(0)], np.cumsum(mixed(own, HASHES), dtype=np.uint64)])
+            for j in range(hashes if len(prints) else 0):
                 values = mixed(own, j)
                 l, c, r = compact_windows(values, sizes, span)
                 key = (values[c] & ~np.uint64(7)) | np.uint64(j)
                 text = np.searchsorted(offsets, c, side="right") - 1
                 base = offsets[text]
-                names = np.array(prints, dtype=np.int64)[text]
-                beside = order_codes(own, c, base, base + sizes[text], after=j % 2 == 0)
+                names = prints[text]
+                beside = order_codes(total, c, base, base + sizes[text], after=j % 2 == 0)
                 for column, x in zip(columns, (key.view(np.int64), names, l - base, c - base, r - base, beside)):
                     column.append(x)
             kinds = (pa.int64(), pa.int64(), *[pa.int32()] * 4)
@@ -290,7 +324,9 @@ def codes(texts: DataFrame, least: int = LEAST) -> DataFrame:
 
     def make():
         def work(batch):
-            own = [mixed(shingles(words_of(t)), HASHES + 1) >> np.uint64(56) for t in batch.column(1).to_pylist()]
+            words, counts = hashes_of(batch.column(1).cast(pa.binary()).to_pylist())
+            texts = np.split(words, np.cumsum(counts)[:-1])
+            own = [mixed(shingles_of(x), HASHES + 1) >> np.uint64(56) for x in texts]
             # Zero stands for no shingle, which is shared with none.
             own = [around + (x.astype(np.uint8) | np.uint8(1)).tobytes() + around for x in own]
             return pa.record_batch([batch.column(0), pa.array(own, pa.binary())], ["print", "codes"])
@@ -343,7 +379,7 @@ def marks(windows: DataFrame, texts: DataFrame, least: int, similarity: float, e
             for piece in in_chunks(batch, 500_000, 1):
                 out: list[list] = [[] for _ in names]
                 for print_, text, own in zip(*(piece.column(n).to_pylist() for n in ("print", "text", "own"))):
-                    found = (mixed(shingles(words_of(text)), HASHES + 1) >> np.uint64(32)).astype(np.int64)
+                    found = (mixed(shingles(text), HASHES + 1) >> np.uint64(32)).astype(np.int64)
                     for w in own:
                         order = values_of(found, w["c"])
                         if every:
@@ -441,23 +477,54 @@ def _likely(a: np.ndarray, b: np.ndarray, least: int, share: int) -> np.ndarray:
     return out
 
 
+def half_bits(near: np.ndarray, least: int, share: int) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """own, around and most for the half before and the half behind, one of which any stretch has in full.
+
+    Of own's bits at most `most` are not among the other window's `around` if the half may be in a stretch that the two share:
+    own has a bit for every code of the half, around one for every code that SHIFT places more may hold.
+    """
+    half, middle, allowed = (least - 1) // 2, near.shape[1] // 2, least - share
+    bits = np.where(near != 0, np.uint64(1) << (near >> 1 & 63).astype(np.uint64), np.uint64(0))
+    out = []
+    for start in (middle - half, middle + 1):
+        own = np.bitwise_or.reduce(bits[:, start : start + half], axis=1)
+        around = np.bitwise_or.reduce(bits[:, max(0, start - SHIFT) : start + half + SHIFT], axis=1)
+        # Places without a shingle are not shared; where they are too many, no other half has all bits.
+        most = allowed - (near[:, start : start + half] == 0).sum(axis=1)
+        own = np.where(most < 0, np.iinfo(np.uint64).max, own)
+        out.append((own, ~around, np.maximum(most, 0).astype(np.uint8)))
+    return out
+
+
+PLACES = "array<struct<slot: int, role: int>>"
+
+
+def slotted(rows: DataFrame, hot: int = HOT) -> DataFrame:
+    """The windows (see divided) with the number of slots over which their subgroup is dealt, null for one that is not."""
+    if "v" not in rows.columns:
+        rows = rows.withColumn("v", F.lit(0).cast("long")).withColumn("role", F.lit(None).cast("int"))
+    large = rows.where(F.coalesce(F.col("role"), F.lit(0)) == 0).groupBy("key", "v").agg(F.count(F.lit(1)).alias("n"))
+    large = large.where(F.col("n") > hot).select("key", "v", F.ceil(F.col("n") / hot).cast("int").alias("slots"))
+    return rows.join(large, ["key", "v"], "left")
+
+
 def other_links(rows: DataFrame, least: int, similarity: float = SIMILARITY, every: bool = True, hot: int = HOT) -> DataFrame:
-    """The links between all windows (see divided, with_codes) of a subgroup that are not of one class and may hold a passage.
+    """The links between all windows (see divided, slotted, with_codes) of a subgroup that are not of one class and may hold a passage.
 
     Or else, of every window and slot, the first one that was found.
     """
     span = least - SHINGLE + 1
-    if "v" not in rows.columns:
-        rows = rows.withColumn("v", F.lit(0).cast("long")).withColumn("role", F.lit(None).cast("int"))
-    asking = F.coalesce(F.col("role"), F.lit(0)) == 0
-    large = rows.where(asking).groupBy("key", "v").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > hot)
-    rows = rows.join(large, ["key", "v"], "left").withColumn("alone", F.col("n").isNull() & F.col("role").isNull())
-    slots = F.coalesce(F.ceil(F.col("n") / hot).cast("int"), F.lit(1))
-    asks = rows.where(asking).withColumn("slot", F.pmod(F.xxhash64("print"), slots).cast("int")).withColumn("role", F.lit(0))
+    if "slots" not in rows.columns:
+        rows = slotted(rows, hot)
+    alone = F.col("slots").isNull() & F.col("role").isNull()
+    slots = F.coalesce("slots", F.lit(1))
     # Of a small group those that ask are also those that answer.
-    answers = rows.where(~F.col("alone") & F.coalesce(F.col("role") == 1, F.lit(True)))
-    answers = answers.withColumn("slot", F.explode(F.sequence(F.lit(0), slots - 1))).withColumn("role", F.lit(1))
-    dealt = asks.unionByName(answers).select("key", "slot", "role", "print", "l", "r", "class", "near", "alone", "v")
+    place = lambda slot, role: F.struct(slot.cast("int").alias("slot"), F.lit(role).alias("role"))
+    asks = F.when(F.coalesce("role", F.lit(0)) == 0, F.array(place(F.pmod(F.xxhash64("print"), slots), 0)))
+    answers = F.when(~alone & F.coalesce(F.col("role") == 1, F.lit(True)), F.transform(F.sequence(F.lit(0), slots - 1), lambda x: place(x, 1)))
+    places = F.explode(F.concat(F.coalesce(asks, F.array().cast(PLACES)), F.coalesce(answers, F.array().cast(PLACES))))
+    dealt = rows.select("key", places.alias("place"), "print", "l", "r", "class", "near", alone.alias("alone"), "v")
+    dealt = dealt.select("key", "place.slot", "place.role", "print", "l", "r", "class", "near", "alone", "v")
     dealt = dealt.repartition("key", "v", "slot").sortWithinPartitions("key", "v", "slot", "role")
     names = ["a", "b", "j", "al", "ar", "bl", "br"]
 
@@ -466,19 +533,44 @@ def other_links(rows: DataFrame, least: int, similarity: float = SIMILARITY, eve
         kinds = (pa.int64(), pa.int64(), *[pa.int32()] * 5)
         return pa.record_batch([pa.array(x, k) for x, k in zip(columns, kinds)], names)
 
+    share = _share(span, similarity)
+
+    def close(halves, x, y):
+        """Which windows have enough codes of a half in common; x and y are of one shape, or span a grid."""
+        out = False
+        for own, others, most in halves:
+            out = out | (np.bitwise_count(own[x] & others[y]) <= most[x])
+        return out
+
     def pairs(columns, near):
-        """Compares those that ask with those that answer, group by group."""
+        """Those that ask and those that answer, as far as they are of two texts and classes and close, group by group."""
         key, slot, role, text, l, r, kind, alone, v = columns
+        halves = half_bits(near, span, share)
         starts = np.flatnonzero(np.append(True, (key[1:] != key[:-1]) | (v[1:] != v[:-1]) | (slot[1:] != slot[:-1])))
+        sizes = np.diff(np.append(starts, len(key)))
+        # All pairs of all small groups at once.
+        few = (alone[starts] != 0) & (sizes <= FEW)
+        place = np.arange(len(key)) - np.repeat(starts, sizes)
+        before = np.where(np.repeat(few, sizes), place, 0)  # partners of each window
+        left = np.repeat(np.arange(len(key)), before)
+        right = np.arange(len(left)) - np.repeat(np.cumsum(before) - before, before) + np.repeat(np.arange(len(key)) - place, before)
+        apart = (kind[left] != kind[right]) & (text[left] != text[right])
+        left, right = left[apart], right[apart]
+        swap = text[left] < text[right]
+        left, right = np.where(swap, right, left), np.where(swap, left, right)
+        found = close(halves, left, right)
+        left, right = left[found], right[found]
+        for at in range(0, len(left), PAIRS):
+            yield left[at : at + PAIRS], right[at : at + PAIRS]
         lefts, rights, waiting = [], [], 0
-        for start, stop in zip(starts.tolist(), np.append(starts[1:], len(key)).tolist()):
+        for start, stop in zip(starts[~few].tolist(), (starts + sizes)[~few].tolist()):
             mine = slice(start, stop) if alone[start] else slice(start, start + int((role[start:stop] == 0).sum()))
             other = mine if alone[start] else slice(mine.stop, stop)
             step = max(1, PAIRS // max(1, mine.stop - mine.start))
+            x = np.arange(mine.start, mine.stop)[:, None]
             for at in range(other.start, other.stop, step):
-                x, y = np.arange(mine.start, mine.stop)[:, None], np.arange(at, min(at + step, other.stop))[None, :]
-                wanted = (kind[x] != kind[y]) & (text[x] > text[y])
-                i, k = np.nonzero(wanted)
+                y = np.arange(at, min(at + step, other.stop))[None, :]
+                i, k = np.nonzero(close(halves, x, y) & (kind[x] != kind[y]) & (text[x] > text[y]))
                 lefts.append(i + mine.start)
                 rights.append(k + at)
                 waiting += len(i)
@@ -636,9 +728,14 @@ def verified(found: DataFrame, texts: DataFrame, least: int = LEAST, similarity:
     """print, start, stop (words) and other, other_start, other_stop of the passages that hold, once for each pair; texts has print and text."""
 
     def cut(batches):
+        known, words = None, []  # rows of one text follow each other, as a rule
         for batch in batches:
-            text, first, last = (batch.column(n).to_pylist() for n in ("text", "al", "ar"))
-            out = [b" ".join(words_of(t)[i : j + SHINGLE]) for t, i, j in zip(text, first, last)]
+            out = []
+            text = batch.column("text")
+            for row, (print_, i, j) in enumerate(zip(*(batch.column(n).to_pylist() for n in ("a", "al", "ar")))):
+                if print_ != known:
+                    known, words = print_, words_of(text[row].as_py())
+                out.append(b" ".join(words[i : j + SHINGLE]))
             names = ["a", "b", "al", "bl", "br"]
             yield pa.record_batch([*[batch.column(n) for n in names], pa.array(out, pa.binary())], [*names, "own"])
 
@@ -656,13 +753,15 @@ def verified(found: DataFrame, texts: DataFrame, least: int = LEAST, similarity:
 
     def compare(batches):
         base = np.zeros(0, dtype=np.uint64)
-        for batch in batches:
+        for piece in (piece for batch in batches for piece in in_chunks(batch, 2_000_000, 5)):
             out = []
-            for a, b, al, bl, br, own in zip(*(c.to_pylist() for c in batch.columns)):
+            *columns, own = (c.to_pylist() for c in piece.columns)
+            words, counts = hashes_of(own)
+            for a, b, al, bl, br, mine in zip(*columns, np.split(words, np.cumsum(counts)[:-1])):
                 if a is None:
-                    base = shingles(words_of(own.decode()))
+                    base = shingles_of(mine)
                     continue
-                for first, last, low, high in passages(shingles(own.split()), base[bl : br + 1], span, similarity):
+                for first, last, low, high in passages(shingles_of(mine), base[bl : br + 1], span, similarity):
                     out.append((a, al + first, al + last + SHINGLE, b, bl + low, bl + high + SHINGLE))
             columns = list(zip(*out)) or [()] * 6
             kinds = (pa.int64(), pa.int32(), pa.int32()) * 2
@@ -728,7 +827,8 @@ def repeated_passages(docs: DataFrame, least: int = LEAST, similarity: float = S
                 rest = scratch.staged(divided(rest, texts, scratch, least, similarity), "divided")
             else:
                 rest = scratch.staged(apart(rest.drop("class"), classes, ("key", "v")), "apart")
-            more = other_links(with_codes(rest, coded, least), least, similarity, every)
+            # Subgroups are counted before the codes come to the windows, which is done once.
+            more = other_links(with_codes(slotted(rest), coded, least), least, similarity, every)
             more = more.repartition("a", "b").sortWithinPartitions("a", "b", "al")
             more = scratch.staged(candidates(more, 1), "more-candidates")
             spans = scratch.staged(spans.unionByName(verified(more, texts, least, similarity)).distinct(), "more-spans")

@@ -366,6 +366,58 @@ def test_windows_of_a_group_are_dealt_over_slots(spark):
         assert {(r.a, r.b) for r in links} == want and len(links) == len(want)
 
 
+def test_hashes_of_words_are_those_of_xxhash():
+    """Words of all lengths, of several texts at once, also of none."""
+    rng = random.Random(1)
+    texts = ["".join(rng.choice("aBcé中😀 \t\n\x0b\x0c\x1c\x85\xa0") for _ in range(rng.randint(0, 80))) for _ in range(500)]
+    texts += ["x" * n for n in range(70)] + ["", " "]
+    for some in (texts, [], [""], ["a"]):
+        hashes, counts = op08_passages.hashes_of([t.encode() for t in some])
+        words = [op08_passages.words_of(t) for t in some]
+        assert counts.tolist() == [len(x) for x in words]
+        assert hashes.tolist() == [xxhash.xxh64_intdigest(w) for x in words for w in x]
+
+
+@pytest.mark.parametrize("sizes", [(2, 3, 40, 64), (65, 90)])
+def test_pairs_that_halves_rule_out_are_not_similar(spark, sizes):
+    """Links of small and large groups are those that codes alone give, with gaps, moved and missing places."""
+    rng = np.random.default_rng(6)
+    rows = []
+    for group, size in enumerate(sizes):
+        base = rng.integers(1, 256, 91, dtype=np.uint8) | 1
+        for i in range(size):
+            near = base.copy()
+            side, shift = rng.integers(0, 2), rng.integers(-2, 3)
+            if i % 3:  # one side is another's, and some places of the other one are
+                near[46:] = np.where(side, near[46:], rng.integers(1, 256, 45) | 1)
+                near[:45] = np.where(side, rng.integers(1, 256, 45) | 1, near[:45])
+            if i % 5 == 0:
+                near[47:] = np.roll(near[47:], shift)
+            spots = rng.integers(0, 91, rng.integers(0, 9))
+            near[spots] = np.where(i % 2, 0, rng.integers(1, 256, len(spots)) | 1)
+            if i % 7 == 0:
+                near[: rng.integers(0, 45)] = 0
+            rows.append((8 * group, 100 * group + (i * 37) % size, 0, 45, 90, near.tobytes(), i % 11))
+    frame = spark.createDataFrame(rows, "key long, print long, l int, c int, r int, near binary, class long")
+    codes = {(key, text): np.frombuffer(near, dtype=np.uint8) for key, text, *_, near, _ in rows}
+    kinds = {(key, text): kind for key, text, *_, kind in rows}
+    pairs = [(x, y) for x in codes for y in codes if x[0] == y[0] and x[1] > y[1] and kinds[x] != kinds[y]]
+    holds = op08_passages.similar_places(*(np.stack([codes[p[side]] for p in pairs]) for side in (0, 1)), 46)
+    want = sorted((x[1], y[1]) for (x, y), similar in zip(pairs, holds.tolist()) if similar)
+    assert 20 < len(want) < 0.9 * len(pairs)
+    assert sorted((r.a, r.b) for r in op08_passages.other_links(frame, 50).collect()) == want
+
+
+def test_groups_that_are_cheap_to_compare_are_not_divided(spark):
+    """A thousand windows are one subgroup: shingles of theirs would be many more rows."""
+    rows = [(8, i, 0, 45, 90, i) for i in range(1000)]
+    windows = spark.createDataFrame(rows, "key long, print long, l int, c int, r int, class long")
+    texts = spark.createDataFrame([(i, " ".join(prose(i, 100))) for i in range(1000)], "print long, text string")
+    with Scratch(spark, "cheap") as scratch:
+        got = op08_passages.divided(windows, texts, scratch).groupBy("key", "v", "role").count().collect()
+    assert [tuple(r) for r in got] == [(8, 0, None, 1000)]
+
+
 def test_equal_windows_of_several_tasks_are_one(spark):
     """Copies of a text that several tasks hold give equal windows, which meet others once."""
     rows = [(8, 1, 0, 45, 90), (8, 1, 0, 45, 90), (8, 1, 50, 95, 140), (8, 2, 0, 45, 90), (8, 2, 0, 45, 90), (16, 1, 0, 9, 90), (16, 1, 0, 9, 90)]
