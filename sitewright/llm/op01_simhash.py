@@ -45,7 +45,7 @@ from pyspark.sql import functions as F
 
 from sitewright.llm.common import map_texts
 from sitewright.llm.components import components, forest
-from sitewright.llm.op08_passages import shingles, words_of
+from sitewright.llm.op08_passages import shingles
 from sitewright.sources.files import staged
 
 BITS, SHINGLE, SEED, DISTANCE = 64, 4, 42, 4
@@ -287,7 +287,7 @@ def exactly_similar(pairs: DataFrame, docs: DataFrame, similarity: float = SIMIL
 
 def _own_shingles(texts: list[str | None]) -> list[np.ndarray]:
     """The different shingles of each text, as sorted hashes; none of texts with fewer words than one has, which only equal themselves."""
-    return [np.unique(shingles(words_of(text))).view(np.int64) for text in texts]
+    return [np.unique(shingles(text)).view(np.int64) for text in texts]
 
 
 def common_shingles(docs: DataFrame, common: int = COMMON, most: int = COMMON_MOST) -> np.ndarray:
